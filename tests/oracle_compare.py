@@ -1,0 +1,103 @@
+"""Compare every ``queries()`` entry with its ``oracle_sql()`` in DuckDB.
+
+Strict: same column names, same row count, and the same multiset of rows
+after sorting columns by name (floats compared by repr, i.e. bit-exact).
+
+    python -m tests.oracle_compare [sf_dir] [key ...]
+"""
+
+from __future__ import annotations
+
+import collections
+import datetime as dt
+import math
+import sys
+import time
+from decimal import Decimal
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str):
+    con = duckdb.connect()
+    con.sql("SET TimeZone = 'UTC'")
+    for t in TABLES:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return repr(v)
+    if isinstance(v, Decimal):
+        return "D" + str(v)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat()
+    return v
+
+
+def rows_multiset(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return collections.Counter(tuple(_norm(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, key, sf_dir, con=None, verbose=True):
+    import __spark_entry__ as E
+
+    con = con or duck(sf_dir)
+    t0 = time.time()
+    sdf = E.queries()[key](spark, sf_dir)
+    scols = sdf.columns
+    srows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    rel = con.sql(E.oracle_sql()[key])
+    ocols = rel.columns
+    orows = rel.fetchall()
+    res = {"key": key, "spark_rows": len(srows), "oracle_rows": len(orows), "spark_s": round(t1 - t0, 2)}
+    res["cols_match"] = sorted(scols) == sorted(ocols)
+    if not res["cols_match"]:
+        res["only_spark"] = sorted(set(scols) - set(ocols))
+        res["only_oracle"] = sorted(set(ocols) - set(scols))
+        res["ok"] = False
+        return res
+    a, b = rows_multiset(scols, srows), rows_multiset(ocols, orows)
+    res["ok"] = a == b and len(srows) == len(orows)
+    if not res["ok"]:
+        diff_a = list((a - b).elements())[:3]
+        diff_b = list((b - a).elements())[:3]
+        res["spark_only_sample"] = diff_a
+        res["oracle_only_sample"] = diff_b
+        res["names"] = sorted(scols)
+    return res
+
+
+def main(argv):
+    sys.path.insert(0, ".")
+    import __spark_entry__ as E
+    from costlens.session import local_session
+
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    keys = argv[1:] or list(E.queries())
+    spark = local_session()
+    con = duck(sf_dir)
+    bad = 0
+    for k in keys:
+        try:
+            r = compare(spark, k, sf_dir, con)
+        except Exception as exc:  # report and continue
+            r = {"key": k, "ok": False, "error": repr(exc)[:600]}
+        bad += not r["ok"]
+        print(r, flush=True)
+    print(f"{len(keys) - bad}/{len(keys)} match")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv[1:]) else 0)
