@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
@@ -11,37 +11,46 @@ from costlens.sources.schemas import SCHEMAS, conform
 SOURCE_NAMES = tuple(SCHEMAS)
 
 
-@dataclass(frozen=True)
 class Sources:
-    """The ten logical inputs, each checked against its schema."""
-
-    usage_records: DataFrame
-    cluster_configs: DataFrame
-    node_timeline: DataFrame
-    job_runs: DataFrame
-    workload_costs: DataFrame
-    warehouse_metrics: DataFrame
-    account_mapping: DataFrame
-    workspaces: DataFrame
-    excluded_accounts: DataFrame
-    workload_cluster_usage: DataFrame
+    """The ten logical inputs, each checked against its schema on first use.
+
+    Built from DataFrames or from zero-argument factories; a source is only
+    planned (and its schema checked) when a dataset needs it.
+    """
+
+    def __init__(self, frames: dict[str, DataFrame | Callable[[], DataFrame]]):
+        missing = [n for n in SOURCE_NAMES if n not in frames]
+        if missing:
+            raise ValueError(f"missing logical sources {missing}")
+        self._frames = dict(frames)
+        self._done: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in SOURCE_NAMES:
+            raise AttributeError(name)
+        if name not in self._done:
+            f = self._frames[name]
+            self._done[name] = conform(f() if callable(f) else f, name)
+        return self._done[name]
 
     @classmethod
     def of(cls, frames: dict) -> "Sources":
-        return cls(**{n: conform(frames[n], n) for n in SOURCE_NAMES})
+        return cls(frames)
 
     @classmethod
     def from_paths(cls, spark, paths: dict, fmt: str = "parquet") -> "Sources":
         """Read each logical source from a path (or a catalog table name)."""
-        frames = {}
-        for n in SOURCE_NAMES:
-            loc = paths[n]
-            frames[n] = spark.read.format(fmt).load(loc) if "/" in loc else spark.read.table(loc)
-        return cls.of(frames)
+
+        def reader(loc):
+            if "/" in loc:
+                return lambda: spark.read.format(fmt).load(loc)
+            return lambda: spark.read.table(loc)
+
+        return cls({n: reader(paths[n]) for n in SOURCE_NAMES})
 
     @classmethod
     def from_test_tables(cls, spark, sf_dir: str) -> "Sources":
         from costlens.sources.testdata import TestTables
 
         t = TestTables(spark, sf_dir)
-        return cls.of({n: getattr(t, n)() for n in SOURCE_NAMES})
+        return cls({n: getattr(t, n) for n in SOURCE_NAMES})

@@ -36,9 +36,13 @@ class TestTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = apply_required_conf(spark)
         self.sf_dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The parquet table (read once per instance; the plan is lazy)."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     def _events(self, *types: str) -> DataFrame:
         e = self.raw("events")
