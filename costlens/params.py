@@ -76,6 +76,13 @@ class Params:
     bucket_seconds: int = 3600
     # Warehouse totals weighting: "cost_rows" (literal) or "none".
     weight: str = "cost_rows"
+    # Variant E10b: a null product type gives a null flat penalty (else 0).
+    null_product_penalty: bool = False
+    # Variant E17b: sum of the two shortfalls instead of their mean.
+    average_utilization_penalty: bool = True
+    # Apply the workspace scope to the idle-cost and config-period inputs too
+    # (the reference leaves them unscoped).
+    scope_cluster_metrics: bool = False
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def __post_init__(self):

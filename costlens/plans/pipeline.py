@@ -267,12 +267,14 @@ class Pipeline:
     @cached_property
     def run_utilization_risk(self) -> DataFrame:
         """E17-E18."""
-        return add_utilization_risk(self.run_utilization_derived, self.p)
+        return add_utilization_risk(
+            self.run_utilization_derived, self.p, self.p.average_utilization_penalty
+        )
 
     @cached_property
     def run_risk(self) -> DataFrame:
         """The per-run risk table."""
-        return add_run_risk(self.run_utilization_risk, self.p)
+        return add_run_risk(self.run_utilization_risk, self.p, self.p.null_product_penalty)
 
     @cached_property
     def risk_rollup_account(self) -> DataFrame:
@@ -441,9 +443,12 @@ class Pipeline:
         """Profile, utilization (E12-E18), interactive (E10-E11) and failure
         (E2-E4) columns on one frame: n cost rows of a run give n rows (X21)."""
         prof = intervals.run_profile(self.run_costs.distinct(), self.timeline, self.p)
-        df = add_utilization_risk(add_utilization(prof), self.p)
+        df = add_utilization_risk(add_utilization(prof), self.p, self.p.average_utilization_penalty)
         rev, status = F.col("attributed_revenue"), F.col("workload_status")
-        df = df.withColumn("all_purpose_penalty", rules.flat_penalty(F.col("product_type"), self.p))
+        df = df.withColumn(
+            "all_purpose_penalty",
+            rules.flat_penalty(F.col("product_type"), self.p, self.p.null_product_penalty),
+        )
         return df.withColumns(
             {
                 "rev_risk_interactive_jobs": rules.interactive_risk(F.col("all_purpose_penalty"), rev),
@@ -488,6 +493,8 @@ class Pipeline:
     def idle_revenue(self) -> DataFrame:
         """E5 per cost row (not aggregated)."""
         c = self.costs
+        if self.p.scope_cluster_metrics:
+            c = scope.semi(c, self.scope, ["workspace_id"])
         return c.select(
             "date",
             "workspace_id",
@@ -500,7 +507,10 @@ class Pipeline:
     @cached_property
     def config_periods(self) -> DataFrame:
         """W1/W2 over the wide configuration history."""
-        return intervals.config_periods(self.configs)
+        cfg = self.configs
+        if self.p.scope_cluster_metrics:
+            cfg = scope.configs_in_scope(cfg, self.scope)
+        return intervals.config_periods(cfg)
 
     @cached_property
     def cluster_idle_with_config(self) -> DataFrame:

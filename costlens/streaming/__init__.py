@@ -1,0 +1,7 @@
+"""Streaming.
+
+The computed tables are batch refreshes over a fixed lower date bound; there
+is no stream source, watermark or stateful operator to reproduce, so this
+package holds no operator.  Every dataset in :mod:`costlens.plans` is a plain
+DataFrame and can be recomputed per refresh with the same code.
+"""
