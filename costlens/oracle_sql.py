@@ -105,10 +105,10 @@ SELECT c_custkey AS workspace_id, c_custkey AS customer_id, c_custkey%7 AS accou
        CASE WHEN c_custkey%8=7 THEN ' Internal ' ELSE ' External ' END AS workspace_type,
        CASE WHEN c_custkey%11=10 THEN NULL ELSE c_name END AS crm_account_name,
        CASE WHEN c_custkey%13=12 THEN NULL ELSE c_custkey END AS crm_account_id
-FROM customer WHERE c_custkey<25""")
+FROM customer""")
 
 cte("f_excluded_accounts", """
-SELECT s_suppkey AS account_id FROM supplier WHERE s_suppkey<25 AND s_acctbal<1500""")
+SELECT s_suppkey AS account_id FROM supplier WHERE s_acctbal<1500""")
 
 cte("f_workload_cluster_usage", """
 SELECT DATE '2024-01-01' + CAST(l_orderkey%30 AS INTEGER) AS date, l_returnflag AS sku,

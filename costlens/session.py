@@ -67,6 +67,7 @@ def local_session(cpus: int | None = None, partitions: int | None = None, app: s
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions or cpus))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))

@@ -231,7 +231,6 @@ class TestTables:
         key = F.col("c_custkey")
         return (
             self.raw("customer")
-            .where(key < 25)
             .select(
                 key.alias("workspace_id"),
                 key.alias("customer_id"),
@@ -247,7 +246,7 @@ class TestTables:
     def excluded_accounts(self) -> DataFrame:
         return (
             self.raw("supplier")
-            .where((F.col("s_suppkey") < 25) & (F.col("s_acctbal") < 1500))
+            .where(F.col("s_acctbal") < 1500)
             .select(F.col("s_suppkey").alias("account_id"))
         )
 
