@@ -27,8 +27,9 @@ plan here instead
 Effective-dated join
 --------------------
 Config periods come from ``lead`` over one row per cluster and change day
-(bounded by the number of days), and the range join is done once per
-distinct (workspace, cluster, date) of the facts, then equi-joined back.
+(bounded by the number of days); the period in force is found by an as-of
+lookup over the distinct fact days and period start days of a cluster
+(bounded by the number of days), then equi-joined back to the facts.
 """
 
 from __future__ import annotations
@@ -201,25 +202,48 @@ def effective_join(
 ) -> DataFrame:
     """Attach the period in force on each fact's date (left join).
 
+    An as-of lookup instead of a range join: the distinct (key, day) pairs of
+    the facts are unioned with the start days of the non-empty periods, and
+    ``last(period, ignorenulls)`` over the rows of a cluster ordered by day
+    picks the period started last on or before each day.  A window partition
+    holds at most one fact row and one period start per calendar day, so the
+    cost is linear and bounded per cluster whatever the data volume; the
+    result is equi-joined back to the facts.  Periods of one cluster do not
+    overlap (``config_periods``), so a fact row never fans out.
+
     Fact keys are kept (the reference nulls them for unmatched rows, X7); the
-    period's own key columns are not repeated.
+    period's own key columns are not repeated.  Null keys never match.
     """
     keys = list(keys)
-    days = facts.select(*keys, date_col).distinct().alias("f")
-    per = periods.alias("p")
-    cond = [F.col(f"f.{k}") == F.col(f"p.{k}") for k in keys]
-    cond.append(F.col(f"f.{date_col}") >= F.col("p.change_date"))
-    cond.append(
-        (F.col(f"f.{date_col}") <= F.col("p.valid_to")) | F.col("p.valid_to").isNull()
-    )
-    cond_all = cond[0]
-    for c in cond[1:]:
-        cond_all = cond_all & c
     period_cols = [c for c in periods.columns if c not in keys]
-    matched = days.join(per, cond_all, "inner").select(
-        *[F.col(f"f.{k}").alias(k) for k in keys],
-        F.col(f"f.{date_col}").alias(date_col),
-        *[F.col(f"p.{c}").alias(c) for c in period_cols],
+    not_null = F.lit(True)
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    live = periods.where(
+        not_null
+        & F.col("change_date").isNotNull()
+        & (F.col("valid_to").isNull() | (F.col("valid_to") >= F.col("change_date")))
+    )
+    starts = live.select(*keys, F.col("change_date").alias("_d"), F.struct(*period_cols).alias("_p"))
+    days = (
+        facts.where(not_null & F.col(date_col).isNotNull())
+        .select(*keys, F.col(date_col).alias("_d"))
+        .distinct()
+    )
+    both = days.unionByName(starts, allowMissingColumns=True)
+    w = (
+        Window.partitionBy(*keys)
+        .orderBy(F.col("_d"), F.col("_p").isNull())  # a period starting on a day applies to it
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    cur = both.select(
+        *keys, "_d", F.col("_p").isNull().alias("_fact"), F.last("_p", ignorenulls=True).over(w).alias("_cur")
+    )
+    in_force = F.col("_cur").isNotNull() & (
+        F.col("_cur.valid_to").isNull() | (F.col("_d") <= F.col("_cur.valid_to"))
+    )
+    matched = cur.where(F.col("_fact") & in_force).select(
+        *keys, F.col("_d").alias(date_col), *[F.col(f"_cur.{c}").alias(c) for c in period_cols]
     )
     out = facts.join(matched, [*keys, date_col], "left")
     return out.select(*facts.columns, *period_cols)

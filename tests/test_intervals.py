@@ -159,3 +159,22 @@ def test_not_in_and_scope(spark):
     assert ids(scope.scope_not_in(ws, ex2, P)) == []
     none = spark.createDataFrame([], EXCLUDED_ACCOUNTS)
     assert ids(scope.scope_workspaces(ws, none, P)) == [1, 2]
+
+
+def test_effective_join_equals_range_join(spark, params):
+    from costlens.sources import Sources
+
+    src = Sources.from_test_tables(spark, "/root/testdata/sf0.01")
+    per = intervals.config_periods(A.cluster_configs(src.cluster_configs, params))
+    facts = src.workload_costs.select(
+        "date", F.when(F.col("workload_id") % 17 == 0, None).otherwise(F.col("workspace_id")).alias("workspace_id"),
+        "cluster_id", "workload_id")
+    ours = intervals.effective_join(facts, per)
+    f, p = facts.alias("f"), per.alias("p")
+    cond = ((F.col("f.workspace_id") == F.col("p.workspace_id")) & (F.col("f.cluster_id") == F.col("p.cluster_id"))
+            & (F.col("f.date") >= F.col("p.change_date"))
+            & ((F.col("f.date") <= F.col("p.valid_to")) | F.col("p.valid_to").isNull()))
+    brute = f.join(p, cond, "left").select(*[F.col("f." + c) for c in facts.columns],
+                                           *[F.col("p." + c) for c in per.columns if c not in ("workspace_id", "cluster_id")])
+    assert ours.count() == facts.count() == brute.count()
+    assert ours.exceptAll(brute).count() == 0
