@@ -10,17 +10,19 @@ ceiling.  Spark has no range-join index, so a plain equi-join on
 a cluster-day with every sample of it — quadratic on a hot cluster-day.  The
 plan here instead
 
-1. pre-aggregates samples per (date, workspace, cluster, role, start, end)
-   (min / max / sum / count per metric; partial aggregation runs map-side, so
-   the many nodes of one cluster sampling the same minute collapse before the
-   shuffle);
+1. pre-aggregates samples per (date, workspace, cluster, role, start minute,
+   end minute) — exact because run windows are minute-aligned — with
+   min / max / sum / count per metric; partial aggregation runs map-side, so
+   all nodes of a cluster sampling a minute collapse to ~one row per role
+   before the shuffle;
 2. profiles each distinct run window (date, workspace, cluster, floor,
    ceiling) once, whatever the number of runs sharing it;
 3. adds a time bucket of the sample start to the equi keys: a window is
    exploded into the buckets it covers (at most ``86400 / bucket_seconds``
-   per day with ``same_date``), and a contained sample's start lies in exactly
-   one of them, so the result is exact and the per-key cross product is bounded
-   by one bucket;
+   per day with ``same_date``), and a contained sample's start minute lies in
+   exactly one of them, so the result is exact; the rows a window meets in a
+   bucket are at most ~2 per minute and role, so a window's work is
+   proportional to its length in minutes, independent of data volume;
 4. merges the partial aggregates per window and left-joins them back to the
    runs, so runs without samples keep null profiles.
 
@@ -62,8 +64,21 @@ def _bucket(ts: Column, width: int) -> Column:
     return F.floor(F.unix_seconds(ts) / F.lit(width))
 
 
+def _minute_ceil(ts: Column) -> Column:
+    floor = F.date_trunc("minute", ts)
+    return F.when(floor == ts, floor).otherwise(F.timestamp_add("MINUTE", F.lit(1), floor))
+
+
 def _sample_partials(samples: DataFrame, p: Params, roles: Sequence[str]) -> DataFrame:
-    """Samples collapsed per (date, workspace, cluster, role, start, end)."""
+    """Samples collapsed per (date, workspace, cluster, role, start minute, end minute).
+
+    Run windows are minute-aligned (floor and ceiling of the run), so
+    ``start >= floor`` holds exactly when the start's minute floor does, and
+    ``end <= ceiling`` exactly when the end's minute ceiling does.  Grouping
+    by the two minute marks is therefore exact and bounds the rows per
+    cluster-minute and role by the number of distinct sample lengths (about
+    one or two), whatever the number of nodes or their second offsets.
+    """
     flags = [ROLES[r][0] for r in roles]
     s = samples.where(
         F.col("driver").isin(*flags) & F.col("start_time").isNotNull() & F.col("end_time").isNotNull()
@@ -77,11 +92,18 @@ def _sample_partials(samples: DataFrame, p: Params, roles: Sequence[str]) -> Dat
             F.count(m).alias(f"n_{m}"),
         ]
     aggs += [F.sum(b).alias(f"sb_{b}") for b in _BYTE_NAMES]
-    keys = ["date", "workspace_id", "cluster_id", "driver", "start_time", "end_time"]
+    keys = [
+        "date",
+        "workspace_id",
+        "cluster_id",
+        "driver",
+        F.date_trunc("minute", F.col("start_time")).alias("_a"),
+        _minute_ceil(F.col("end_time")).alias("_e"),
+    ]
     return (
         s.groupBy(*keys)
         .agg(*aggs)
-        .withColumn("_bucket", _bucket(F.col("start_time"), p.bucket_seconds))
+        .withColumn("_bucket", _bucket(F.col("_a"), p.bucket_seconds))
     )
 
 
@@ -111,8 +133,8 @@ def window_profile(
         (F.col("w.workspace_id") == F.col("s.workspace_id"))
         & (F.col("w.cluster_id") == F.col("s.cluster_id"))
         & (F.col("w._bucket") == F.col("s._bucket"))
-        & (F.col("s.start_time") >= F.col("w.run_start_floor"))
-        & (F.col("s.end_time") <= F.col("w.run_term_ceil"))
+        & (F.col("s._a") >= F.col("w.run_start_floor"))
+        & (F.col("s._e") <= F.col("w.run_term_ceil"))
     )
     if p.same_date:
         cond = cond & (F.col("w.date") == F.col("s.date"))

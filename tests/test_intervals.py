@@ -178,3 +178,16 @@ def test_effective_join_equals_range_join(spark, params):
                                            *[F.col("p." + c) for c in per.columns if c not in ("workspace_id", "cluster_id")])
     assert ours.count() == facts.count() == brute.count()
     assert ours.exceptAll(brute).count() == 0
+
+
+def test_partials_collapse_nodes(spark):
+    """60 nodes sampling one minute at different second offsets collapse to two rows per role."""
+    rows = []
+    for node in range(60):
+        s = T(2024, 1, 2, 10, 0, node)
+        rows.append((True, s, s + dt.timedelta(minutes=1), node, 1))
+    parts = intervals._sample_partials(timeline(spark, rows), P, ("driver", "worker"))
+    assert parts.count() == 2  # end minute 10:01 (offset 0) and 10:02 (offsets 1-59)
+    runs = job_runs(spark, [(dt.date(2024, 1, 2), 1, 600, T(2024, 1, 2, 10, 5))])
+    r = intervals.run_profile(runs, timeline(spark, rows), P).first()
+    assert (r.min_d_cpu_user_pct, r.max_d_cpu_user_pct, r.avg_d_cpu_user_pct) == (0.0, 59.0, 29.5)
