@@ -55,3 +55,28 @@ def test_write_table_and_runner(spark):
     direct = _pl(spark).risk_rollup_workspace
     assert stored.count() == direct.count()
     assert os.path.isdir(paths["run_risk"])
+
+
+def test_a9_equals_a8_with_run_filter(spark):
+    pl = _pl(spark)
+    a8 = pl.costs_with_run
+    a9 = pl.costs_sql.select(*a8.columns)
+    assert a8.count() == a9.count() and a8.exceptAll(a9).count() == 0 and a9.exceptAll(a8).count() == 0
+
+
+def test_penalty_within_unit_interval(spark):
+    r = _pl(spark).run_risk.agg(F.min("utilization_penalty").alias("lo"), F.max("utilization_penalty").alias("hi"),
+                               F.max(F.abs(F.col("rev_at_risk") - F.col("rev_at_risk_utilization")
+                                           - F.col("rev_at_risk_all_purpose"))).alias("gap")).first()
+    assert 0 <= r.lo <= r.hi <= 1 and r.gap < 1e-9
+
+
+def test_table_comment(spark):
+    loc = tempfile.mkdtemp(prefix="costlens-db-")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS costlens_test LOCATION '{loc}'")
+    df = _pl(spark).warehouse_daily
+    write_table(df, table="costlens_test.wd", partition_by=("date",), comment="risk and usage")
+    desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED costlens_test.wd").collect()}
+    assert desc.get("Comment") == "risk and usage"
+    assert spark.table("costlens_test.wd").count() == df.count()
+    spark.sql("DROP TABLE costlens_test.wd")
