@@ -28,6 +28,9 @@ STORED = (
     ("risk_rollup_account", D, ()),
     ("risk_rollup_job", D, ()),
     ("risk_rollup_workspace", D, ()),
+    # Intermediate: the cost core feeds both the cost totals and the SQL
+    # branch; writing it once avoids computing the cost-mapping join twice.
+    ("account_cost_core", D, ()),
     ("account_risk", D, ()),
     ("cluster_idle_with_config", D, ()),
     ("warehouse_daily", D, ()),
