@@ -333,7 +333,7 @@ SELECT *, {_FLAT} AS all_purpose_penalty,
        attributed_revenue * (({_FLAT}) + utilization_penalty - ({_FLAT}) * utilization_penalty) AS rev_at_risk
 FROM run_utilization_risk""", "run_utilization_risk")
 
-_ROLLUP_AGGS = """sum(duration_seconds) AS total_duration_seconds,
+_ROLLUP_AGGS = """CAST(sum(duration_seconds) AS BIGINT) AS total_duration_seconds,
        avg(avg_cluster_cpu_utilization) AS avg_cluster_cpu_utilization,
        avg(avg_cluster_mem_used_percent) AS avg_cluster_mem_used_percent,
        avg(total_network_gb_sent) AS avg_cluster_network_gb_sent,

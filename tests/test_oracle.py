@@ -60,3 +60,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "total_revenue_at_risk" in df.columns
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def test_column_types_agree(spark, con):
+    for key, q in E.queries().items():
+        s = {f.name: f.dataType.simpleString() for f in q(spark, SF).schema.fields}
+        rel = con.sql(E.oracle_sql()[key])
+        o = dict(zip(rel.columns, map(str, rel.types)))
+        assert {n: SPARK_TO_DUCK.get(t, t) for n, t in s.items()} == o, key
