@@ -17,6 +17,18 @@ from costlens.params import Params
 
 HALF = Decimal("0.5")
 
+# Vocabulary of the cost source that the rules test against.
+RUNNING = "running"
+PRODUCT_ALL_PURPOSE = "ALL_PURPOSE"
+PRODUCT_JOBS = "JOBS"
+WORKLOAD_JOB_RUNS = "jobRuns"
+WORKLOAD_IDLE = "idleWorkloads"
+SKU_SERVERLESS_LIKE = "%serverl%"
+SKU_SQL_LIKE = "%SQL%"
+SKU_SERVERLESS_SQL_LIKE = "%SERVERLESS%"
+STATUS_FAILED = "failed"
+STATUS_SUCCESS = "success"
+
 
 # E1 ---------------------------------------------------------------------------
 def normalized_status(terminal: Column, command: Column, pipeline: Column) -> Column:
@@ -26,7 +38,7 @@ def normalized_status(terminal: Column, command: Column, pipeline: Column) -> Co
     state, else the command status, else the pipeline state (may be null).
     """
     return (
-        F.when(F.lower(terminal) == "running", F.lower(command))
+        F.when(F.lower(terminal) == RUNNING, F.lower(command))
         .when(terminal.isNotNull(), F.lower(terminal))
         .when(command.isNotNull(), F.lower(command))
         .otherwise(F.lower(pipeline))
@@ -40,7 +52,7 @@ def is_failed(status: Column, p: Params) -> Column:
 
 
 def job_status(status: Column, p: Params) -> Column:
-    return F.when(is_failed(status, p), "failed").otherwise("success")
+    return F.when(is_failed(status, p), STATUS_FAILED).otherwise(STATUS_SUCCESS)
 
 
 def half_up(money: Column, scale: int = 2) -> Column:
@@ -60,13 +72,13 @@ def revenue_after_failures(status: Column, revenue: Column, p: Params) -> Column
 
 # E5-E9 ----------------------------------------------------------------------
 def _all_purpose(product: Column, sku: Column, workload_name: Column, kind: str) -> Column:
-    return (product == "ALL_PURPOSE") & ~sku.ilike("%serverl%") & (workload_name == kind)
+    return (product == PRODUCT_ALL_PURPOSE) & ~sku.ilike(SKU_SERVERLESS_LIKE) & (workload_name == kind)
 
 
 def idle_revenue(product: Column, sku: Column, workload_name: Column, revenue: Column) -> Column:
     """E5: idle all-purpose, non-serverless revenue (rounded), else 0."""
     return F.when(
-        _all_purpose(product, sku, workload_name, "idleWorkloads"), half_up(revenue)
+        _all_purpose(product, sku, workload_name, WORKLOAD_IDLE), half_up(revenue)
     ).otherwise(0)
 
 
@@ -84,7 +96,7 @@ def tiered_interactive_risk(
 ) -> Column:
     """At-risk share of interactive job revenue by SKU tier."""
     return F.when(
-        _all_purpose(product, sku, workload_name, "jobRuns"), _tiered(sku, revenue, p, 1, F.lit(0))
+        _all_purpose(product, sku, workload_name, WORKLOAD_JOB_RUNS), _tiered(sku, revenue, p, 1, F.lit(0))
     ).otherwise(0)
 
 
@@ -94,18 +106,18 @@ def tiered_corrected_revenue(
     """Interactive job revenue after the tier correction."""
     rounded = half_up(revenue)
     return F.when(
-        _all_purpose(product, sku, workload_name, "jobRuns"), _tiered(sku, revenue, p, 2, rounded)
+        _all_purpose(product, sku, workload_name, WORKLOAD_JOB_RUNS), _tiered(sku, revenue, p, 2, rounded)
     ).otherwise(rounded)
 
 
 def sql_compute(sku: Column) -> Column:
     """SQL SKU flag."""
-    return sku.ilike("%SQL%")
+    return sku.ilike(SKU_SQL_LIKE)
 
 
 def serverless_sql_compute(sku: Column) -> Column:
     """Serverless SQL SKU flag."""
-    return sku.ilike("%SQL%") & sku.ilike("%SERVERLESS%")
+    return sku.ilike(SKU_SQL_LIKE) & sku.ilike(SKU_SERVERLESS_SQL_LIKE)
 
 
 # E10-E11 ------------------------------------------------------------------------
@@ -116,8 +128,8 @@ def flat_penalty(product: Column, p: Params, null_product: bool = False) -> Colu
     """
     pen = F.lit(float(p.flat_penalty))
     if null_product:
-        return F.when(product == "JOBS", F.lit(0.0)).when(product != "JOBS", pen)
-    return F.when(product != "JOBS", pen).otherwise(F.lit(0.0))
+        return F.when(product == PRODUCT_JOBS, F.lit(0.0)).when(product != PRODUCT_JOBS, pen)
+    return F.when(product != PRODUCT_JOBS, pen).otherwise(F.lit(0.0))
 
 
 def interactive_risk(penalty: Column, revenue: Column) -> Column:
