@@ -60,3 +60,41 @@ def run_pipeline(
         pl.__dict__[name] = spark.read.parquet(path)
         paths[name] = path
     return paths
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m costlens.plans.runner --sources sources.json --start-date D``
+
+    ``sources.json`` maps each logical source name to a path or catalog table.
+    Dates default to the session conf keys ``costlens.start_date`` /
+    ``costlens.change_date``; the output folder to ``spark.checkpoint.dir``.
+    """
+    import argparse
+    import json
+
+    from costlens.session import apply_required_conf
+
+    ap = argparse.ArgumentParser(prog="costlens.plans.runner")
+    ap.add_argument("--sources", required=True, help="JSON file: logical source -> path or table")
+    ap.add_argument("--start-date")
+    ap.add_argument("--change-date")
+    ap.add_argument("--excluded-name", action="append", default=[])
+    ap.add_argument("--out", help="output folder (default: <spark.checkpoint.dir>/costlens)")
+    ap.add_argument("--only", action="append", help="dataset to write (repeatable)")
+    args = ap.parse_args(argv)
+
+    spark = apply_required_conf(SparkSession.builder.getOrCreate())
+    with open(args.sources) as fh:
+        paths = json.load(fh)
+    if args.start_date:
+        params = Params(args.start_date, args.change_date, tuple(args.excluded_name))
+    else:
+        params = Params.from_conf(spark, excluded_names=tuple(args.excluded_name))
+    out = run_pipeline(
+        spark, Sources.from_paths(spark, paths), params, args.out, tuple(args.only) if args.only else None
+    )
+    print(json.dumps(out))
+
+
+if __name__ == "__main__":
+    main()
