@@ -63,7 +63,7 @@ def run_pipeline(
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit -m costlens.plans.runner --sources sources.json --start-date D``
+    """``spark-submit --py-files costlens.zip costlens/plans/runner.py --sources sources.json ...``
 
     ``sources.json`` maps each logical source name to a path or catalog table.
     Dates default to the session conf keys ``costlens.start_date`` /
