@@ -209,11 +209,19 @@ def config_periods(configs: DataFrame) -> DataFrame:
         F.max(F.struct(*order)).alias("_last")
     )
     nxt = F.lead("change_date").over(Window.partitionBy(*CLUSTER_KEY).orderBy("change_date"))
-    days = last.select("*", F.date_sub(nxt, 1).alias("_next_end"))
-    out = configs.join(days, [*CLUSTER_KEY, "change_date"], "left")
-    owner = F.struct(*order) == F.col("_last")
+    day_key = [*CLUSTER_KEY, "change_date"]
+    days = last.select(
+        *[F.col(k).alias("_k_" + k) for k in day_key], "_last", F.date_sub(nxt, 1).alias("_next_end")
+    )
+    # Null-safe: rows with a null key form their own partition, as with ``lead``.
+    cond = None
+    for k in day_key:
+        c = configs[k].eqNullSafe(days["_k_" + k])
+        cond = c if cond is None else cond & c
+    out = configs.join(days, cond, "left")
+    owner = F.struct(*order).eqNullSafe(F.col("_last"))
     valid_to = F.when(owner, F.col("_next_end")).otherwise(F.date_sub("change_date", 1))
-    return out.select(*configs.columns, valid_to.alias("valid_to"))
+    return out.select(*[configs[c] for c in configs.columns], valid_to.alias("valid_to"))
 
 
 def effective_join(

@@ -191,3 +191,13 @@ def test_partials_collapse_nodes(spark):
     runs = job_runs(spark, [(dt.date(2024, 1, 2), 1, 600, T(2024, 1, 2, 10, 5))])
     r = intervals.run_profile(runs, timeline(spark, rows), P).first()
     assert (r.min_d_cpu_user_pct, r.max_d_cpu_user_pct, r.avg_d_cpu_user_pct) == (0.0, 59.0, 29.5)
+
+
+def test_config_periods_null_cluster_partition(spark):
+    from costlens.sources.schemas import CLUSTER_CONFIGS
+
+    D = dt.date
+    rows = [(1, None, 0, D(2024, 1, 1), T(2024, 1, 1, 8), 10), (1, None, 0, D(2024, 1, 3), T(2024, 1, 3, 8), 20)]
+    cfg = A.cluster_configs(spark.createDataFrame([r + (None,) * 10 for r in rows], CLUSTER_CONFIGS), P)
+    got = {r.auto_termination_minutes: r.valid_to for r in intervals.config_periods(cfg).collect()}
+    assert got == {10: D(2024, 1, 2), 20: None}
