@@ -207,26 +207,35 @@ class Pipeline:
         return scope.warehouse_in_scope(self.warehouse, self.scope)
 
     # -- entry A: per-run utilization and risk ------------------------------------------
+    def _with_usage(self, runs: DataFrame) -> DataFrame:
+        u = self.usage.select("date", "workspace_id", "cluster_id", "usage_origin", "sku_name").distinct()
+        out = runs.join(u, ["date", "workspace_id", "cluster_id"], "left")
+        return out.select(*runs.columns, "usage_origin", "sku_name")
+
+    def _with_config(self, runs: DataFrame) -> DataFrame:
+        c = self.configs_scoped.select("workspace_id", "cluster_id", "auto_termination_minutes").distinct()
+        out = runs.join(c, ["workspace_id", "cluster_id"], "left")
+        return out.select(*runs.columns, "auto_termination_minutes")
+
     @cached_property
     def runs_with_usage(self) -> DataFrame:
         """Runs with usage origin and SKU (distinct per run key, X3)."""
-        u = self.usage.select("date", "workspace_id", "cluster_id", "usage_origin", "sku_name").distinct()
-        r = self.runs_scoped
-        out = r.join(u, ["date", "workspace_id", "cluster_id"], "left")
-        return out.select(*r.columns, "usage_origin", "sku_name")
+        return self._with_usage(self.runs_scoped)
 
     @cached_property
     def runs_with_config(self) -> DataFrame:
         """Runs with auto-termination settings (whole history, distinct, X3)."""
-        c = self.configs_scoped.select("workspace_id", "cluster_id", "auto_termination_minutes").distinct()
-        r = self.runs_with_usage
-        out = r.join(c, ["workspace_id", "cluster_id"], "left")
-        return out.select(*r.columns, "auto_termination_minutes")
+        return self._with_config(self.runs_with_usage)
 
     @cached_property
     def run_base(self) -> DataFrame:
-        """One row per distinct run line (the reference's group-by on all columns)."""
-        return self.runs_with_config.distinct()
+        """One row per distinct run line (the reference's group-by on all columns).
+
+        Both joined sides are distinct on their projected columns, so rows built
+        from distinct runs are already distinct: the de-duplication runs on the
+        narrow run rows, before the usage and configuration fan-out.
+        """
+        return self._with_config(self._with_usage(self.runs_scoped.distinct()))
 
     @cached_property
     def run_driver_profile(self) -> DataFrame:

@@ -85,3 +85,11 @@ def test_params_from_conf(spark):
     p = Params.from_conf(spark)
     assert p.start_date == D(2024, 1, 5) and p.change_date == D(2024, 1, 5)
     spark.conf.unset("costlens.start_date")
+
+
+def test_duplicate_run_rows_merge(spark):
+    samples = [sample(True, T(2024, 1, 2, 10, 22), 5), sample(True, T(2024, 1, 2, 10, 25), 7)]
+    pl = Pipeline(sources(spark, workspaces=WS, job_runs=RUN + RUN, node_timeline=samples), P)
+    out = pl.run_worker_profile.collect()
+    assert len(out) == 1 and int(out[0].sum_d_network_sent_bytes) == 12
+    assert pl.runs_with_config.count() == 2  # D5/D6 keep the input rows as they are
