@@ -117,22 +117,42 @@ def account_cost_totals(core: DataFrame) -> DataFrame:
 
 # F9 / F10 / F11 -------------------------------------------------------------------
 def unit_totals(sql_rows: DataFrame) -> DataFrame:
-    """tasks and slots per (date, business unit)."""
+    """F9 directly over SQL cost rows: tasks and slots per (date, business unit)."""
     return sql_rows.groupBy("date", "bu_1").agg(
         F.sum("active_tasks").alias("dat_bu1"),
         F.sum("task_slots").alias("dts_bu1"),
     )
 
 
-def account_totals(sql_rows_with_unit: DataFrame) -> DataFrame:
-    """tasks, slots and SQL dollars per account dims and unit totals."""
-    return sql_rows_with_unit.groupBy(*ACCOUNT_DIMS, "dat_bu1", "dts_bu1").agg(
+def account_sums(sql_rows: DataFrame) -> DataFrame:
+    """Tasks, slots and SQL dollars per account dimensions."""
+    return sql_rows.groupBy(*ACCOUNT_DIMS).agg(
         F.sum("active_tasks").alias("dat_acnt"),
         F.sum("task_slots").alias("dts_acnt"),
         F.sum("rounded_revenue").alias("sql_dollars"),
     )
 
 
+def unit_totals_from_accounts(sums: DataFrame) -> DataFrame:
+    """F9 from :func:`account_sums`: (date, bu_1) is part of the account dims and
+    sums are decomposable, so this equals :func:`unit_totals` over the rows."""
+    return sums.groupBy("date", "bu_1").agg(
+        F.sum("dat_acnt").alias("dat_bu1"),
+        F.sum("dts_acnt").alias("dts_bu1"),
+    )
+
+
+def account_totals(sums: DataFrame, units: DataFrame) -> DataFrame:
+    """per-account sums with the day's unit totals.
+
+    The unit totals depend only on (date, bu_1), which the dims contain, so
+    grouping by dims + unit totals (as the rows-level form does) gives the
+    same groups as attaching the unit totals to the per-account sums.
+    """
+    j = sums.join(units, ["date", "bu_1"], "left")
+    return j.select(*ACCOUNT_DIMS, "dat_bu1", "dts_bu1", "dat_acnt", "dts_acnt", "sql_dollars")
+
+
 def cost_and_util(totals: DataFrame, account: DataFrame) -> DataFrame:
     """D15 + F11: cost totals joined to SQL utilization, re-aggregated."""
     joined = totals.join(account, list(ACCOUNT_DIMS), "left")

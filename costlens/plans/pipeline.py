@@ -362,16 +362,20 @@ class Pipeline:
             F.col("h_task_slots").alias("task_slots"),
         )
 
+    @cached_property
+    def sql_account_sums(self) -> DataFrame:
+        """Tasks, slots and SQL dollars per account dims: one pass over the cost rows."""
+        return rollups.account_sums(self.sql_rows)
+
     @cached_property
     def warehouse_util_by_unit(self) -> DataFrame:
-        """F9."""
-        return rollups.unit_totals(self.sql_rows)
+        """F9, re-aggregated from the per-account sums ((date, bu_1) is among the dims)."""
+        return rollups.unit_totals_from_accounts(self.sql_account_sums)
 
     @cached_property
     def warehouse_util_by_account(self) -> DataFrame:
-        """D14 + F10."""
-        j = self.sql_rows.join(self.warehouse_util_by_unit, ["date", "bu_1"], "left")
-        return rollups.account_totals(j)
+        """D14 + F10: per-account sums with their unit totals attached."""
+        return rollups.account_totals(self.sql_account_sums, self.warehouse_util_by_unit)
 
     @cached_property
     def account_cost_and_util(self) -> DataFrame:

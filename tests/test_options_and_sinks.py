@@ -80,3 +80,13 @@ def test_table_comment(spark):
     assert desc.get("Comment") == "risk and usage"
     assert spark.table("costlens_test.wd").count() == df.count()
     spark.sql("DROP TABLE costlens_test.wd")
+
+
+def test_unit_totals_from_account_sums_equal_rows_form(spark):
+    from costlens.operators import rollups
+
+    for kw in ({}, {"weight": "none"}):
+        pl = _pl(spark, **kw)
+        direct = rollups.unit_totals(pl.sql_rows)
+        derived = pl.warehouse_util_by_unit
+        assert direct.exceptAll(derived).count() == 0 and derived.exceptAll(direct).count() == 0
