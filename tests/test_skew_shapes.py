@@ -1,0 +1,57 @@
+"""Work bounds of the run profile on a hot cluster-day (inline rows).
+
+One cluster-day with 40 nodes sampling every minute at random second offsets
+and 200 short runs: the plain equi-join on (date, workspace, cluster) would
+compare every run with every sample; the bucketed join compares each run
+window only with the collapsed rows of the hours it covers.
+"""
+
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from costlens.operators import intervals
+from costlens.params import Params
+from costlens.sources import adapters as A
+from costlens.sources.schemas import JOB_RUNS, NODE_TIMELINE
+
+P = Params(start_date="2024-01-01")
+
+
+def test_hot_cluster_day_candidates_are_bounded(spark):
+    rnd = random.Random(7)
+    day = dt.datetime(2024, 1, 2)
+    samples = []
+    for node in range(40):
+        off = rnd.randint(0, 59)
+        for minute in range(0, 24 * 60, 3):
+            s = day + dt.timedelta(minutes=minute, seconds=off)
+            samples.append((0, 1, 10, node, node == 0, s, s + dt.timedelta(minutes=1),
+                            float(rnd.randint(0, 90)), 1.0, 1.0, 40.0, 0.0, 10, 10))
+    runs = []
+    for i in range(200):
+        end = day + dt.timedelta(minutes=rnd.randint(30, 24 * 60 - 1), seconds=rnd.randint(0, 59))
+        runs.append((day.date(), 1, 10, i % 7, i, rnd.randint(60, 1800), end, "SUCCEEDED", "NEW", "NOTEBOOK", "CRON"))
+    r = A.job_runs(spark.createDataFrame(runs, JOB_RUNS), P)
+    t = A.timeline(spark.createDataFrame(samples, NODE_TIMELINE), P)
+
+    naive = r.count() * t.count()  # equi-join on (date, workspace, cluster): one key
+    wb = intervals._window_buckets(r, P)
+    sp = intervals._sample_partials(t, P, ("driver", "worker"))
+    bucketed = wb.join(sp, ["date", "workspace_id", "cluster_id", "_bucket"]).count()
+    assert sp.count() <= 2 * 2 * (24 * 60 // 3)  # collapsed: ≤ 2 end minutes x 2 roles per sampled minute
+    print("candidate pairs: naive", naive, "bucketed", bucketed, "partials", sp.count(), "samples", t.count())
+    assert bucketed * 50 < naive, (bucketed, naive)
+
+    # and the result equals the plain containment join
+    ours = intervals.run_profile(r, t, P)
+    ts = t.where(F.col("driver") == True).select(  # noqa: E712
+        F.col("date").alias("t_date"), "start_time", "end_time", "cpu_user_pct")
+    cond = ((ts["start_time"] >= r["run_start_floor"]) & (ts["end_time"] <= r["run_term_ceil"])
+            & (ts["t_date"] == r["date"]))
+    plain = r.join(ts, cond, "left").groupBy(*r.columns).agg(
+        F.max("cpu_user_pct").alias("max_d_cpu_user_pct"), F.avg("cpu_user_pct").alias("avg_d_cpu_user_pct"))
+    a = ours.select("run_id", "max_d_cpu_user_pct", "avg_d_cpu_user_pct")
+    b = plain.select("run_id", "max_d_cpu_user_pct", "avg_d_cpu_user_pct")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
