@@ -46,20 +46,35 @@ def run_pipeline(
     params: Params,
     base: str | None = None,
     only: tuple[str, ...] | None = None,
+    database: str | None = None,
 ) -> dict[str, str]:
-    """Write every stored dataset (or those in ``only``) and return their paths."""
-    base = (base or checkpoint_dir(spark).rstrip("/") + "/costlens").rstrip("/")
+    """Write every stored dataset (or those in ``only``); return where each went.
+
+    With ``database`` the datasets become catalog tables ``database.name``
+    (with their comments, K3); otherwise parquet folders under ``base``.
+    """
+    if database is None:
+        base = (base or checkpoint_dir(spark).rstrip("/") + "/costlens").rstrip("/")
     pl = Pipeline(sources, params)
-    paths = {}
+    out = {}
     for name, partition_by, cluster_by in STORED:
         if only is not None and name not in only:
             continue
-        path = f"{base}/{name}"
-        write_table(getattr(pl, name), path=path, partition_by=partition_by, cluster_by=cluster_by)
+        df = getattr(pl, name)
+        if database is None:
+            loc = f"{base}/{name}"
+            write_table(df, path=loc, partition_by=partition_by, cluster_by=cluster_by)
+            stored = spark.read.parquet(loc)
+        else:
+            loc = f"{database}.{name}"
+            write_table(
+                df, table=loc, partition_by=partition_by, cluster_by=cluster_by, comment=COMMENTS.get(name)
+            )
+            stored = spark.table(loc)
         # Downstream datasets are planned over the stored table.
-        pl.__dict__[name] = spark.read.parquet(path)
-        paths[name] = path
-    return paths
+        pl.__dict__[name] = stored
+        out[name] = loc
+    return out
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -80,6 +95,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--change-date")
     ap.add_argument("--excluded-name", action="append", default=[])
     ap.add_argument("--out", help="output folder (default: <spark.checkpoint.dir>/costlens)")
+    ap.add_argument("--database", help="write catalog tables in this database instead of folders")
     ap.add_argument("--only", action="append", help="dataset to write (repeatable)")
     args = ap.parse_args(argv)
 
@@ -91,7 +107,12 @@ def main(argv: list[str] | None = None) -> None:
     else:
         params = Params.from_conf(spark, excluded_names=tuple(args.excluded_name))
     out = run_pipeline(
-        spark, Sources.from_paths(spark, paths), params, args.out, tuple(args.only) if args.only else None
+        spark,
+        Sources.from_paths(spark, paths),
+        params,
+        args.out,
+        tuple(args.only) if args.only else None,
+        args.database,
     )
     print(json.dumps(out))
 

@@ -90,3 +90,14 @@ def test_unit_totals_from_account_sums_equal_rows_form(spark):
         direct = rollups.unit_totals(pl.sql_rows)
         derived = pl.warehouse_util_by_unit
         assert direct.exceptAll(derived).count() == 0 and derived.exceptAll(direct).count() == 0
+
+
+def test_runner_into_catalog_with_comment(spark):
+    loc = tempfile.mkdtemp(prefix="costlens-db-")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS costlens_run LOCATION '{loc}'")
+    out = run_pipeline(spark, Sources.from_test_tables(spark, SF), fixture_params(), database="costlens_run",
+                       only=("account_cost_core", "account_risk"))
+    assert out == {"account_cost_core": "costlens_run.account_cost_core", "account_risk": "costlens_run.account_risk"}
+    desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED costlens_run.account_risk").collect()}
+    assert desc.get("Comment") == "Materialized view aggregating risk and usage dollars"
+    assert spark.table("costlens_run.account_risk").count() == _pl(spark).account_risk.count()
