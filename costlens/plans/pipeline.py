@@ -249,19 +249,23 @@ class Pipeline:
 
     @cached_property
     def run_costs_mapped(self) -> DataFrame:
-        """Utilization ⋈ costs (5 keys) ⋈ scoped mapping (date, ws, CRM account)."""
+        """Utilization ⋈ costs (5 keys) ⋈ scoped mapping (date, ws, CRM account).
+
+        Both joins are inner and the mapping condition only reads cost columns,
+        so costs are joined to the mapping first: the large utilization side is
+        then shuffled once, on the five run keys.
+        """
         util = A.since(self.run_worker_profile, "date", self.p.start_date)
         costs = _rename(self.costs_with_run, "c_", [*RUN_KEYS, "crm_account_id", *COST_COLS])
-        m = self.mapping_scoped
-        mp = _rename(m, "m_", ["date", "workspace_id", *MAPPING_DIMS])
-        j = util.join(costs, [util[k] == costs["c_" + k] for k in RUN_KEYS], "inner")
-        j = j.join(
+        mp = _rename(self.mapping_scoped, "m_", ["date", "workspace_id", *MAPPING_DIMS])
+        cm = costs.join(
             mp,
-            (j["c_date"] == mp["m_date"])
-            & (j["c_workspace_id"] == mp["m_workspace_id"])
-            & (j["c_crm_account_id"] == mp["m_crm_account_id"]),
+            (costs["c_date"] == mp["m_date"])
+            & (costs["c_workspace_id"] == mp["m_workspace_id"])
+            & (costs["c_crm_account_id"] == mp["m_crm_account_id"]),
             "inner",
         )
+        j = util.join(cm, [util[k] == cm["c_" + k] for k in RUN_KEYS], "inner")
         return j.select(
             *util.columns,
             *[F.col("c_" + c).alias(c) for c in COST_COLS],
