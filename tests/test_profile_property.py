@@ -1,0 +1,78 @@
+"""Randomized property: the bucketed, minute-collapsed run profile equals the
+literal containment join + group-by, for any bucket width and both date modes."""
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from costlens.operators import intervals
+from costlens.params import Params
+from costlens.sources import adapters as A
+from costlens.sources.schemas import JOB_RUNS, NODE_TIMELINE
+
+BASE = dt.datetime(2024, 1, 2, 22, 0)
+
+run_st = st.tuples(
+    st.integers(0, 300),  # termination: minutes after BASE
+    st.integers(0, 59),  # termination seconds
+    st.integers(0, 7200),  # duration seconds
+    st.integers(0, 1),  # cluster
+)
+sample_st = st.tuples(
+    st.integers(-60, 320),  # start minute after BASE
+    st.integers(0, 59),  # start seconds
+    st.sampled_from([30, 60, 90, 120]),  # length seconds
+    st.sampled_from([True, False, None]),  # role
+    st.integers(0, 1),  # cluster
+    st.integers(0, 99),  # cpu
+)
+
+
+def _brute(runs, samples):
+    out = runs
+    for flag, prefix in ((True, "d_"), (False, "w_")):
+        t = samples.where(F.col("driver") == flag).select(
+            F.col("date").alias("t_date"), F.col("cluster_id").alias("t_cl"), "start_time", "end_time",
+            "cpu_user_pct", "network_sent_bytes")
+        cond = ((out["date"] == t["t_date"]) & (out["cluster_id"] == t["t_cl"])
+                & (t["start_time"] >= out["run_start_floor"]) & (t["end_time"] <= out["run_term_ceil"]))
+        out = out.join(t, cond, "left").groupBy(*out.columns).agg(
+            F.min("cpu_user_pct").alias(f"min_{prefix}cpu_user_pct"),
+            F.avg("cpu_user_pct").alias(f"avg_{prefix}cpu_user_pct"),
+            F.max("cpu_user_pct").alias(f"max_{prefix}cpu_user_pct"),
+            F.sum("network_sent_bytes").alias(f"sum_{prefix}network_sent_bytes"))
+    return out
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(runs=st.lists(run_st, min_size=1, max_size=6), samples=st.lists(sample_st, max_size=25),
+       width=st.sampled_from([60, 600, 3600, 5000, 86400]))
+def test_profile_matches_brute_force(spark, runs, samples, width):
+    run_rows = []
+    for i, (m, s, d, c) in enumerate(runs):
+        end = BASE + dt.timedelta(minutes=m, seconds=s)
+        run_rows.append((end.date(), 1, c, 0, i, d, end, "S", "N", "T", "C"))
+    smp_rows = []
+    for m, s, ln, role, c, cpu in samples:
+        st_ = BASE + dt.timedelta(minutes=m, seconds=s)
+        smp_rows.append((0, 1, c, 0, role, st_, st_ + dt.timedelta(seconds=ln),
+                         float(cpu), 0.0, 0.0, 0.0, 0.0, cpu, cpu))
+    for same_date in (True, False):
+        p = Params(start_date="2024-01-01", bucket_seconds=width, same_date=same_date)
+        r = A.job_runs(spark.createDataFrame(run_rows, JOB_RUNS), p)
+        t = A.timeline(spark.createDataFrame(smp_rows, NODE_TIMELINE), p)
+        cols = ["run_id"] + [f"{a}_{x}cpu_user_pct" for x in ("d_", "w_") for a in ("min", "avg", "max")] + \
+               ["sum_d_network_sent_bytes", "sum_w_network_sent_bytes"]
+        ours = intervals.run_profile(r, t, p).select(*cols)
+        if same_date:
+            ref = _brute(r, t).select(*cols)
+        else:
+            t2 = t.withColumn("date", F.lit(None).cast("date"))
+            r2 = r.withColumn("date", F.lit(None).cast("date"))
+            ref = _brute(r2.withColumn("date", F.lit(dt.date(2000, 1, 1))),
+                         t2.withColumn("date", F.lit(dt.date(2000, 1, 1)))).select(*cols)
+        a = sorted(tuple(x) for x in ours.collect())
+        b = sorted(tuple(x) for x in ref.collect())
+        assert a == b, (same_date, width)
