@@ -93,3 +93,40 @@ def test_duplicate_run_rows_merge(spark):
     out = pl.run_worker_profile.collect()
     assert len(out) == 1 and int(out[0].sum_d_network_sent_bytes) == 12
     assert pl.runs_with_config.count() == 2  # D5/D6 keep the input rows as they are
+
+
+def test_x1_strict_warehouse_bound(spark):
+    p = Params(start_date="2024-01-05")
+    wh = [(D(2024, 1, d), T(2024, 1, d, 10), 7, 1, "PRO", False, 1, 1, 1, 16, 0, False) for d in (4, 5, 6)]
+    pl = Pipeline(sources(spark, warehouse_metrics=wh), p)
+    assert [r.date for r in pl.warehouse.collect()] == [D(2024, 1, 6)]
+
+
+def test_x16_driver_only_profile(spark):
+    samples = [sample(True, T(2024, 1, 2, 10, 22), 5)]
+    cost = (D(2024, 1, 2), 10, 1, 1, 1, (7, 100, "SUCCEEDED", None, None), "jobRuns",
+            "PREMIUM_ALL_PURPOSE_COMPUTE", "ALL_PURPOSE", Decimal("120"), (1.0, 3.0))
+    mapping = [(D(2024, 1, 2), 1, 0, 1, "ws", "ind", "bu", "r", "b1", "b2", "b3", "acme", "P-acme", "o")]
+    pl = Pipeline(sources(spark, workspaces=WS, job_runs=RUN, node_timeline=samples, workload_costs=[cost],
+                          account_mapping=mapping), P)
+    r = pl.run_risk.first()
+    assert r.avg_driver_cpu_utilization == 11.0 and r.avg_cluster_cpu_utilization is None
+    assert r.has_full_profile is False and r.utilization_penalty == 0.0 and r.rev_at_risk_utilization == 0.0
+
+
+def test_d15_null_dimension_gets_no_sql_columns(spark):
+    def cost(wid, sku, prod):
+        return (D(2024, 1, 2), 10, wid, 1, 1, (None, None, "SUCCEEDED", None, None), "idleWorkloads",
+                sku, prod, Decimal("10"), (1.0, 1.0))
+    costs = [cost(1, "PREMIUM_SQL_COMPUTE", "SQL"), cost(2, "PREMIUM_ALL_PURPOSE_COMPUTE", "ALL_PURPOSE")]
+    mapping = [(D(2024, 1, 2), 1, 0, 1, "ws", "ind", "bu", "r", "b1", "b2", None, "acme", "P-acme", "o")]
+    wh = [(D(2024, 1, 2), T(2024, 1, 2, 10), 7, 1, "PRO", False, 1, 1, 8, 16, 0, False)]
+    pl = Pipeline(sources(spark, workload_costs=costs, account_mapping=mapping, warehouse_metrics=wh),
+                  Params(start_date="2024-01-01"))
+    assert pl.warehouse_util_by_account.count() == 1  # the SQL side has the row ...
+    r = pl.account_risk.collect()
+    assert len(r) == 1
+    r = r[0]  # ... but a null bu_3 never joins back (D15)
+    assert r.sql_dollars is None and r.overall_avg_utilization_acnt is None
+    assert r.risk_pct_bu1 == 0.0 and r.at_risk_dollars_bu1_revised == 0.0
+    assert float(r.idle_revenue) == 10.0 and r.risk_dollars == 10.0
