@@ -22,7 +22,10 @@ def write_table(
     ``cluster_by`` (K2) range-partitions the rows on the partition and
     clustering keys (balanced tasks even when one date or key is hot; Spark
     samples the keys for the bounds) and sorts within each task, so files are
-    laid out by those keys; ``partition_by`` adds directory partitions.
+    laid out by those keys; ``partition_by`` adds directory partitions.  A
+    partitioned write without clustering keys is rebalanced on the partition
+    columns (adaptive execution splits a hot date and merges small ones), so
+    each task writes few, similar-sized files instead of one per date.
     ``comment`` (K3) is set as the table comment (catalog tables only).
     """
     if (path is None) == (table is None):
@@ -31,6 +34,8 @@ def write_table(
     out = df
     if cluster_by:
         out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    elif partition_by:
+        out = out.hint("rebalance", *partition_by)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
