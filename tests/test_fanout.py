@@ -130,3 +130,38 @@ def test_d15_null_dimension_gets_no_sql_columns(spark):
     assert r.sql_dollars is None and r.overall_avg_utilization_acnt is None
     assert r.risk_pct_bu1 == 0.0 and r.at_risk_dollars_bu1_revised == 0.0
     assert float(r.idle_revenue) == 10.0 and r.risk_dollars == 10.0
+
+
+def _sql_cost(wid):
+    return (D(2024, 1, 2), 10, wid, 1, 1, (None, None, "SUCCEEDED", None, None), "idleWorkloads",
+            "PREMIUM_SQL_COMPUTE", "SQL", Decimal("10"), (1.0, 1.0))
+
+
+def test_x5_weighting(spark):
+    mapping = [(D(2024, 1, 2), 1, 0, 1, "ws", "ind", "bu", "r", "b1", "b2", "b3", "acme", "P-acme", "o")]
+    wh = [(D(2024, 1, 2), T(2024, 1, 2, 10), 7, 1, "PRO", False, 1, 1, 8, 16, 0, False)]
+    src = dict(workload_costs=[_sql_cost(1), _sql_cost(2)], account_mapping=mapping, warehouse_metrics=wh)
+    lit = Pipeline(sources(spark, **src), Params(start_date="2024-01-01")).account_util_ratios.first()
+    none = Pipeline(sources(spark, **src), Params(start_date="2024-01-01", weight="none"))
+    u = none.warehouse_util_by_unit.first()
+    assert (u.dat_bu1, u.dts_bu1) == (8, 16)
+    lu = Pipeline(sources(spark, **src), Params(start_date="2024-01-01")).warehouse_util_by_unit.first()
+    assert (lu.dat_bu1, lu.dts_bu1) == (16, 32)
+    assert lit.overall_avg_utilization_bu1 == 0.5 == none.account_util_ratios.first().overall_avg_utilization_bu1
+    assert float(lit.sql_dollars) == 20.0 == float(none.account_util_ratios.first().sql_dollars)
+
+
+def test_x8_full_tie_is_deterministic(spark):
+    from costlens.operators import intervals
+    from costlens.sources import adapters as A
+    from costlens.sources.schemas import CLUSTER_CONFIGS
+
+    t = T(2024, 1, 5, 9)
+    rows = [cfg(1, 10, 0, D(2024, 1, 5), t, 30), cfg(1, 10, 0, D(2024, 1, 5), t, 60)]
+    base = A.cluster_configs(spark.createDataFrame(rows, CLUSTER_CONFIGS), P)
+    seen = set()
+    for n in (1, 2, 3):
+        per = intervals.config_periods(base.repartition(n))
+        live = per.where(F.col("valid_to").isNull() | (F.col("valid_to") >= F.col("change_date")))
+        seen.add(tuple(r.auto_termination_minutes for r in live.collect()))
+    assert seen == {(60,)}
