@@ -86,14 +86,25 @@ def warehouse_tasks_daily(metrics: DataFrame) -> DataFrame:
 
 
 # F5-F7 --------------------------------------------------------------------------
+def _avg_gb(direction: str):
+    """Mean network GB per run, from the exact integer byte totals.
+
+    Equal to the mean of the per-run ``total_network_gb_*`` values (same null
+    rows), but the sum runs over whole numbers, which double arithmetic adds
+    exactly in any order; the division by 1e9 comes last.
+    """
+    total = F.col(f"sum_d_network_{direction}_bytes") + F.col(f"sum_w_network_{direction}_bytes")
+    return F.avg(total.cast("double")) / F.lit(1e9)
+
+
 def risk_rollup(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Duration, utilization averages, distinct runs and risk dollars per group."""
     return runs.groupBy(*keys).agg(
         F.sum("duration_seconds").alias("total_duration_seconds"),
         F.avg("avg_cluster_cpu_utilization").alias("avg_cluster_cpu_utilization"),
         F.avg("avg_cluster_mem_used_percent").alias("avg_cluster_mem_used_percent"),
-        F.avg("total_network_gb_sent").alias("avg_cluster_network_gb_sent"),
-        F.avg("total_network_gb_received").alias("avg_cluster_network_gb_received"),
+        _avg_gb("sent").alias("avg_cluster_network_gb_sent"),
+        _avg_gb("received").alias("avg_cluster_network_gb_received"),
         F.count_distinct("run_id").alias("job_run_count"),
         F.sum("attributed_revenue").alias("revenue"),
         F.sum("rev_at_risk").alias("total_revenue_at_risk"),

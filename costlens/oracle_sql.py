@@ -336,8 +336,10 @@ FROM run_utilization_risk""", "run_utilization_risk")
 _ROLLUP_AGGS = """CAST(sum(duration_seconds) AS BIGINT) AS total_duration_seconds,
        avg(avg_cluster_cpu_utilization) AS avg_cluster_cpu_utilization,
        avg(avg_cluster_mem_used_percent) AS avg_cluster_mem_used_percent,
-       avg(total_network_gb_sent) AS avg_cluster_network_gb_sent,
-       avg(total_network_gb_received) AS avg_cluster_network_gb_received,
+       avg(CAST(sum_d_network_sent_bytes + sum_w_network_sent_bytes AS DOUBLE)) / 1e9
+         AS avg_cluster_network_gb_sent,
+       avg(CAST(sum_d_network_received_bytes + sum_w_network_received_bytes AS DOUBLE)) / 1e9
+         AS avg_cluster_network_gb_received,
        count(DISTINCT run_id) AS job_run_count,
        sum(attributed_revenue) AS revenue,
        sum(rev_at_risk) AS total_revenue_at_risk,
