@@ -2,11 +2,10 @@
 
 Exact (bit-for-bit) equality is required except for queries whose outputs are
 sums or averages of non-integral doubles, where the two engines add in
-different orders; those must agree to 1e-9 relative.
+different orders; those must give the same rows once floats are rounded to 9
+significant digits.
 """
 
-import math
-
 import pytest
 
 import __spark_entry__ as E
@@ -21,27 +20,14 @@ def con():
     return duck(SF)
 
 
-def _close(a, b):
-    if isinstance(a, str) and isinstance(b, str):
-        try:
-            fa, fb = float(a), float(b)
-        except ValueError:
-            return a == b
-        return math.isclose(fa, fb, rel_tol=1e-9, abs_tol=1e-9)
-    return a == b
-
-
 @pytest.mark.parametrize("key", list(E.DATASETS))
 def test_query_matches_oracle(spark, con, key):
     r = compare(spark, key, SF, con)
     assert r["cols_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
-    if key in FLOAT_ORDER_SENSITIVE and not r["ok"]:
-        a = sorted(r["spark_only_sample"], key=str)
-        b = sorted(r["oracle_only_sample"], key=str)
-        assert len(a) == len(b)
-        for x, y in zip(a, b):
-            assert all(_close(p, q) for p, q in zip(x, y)), (x, y)
+    if key in FLOAT_ORDER_SENSITIVE:
+        # same multiset of rows once floats are rounded to 9 significant digits
+        assert r["ok"] or r.get("close"), {k: v for k, v in r.items() if "sample" not in k}
     else:
         assert r["ok"], r
 
