@@ -183,3 +183,47 @@ def map_batches(
                 yield from fn(batch)
 
     return df.mapInArrow(run, schema)
+
+
+# ------------------------------------------------------- bounded membership
+
+
+class KeyFilter:
+    """A bitmap of hashed keys, small enough to broadcast whatever the key count.
+
+    It holds 16 bits per key up to ``MAX_BITS`` bits (8 MB); beyond that it only
+    lets more foreign keys through.  Users join its survivors with the keys, so
+    results never depend on it.
+    """
+
+    MAX_BITS = 1 << 26
+
+    def __init__(self, keys: DataFrame, column: str):
+        spark = keys.sparkSession
+        bits = 1 << 12
+        n = keys.count()
+        while bits < min(16 * n, self.MAX_BITS):
+            bits *= 2
+        self.bits = bits
+        place = F.pmod(F.col(column), F.lit(bits))
+        words = (
+            keys.select(place.alias("p"))
+            .groupBy((F.col("p") / 64).cast("int").alias("w"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b"))
+            .toArrow()  # at most MAX_BITS / 64 rows
+        )
+        bitmap = np.zeros(bits // 64, np.int64)
+        bitmap[words["w"].to_numpy()] = words["b"].to_numpy()
+        self.shared = spark.sparkContext.broadcast(bitmap.tobytes())
+
+    def lookup(self) -> Callable[[np.ndarray], np.ndarray]:
+        """A function telling which of some int64 keys may be held (false for others)."""
+        shared, bits = self.shared, self.bits
+
+        def held(keys: np.ndarray) -> np.ndarray:
+            bitmap = np.frombuffer(shared.value, np.uint64)
+            place = np.mod(keys, bits).astype(np.uint64)
+            word = bitmap[(place >> np.uint64(6)).astype(np.int64)]
+            return (word >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+        return held
