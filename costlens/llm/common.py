@@ -191,18 +191,18 @@ def map_batches(
 class KeyFilter:
     """A bitmap of hashed keys, small enough to broadcast whatever the key count.
 
-    It holds 16 bits per key up to ``MAX_BITS`` bits (8 MB); beyond that it only
-    lets more foreign keys through.  Users join its survivors with the keys, so
+    It holds ``per_key`` bits per key up to ``MAX_BITS`` bits (8 MB); beyond that it
+    only lets more foreign keys through.  Users join its survivors with the keys, so
     results never depend on it.
     """
 
     MAX_BITS = 1 << 26
 
-    def __init__(self, keys: DataFrame, column: str):
+    def __init__(self, keys: DataFrame, column: str, per_key: int = 16):
         spark = keys.sparkSession
         bits = 1 << 12
         n = keys.count()
-        while bits < min(16 * n, self.MAX_BITS):
+        while bits < min(per_key * n, self.MAX_BITS):
             bits *= 2
         self.bits = bits
         place = F.pmod(F.col(column), F.lit(bits))
