@@ -11,12 +11,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from costlens.llm import bpe, decontaminate, near_dedup
+from costlens.llm import bpe, decontaminate, near_dedup, quality, toxicity
 from costlens.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(
         table(spark, sf_dir, "documents"),
@@ -36,10 +40,16 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
     "op7_decontaminate": op7_decontaminate,
     "op8_near_dedup": op8_near_dedup,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
