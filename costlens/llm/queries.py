@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from costlens.llm import bpe, decontaminate, near_dedup, quality, secret_scan, sharding, toxicity
+from costlens.llm import bpe, chat, decontaminate, near_dedup, quality, secret_scan, sharding, topk, toxicity
 from costlens.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -34,6 +34,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.findings(table(spark, sf_dir, "documents"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(table(spark, sf_dir, "conversations"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -56,10 +64,82 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
     "op4_secret_scan": op4_secret_scan,
+    "op5_topk": op5_topk,
     "op6_sharding": op6_sharding,
     "op7_decontaminate": op7_decontaminate,
     "op8_near_dedup": op8_near_dedup,
+    "op9_chat": op9_chat,
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # every component quantized, every pair scored, ranked with ties to smaller ids
+    "op5_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+    # every run of words looked up among the benchmark's windows
+    "op7_decontaminate": """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, w[i:i + least(10, len(w)) - 1] AS words
+  FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, i, n, w[i:i + n - 1] AS words
+  FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)
+), hits AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw USING (n, words)),
+spots AS (
+  SELECT doc_id, count(DISTINCT s) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(s) GROUP BY 1
+), items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         sha256(string_agg(DISTINCT item_id, ',' ORDER BY item_id)) AS items_sha256
+  FROM hits GROUP BY 1
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    # turns and texts from the table itself; only the length follows the template
+    "op9_chat": """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), l AS (
+  SELECT *, role || chr(10) || text || chr(10) AS said,
+         CASE WHEN role = 'assistant' THEN text ELSE '' END AS learnt,
+         length(role) + length(text) + length(regexp_replace(role || text, '[^&<\\[]', '', 'g')) + 8
+           AS written
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(said, '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(length(learnt)) AS BIGINT) AS loss_chars,
+       sha256(string_agg(learnt, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(written) AS BIGINT) AS formatted_chars
+FROM l GROUP BY conv_id
+""",
+}
