@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from costlens.session import checkpoint_dir
 
 # Arrow batches handed to Python: bounded by rows and, for long texts, by bytes.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 # Bytes tokenized at once inside a batch (bounds the 8-byte work arrays).
 CHUNK_BYTES = 1 << 20
 
