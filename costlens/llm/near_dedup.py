@@ -47,7 +47,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.llm.common import (
@@ -411,3 +411,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     component = F.when(F.col("doc_id").isNotNull(), component)
     out = placed.select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one_per_group(docs: DataFrame) -> DataFrame:
+    """The documents that ``near_duplicates`` keeps, all columns as they came.
+
+    Of rows that share a kept doc_id one stays; rows without a doc_id all stay.
+    """
+    groups = near_duplicates(docs).filter("kept")
+    ws = Workspace(docs.sparkSession, "near-dedup")
+    groups = ws.keep(groups.select(F.col("doc_id").alias("kept_id")), "kept-ids")
+    repeated = groups.filter("kept_id is not null").groupBy("kept_id").count().filter("count > 1")
+    key = docs["doc_id"].cast("long")
+    ids = groups.filter("kept_id is not null").distinct()
+    out = docs.join(ids, key == F.col("kept_id"), "left_semi")
+    if not repeated.isEmpty():
+        once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+        out = out.withColumn("kept_row", F.row_number().over(once)).filter("kept_row = 1")
+        out = out.drop("kept_row")
+    return out.unionByName(docs.filter(docs["doc_id"].isNull()))
