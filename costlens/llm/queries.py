@@ -11,7 +11,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from costlens.llm import bpe, chat, decontaminate, near_dedup, quality, secret_scan, sharding, topk, toxicity
+from costlens.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    html_text,
+    near_dedup,
+    quality,
+    secret_scan,
+    sharding,
+    topk,
+    toxicity,
+)
 from costlens.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -30,6 +41,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.findings(table(spark, sf_dir, "documents"))
 
@@ -63,6 +78,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
+    "op3_html_text": op3_html_text,
     "op4_secret_scan": op4_secret_scan,
     "op5_topk": op5_topk,
     "op6_sharding": op6_sharding,
