@@ -20,9 +20,12 @@ plan here instead
 3. adds a time bucket of the sample start to the equi keys: a window is
    exploded into the buckets it covers (at most ``86400 / bucket_seconds``
    per day with ``same_date``), and a contained sample's start minute lies in
-   exactly one of them, so the result is exact; the rows a window meets in a
-   bucket are at most ~2 per minute and role, so a window's work is
-   proportional to its length in minutes, independent of data volume;
+   exactly one of them, so the result is exact.  A bucket that lies wholly
+   inside the window is met at bucket level: one row per role holds all
+   samples that end in it, and only samples that cross its end are met minute
+   by minute; the (at most two) buckets at the window's edges meet the minute
+   rows.  So a window meets about two rows per covered bucket, plus the
+   minutes of its edges, whatever its length and the data volume;
 4. merges the partial aggregates per window and left-joins them back to the
    runs, so runs without samples keep null profiles.
 
@@ -107,8 +110,36 @@ def _sample_partials(samples: DataFrame, p: Params, roles: Sequence[str]) -> Dat
     )
 
 
+# Which rows a window meets in a bucket: those of a bucket inside it, of one at
+# its edge, and samples that cross the bucket's end (met by both).
+_WHOLE, _EDGE, _CROSS = 0, 1, 2
+
+
+def _two_levels(minutes: DataFrame, p: Params) -> DataFrame:
+    """Minute partials plus one row per bucket and role over the samples that end in it."""
+    begin = F.timestamp_seconds(F.col("_bucket") * p.bucket_seconds)
+    end = F.timestamp_seconds((F.col("_bucket") + 1) * p.bucket_seconds)
+    inside = F.array(
+        F.struct(F.lit(_EDGE).alias("level"), F.col("_a").alias("a"), F.col("_e").alias("e")),
+        F.struct(F.lit(_WHOLE).alias("level"), begin.alias("a"), end.alias("e")),
+    )
+    cross = F.array(
+        F.struct(F.lit(_CROSS).alias("level"), F.col("_a").alias("a"), F.col("_e").alias("e"))
+    )
+    rows = minutes.withColumn("_l", F.explode(F.when(F.col("_e") <= end, inside).otherwise(cross)))
+    keys = ["date", "workspace_id", "cluster_id", "driver", "_bucket"]
+    merge = {"mn_": F.min, "mx_": F.max}
+    partials = [c for c in minutes.columns if c not in (*keys, "_a", "_e")]
+    return rows.groupBy(
+        *keys,
+        F.col("_l.level").alias("_level"),
+        F.col("_l.a").alias("_a"),
+        F.col("_l.e").alias("_e"),
+    ).agg(*[merge.get(c[:3], F.sum)(c).alias(c) for c in partials])
+
+
 def _window_buckets(runs: DataFrame, p: Params) -> DataFrame:
-    """Distinct run windows, one row per time bucket they can hold samples in."""
+    """Distinct run windows: per time bucket they can hold samples in, the levels they meet."""
     w = runs.select(*WINDOW_KEY).where(
         F.col("run_start_floor").isNotNull() & F.col("run_term_ceil").isNotNull()
     ).distinct()
@@ -120,7 +151,14 @@ def _window_buckets(runs: DataFrame, p: Params) -> DataFrame:
         lo = F.greatest(lo, _bucket(day_start, p.bucket_seconds))
         hi = F.least(hi, _bucket(day_last, p.bucket_seconds))
     w = w.select("*", lo.alias("_lo"), hi.alias("_hi")).where(F.col("_lo") <= F.col("_hi"))
-    return w.select(*WINDOW_KEY, F.explode(F.sequence("_lo", "_hi")).alias("_bucket"))
+    w = w.select(*WINDOW_KEY, F.explode(F.sequence("_lo", "_hi")).alias("_bucket"))
+    inside = (
+        F.timestamp_seconds(F.col("_bucket") * p.bucket_seconds) >= F.col("run_start_floor")
+    ) & (
+        F.timestamp_seconds((F.col("_bucket") + 1) * p.bucket_seconds) <= F.col("run_term_ceil")
+    )
+    level = F.when(inside, F.lit(_WHOLE)).otherwise(F.lit(_EDGE))
+    return w.withColumn("_level", F.explode(F.array(level, F.lit(_CROSS))))
 
 
 def window_profile(
@@ -128,11 +166,12 @@ def window_profile(
 ) -> DataFrame:
     """Profile aggregates per distinct run window (only windows with samples)."""
     wb = _window_buckets(runs, p).alias("w")
-    sp = _sample_partials(samples, p, roles).alias("s")
+    sp = _two_levels(_sample_partials(samples, p, roles), p).alias("s")
     cond = (
         (F.col("w.workspace_id") == F.col("s.workspace_id"))
         & (F.col("w.cluster_id") == F.col("s.cluster_id"))
         & (F.col("w._bucket") == F.col("s._bucket"))
+        & (F.col("w._level") == F.col("s._level"))
         & (F.col("s._a") >= F.col("w.run_start_floor"))
         & (F.col("s._e") <= F.col("w.run_term_ceil"))
     )

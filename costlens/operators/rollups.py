@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # The eleven account dimensions of the account branch.
@@ -97,6 +97,11 @@ def _avg_gb(direction: str):
     return F.avg(total.cast("double")) / F.lit(1e9)
 
 
+def _dollars(c: str):
+    """Decimal sum, so the total does not depend on the order of rows."""
+    return F.sum(F.col(c).cast("decimal(28,10)"))
+
+
 def risk_rollup(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Duration, utilization averages, distinct runs and risk dollars per group."""
     return runs.groupBy(*keys).agg(
@@ -107,92 +112,145 @@ def risk_rollup(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
         _avg_gb("received").alias("avg_cluster_network_gb_received"),
         F.count_distinct("run_id").alias("job_run_count"),
         F.sum("attributed_revenue").alias("revenue"),
-        F.sum("rev_at_risk").alias("total_revenue_at_risk"),
-        F.sum("rev_at_risk_utilization").alias("revenue_at_risk_utilization"),
-        F.sum("rev_at_risk_all_purpose").alias("revenue_at_risk_all_purpose_jobs"),
+        _dollars("rev_at_risk").alias("total_revenue_at_risk"),
+        _dollars("rev_at_risk_utilization").alias("revenue_at_risk_utilization"),
+        _dollars("rev_at_risk_all_purpose").alias("revenue_at_risk_all_purpose_jobs"),
     )
 
 
-# F8 ---------------------------------------------------------------------------
-def account_cost_totals(core: DataFrame) -> DataFrame:
-    """Six dollar totals per account dimensions (the sixth is dropped later, X12)."""
-    return core.groupBy(*ACCOUNT_DIMS).agg(
-        F.sum("idle_revenue").alias("idle_revenue"),
-        F.sum("all_purpose_job_revenue").alias("interactive_risk_dollars"),
-        F.sum("corrected_all_purpose_job_revenue").alias("interactive_usage_dollar_adjusted_100pct"),
-        F.sum("rounded_revenue").alias("usage_amount"),
-        F.sum("failed_revenue_half").alias("failed_workload_risk_dollars"),
-        F.sum("revenue_after_failures").alias("failed_workload_usage_dollar_adjusted_50pct"),
+# F8-F11 -----------------------------------------------------------------------
+# cost-core column -> output total
+COST_TOTALS = {
+    "idle_revenue": "idle_revenue",
+    "all_purpose_job_revenue": "interactive_risk_dollars",
+    "corrected_all_purpose_job_revenue": "interactive_usage_dollar_adjusted_100pct",
+    "rounded_revenue": "usage_amount",
+    "failed_revenue_half": "failed_workload_risk_dollars",
+    "revenue_after_failures": "failed_workload_usage_dollar_adjusted_50pct",
+}
+_MONEY = "decimal(38,2)"
+
+
+def account_day_units(core: DataFrame) -> DataFrame:
+    """Cost rows summed per account dimensions, workspace and serverless flag: the
+    one pass over the cost rows that F8-F10 are all derived from."""
+    sql = F.col("sql_compute") == F.lit(True)
+    return core.groupBy(*ACCOUNT_DIMS, "workspace_id", "serverless_sql_compute").agg(
+        *[F.sum(c).cast(_MONEY).alias(out) for c, out in COST_TOTALS.items()],
+        F.sum(F.when(sql, F.col("rounded_revenue"))).cast(_MONEY).alias("sql_dollars"),
+        F.count_if(sql).alias("n_sql"),
     )
 
 
-# F9 / F10 / F11 -------------------------------------------------------------------
-def unit_totals(sql_rows: DataFrame) -> DataFrame:
-    """F9 directly over SQL cost rows: tasks and slots per (date, business unit)."""
-    return sql_rows.groupBy("date", "bu_1").agg(
-        F.sum("active_tasks").alias("dat_bu1"),
-        F.sum("task_slots").alias("dts_bu1"),
+def account_day(units: DataFrame, tasks: DataFrame, weight: str) -> DataFrame:
+    """F8 and the SQL sums of D13/F10 per account dimensions.
+
+    Every SQL cost row carries its day's warehouse totals (literal weighting,
+    X5), so a unit with n SQL rows counts them n times; with ``weight="none"``
+    it counts them once.
+    """
+    h = tasks.select(
+        F.col("date").alias("h_date"),
+        F.col("workspace_id").alias("h_workspace_id"),
+        F.col("serverless").alias("h_serverless"),
+        "active_tasks",
+        "task_slots",
     )
+    j = units.join(
+        h,
+        (units["date"] == h["h_date"])
+        & (units["workspace_id"] == h["h_workspace_id"])
+        & (units["serverless_sql_compute"] == h["h_serverless"])
+        & (units["n_sql"] > 0),
+        "left",
+    )
+    times = F.col("n_sql") if weight == "cost_rows" else F.lit(1)
+    return j.groupBy(*ACCOUNT_DIMS).agg(
+        *[F.sum(c).cast(_MONEY).alias(c) for c in (*COST_TOTALS.values(), "sql_dollars")],
+        F.sum("n_sql").alias("n_sql"),
+        F.sum(F.col("active_tasks") * times).alias("dat_acnt"),
+        F.sum(F.col("task_slots") * times).alias("dts_acnt"),
+    )
+
 
+def account_cost_totals(days: DataFrame) -> DataFrame:
+    """F8: six dollar totals per account dimensions (the sixth is dropped later, X12)."""
+    return days.select(*ACCOUNT_DIMS, *COST_TOTALS.values())
 
-def account_sums(sql_rows: DataFrame) -> DataFrame:
-    """Tasks, slots and SQL dollars per account dimensions."""
-    return sql_rows.groupBy(*ACCOUNT_DIMS).agg(
-        F.sum("active_tasks").alias("dat_acnt"),
-        F.sum("task_slots").alias("dts_acnt"),
-        F.sum("rounded_revenue").alias("sql_dollars"),
+
+def unit_totals(days: DataFrame) -> DataFrame:
+    """tasks and slots per (date, business unit); (date, bu_1) is among the dims."""
+    return days.where("n_sql > 0").groupBy("date", "bu_1").agg(
+        F.sum("dat_acnt").alias("dat_bu1"), F.sum("dts_acnt").alias("dts_bu1")
     )
 
 
-def unit_totals_from_accounts(sums: DataFrame) -> DataFrame:
-    """F9 from :func:`account_sums`: (date, bu_1) is part of the account dims and
-    sums are decomposable, so this equals :func:`unit_totals` over the rows."""
-    return sums.groupBy("date", "bu_1").agg(
-        F.sum("dat_acnt").alias("dat_bu1"),
-        F.sum("dts_acnt").alias("dts_bu1"),
+def with_unit_totals(days: DataFrame) -> DataFrame:
+    """The day's unit totals on each account row.
+
+    A window over (date, bu_1) of the aggregated account rows; null keys get no
+    totals, as in the join.
+    """
+    unit = Window.partitionBy("date", "bu_1")
+    known = F.col("date").isNotNull() & F.col("bu_1").isNotNull()
+    return days.select(
+        "*",
+        F.when(known, F.sum("dat_acnt").over(unit)).alias("dat_bu1"),
+        F.when(known, F.sum("dts_acnt").over(unit)).alias("dts_bu1"),
     )
 
 
-def account_totals(sums: DataFrame, units: DataFrame) -> DataFrame:
-    """per-account sums with the day's unit totals.
+def account_totals(days: DataFrame) -> DataFrame:
+    """per-account SQL sums with the day's unit totals."""
+    cols = ["dat_bu1", "dts_bu1", "dat_acnt", "dts_acnt", "sql_dollars"]
+    return with_unit_totals(days).where("n_sql > 0").select(*ACCOUNT_DIMS, *cols)
+
+
+def cost_and_util(days: DataFrame) -> DataFrame:
+    """D15 + F11: cost totals with SQL utilization.
 
-    The unit totals depend only on (date, bu_1), which the dims contain, so
-    grouping by dims + unit totals (as the rows-level form does) gives the
-    same groups as attaching the unit totals to the per-account sums.
+    The reference joins both sides on all dimensions, so a row with a null
+    dimension, or without SQL cost rows, has no utilization; its totals are
+    unique per dimensions, so the re-aggregation changes nothing.
     """
-    j = sums.join(units, ["date", "bu_1"], "left")
-    return j.select(*ACCOUNT_DIMS, "dat_bu1", "dts_bu1", "dat_acnt", "dts_acnt", "sql_dollars")
-
-
-def cost_and_util(totals: DataFrame, account: DataFrame) -> DataFrame:
-    """D15 + F11: cost totals joined to SQL utilization, re-aggregated."""
-    joined = totals.join(account, list(ACCOUNT_DIMS), "left")
-    return joined.groupBy(*ACCOUNT_DIMS).agg(
-        F.sum("idle_revenue").alias("idle_revenue"),
-        F.sum("interactive_risk_dollars").alias("interactive_risk_dollars"),
-        F.sum("interactive_usage_dollar_adjusted_100pct").alias(
-            "interactive_usage_dollar_adjusted_100pct"
-        ),
-        F.sum("usage_amount").alias("usage_amount"),
-        F.sum("dat_bu1").alias("dat_bu1"),
-        F.sum("dts_bu1").alias("dts_bu1"),
-        F.sum("dat_acnt").alias("dat_acnt"),
-        F.sum("dts_acnt").alias("dts_acnt"),
-        F.sum("sql_dollars").alias("sql_dollars"),
-        F.sum("failed_workload_risk_dollars").alias("failed_workload_risk_dollars"),
+    met = F.col("n_sql") > 0
+    for d in ACCOUNT_DIMS:
+        met = met & F.col(d).isNotNull()
+    sql_side = ["dat_bu1", "dts_bu1", "dat_acnt", "dts_acnt", "sql_dollars"]
+    kept = [c for c in COST_TOTALS.values() if c != "failed_workload_usage_dollar_adjusted_50pct"]
+    return with_unit_totals(days).select(
+        *ACCOUNT_DIMS, *kept, *[F.when(met, F.col(c)).alias(c) for c in sql_side]
     )
 
 
 # F12 --------------------------------------------------------------------------
 def warehouse_daily(metrics: DataFrame) -> DataFrame:
-    """Daily warehouse summary; type and serverless flag of the earliest sample
-    (ties broken by value, so the result does not depend on partitioning)."""
-    return metrics.groupBy("date", "warehouse_id", "workspace_id").agg(
-        F.min(F.struct("ts", "warehouse_type"))["warehouse_type"].alias("warehouse_type"),
-        F.min(F.struct("ts", "serverless"))["serverless"].alias("serverless"),
+    """Daily warehouse summary; type and serverless flag of the earliest sample.
+
+    Samples without timestamp are never the earliest; ties are broken by value,
+    so the result does not depend on partitioning.  The samples are hash-
+    aggregated per type and flag first; only those few rows are compared.
+    """
+    key = ["date", "warehouse_id", "workspace_id"]
+    means = ["executors_total", "executors_active", "pending_tasks"]
+    kinds = metrics.groupBy(*key, "warehouse_type", "serverless").agg(
+        F.min("ts").alias("ts"),
+        F.sum("active_tasks").alias("active_tasks"),
+        F.sum("task_slots").alias("task_slots"),
+        *[x for m in means for x in (F.sum(m).alias(f"sm_{m}"), F.count(m).alias(f"n_{m}"))],
+    )
+    timed = F.col("ts").isNotNull()
+
+    def earliest(c: str):
+        return F.min(F.when(timed, F.struct("ts", c)))[c].alias(c)
+
+    def mean(m: str):
+        return F.try_divide(F.sum(f"sm_{m}").cast("double"), F.sum(f"n_{m}")).alias(f"avg_{m}")
+
+    return kinds.groupBy(*key).agg(
+        earliest("warehouse_type"),
+        earliest("serverless"),
         F.sum("active_tasks").alias("active_tasks"),
         F.sum("task_slots").alias("task_slots"),
-        F.avg("executors_total").alias("avg_executors_total"),
-        F.avg("executors_active").alias("avg_executors_active"),
-        F.avg("pending_tasks").alias("avg_pending_tasks"),
+        *[mean(m) for m in means],
     )

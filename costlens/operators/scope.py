@@ -1,8 +1,8 @@
 """Workspace scope (A13, B9-B12) and scope semi joins.
 
-The scope and the exclusion list are dimension-sized; Spark broadcasts them
-when their estimated size is under ``autoBroadcastJoinThreshold`` and falls
-back to a sort-merge semi/anti join otherwise — no forced broadcast.
+The scope is dimension-sized.  The runner stores it, counts it, and marks it for
+broadcast up to ``BROADCAST_ROWS`` rows, so that no fact table is shuffled for it;
+larger scopes, and scopes not stored, are joined as Spark's size rules decide.
 """
 
 from __future__ import annotations
@@ -15,6 +15,14 @@ from pyspark.sql import functions as F
 from costlens.params import Params
 
 
+BROADCAST_ROWS = 1_000_000  # three keys a row
+
+
+def bounded(stored: DataFrame) -> DataFrame:
+    """A stored scope, marked for broadcast if it is counted small."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def _eligible(workspaces: DataFrame, p: Params) -> DataFrame:
     w = workspaces.where(F.lower(F.trim("workspace_type")) == "external").where(
         F.col("crm_account_name").isNotNull() & F.col("crm_account_id").isNotNull()
@@ -42,14 +50,14 @@ def scope_workspaces(workspaces: DataFrame, excluded: DataFrame, p: Params) -> D
 def scope_not_in(workspaces: DataFrame, excluded: DataFrame, p: Params) -> DataFrame:
     """Literal ``customer_id NOT IN (SELECT account_id FROM excluded)``.
 
-    The condition ``a = b OR (a = b) IS NULL`` is the null-aware anti join:
-    a null in the list removes every row.  Spark plans it as a (null-aware)
-    hash anti join.
+    A null in the list makes the test unknown for every row, so it empties the
+    result; else the distinct keys are removed by a plain anti join.  (As one
+    null-aware join Spark would broadcast the list whatever its size.)
     """
-    ex = excluded.select(F.col("account_id").alias("_ex"))
-    w = _eligible(workspaces, p)
-    eq = w["customer_id"] == ex["_ex"]
-    return _project(w.join(ex, eq | eq.isNull(), "left_anti"))
+    ex = excluded.where(F.col("account_id").isNotNull()).select(F.col("account_id").alias("_ex"))
+    has_null = excluded.agg(F.coalesce(F.bool_or(F.col("account_id").isNull()), F.lit(False)))
+    w = _eligible(workspaces, p).where(~has_null.scalar())
+    return _project(w.join(ex.distinct(), F.col("customer_id") == F.col("_ex"), "left_anti"))
 
 
 def semi(df: DataFrame, scope: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -23,15 +23,20 @@ def cte(name: str, body: str, *deps: str) -> None:
 
 
 # --- fixture projections (FIXTURES.md §2.1) ---------------------------------------
+# events with their workspace and cluster
+cte("f_events", """
+SELECT event_id, user_id, event_type, ts, value, ws, ws%10+1000+(user_id//25)%3*100 AS cl
+FROM (SELECT *, CASE WHEN user_id%4=3 THEN user_id+25 ELSE user_id%25 END AS ws FROM events)""")
+
 cte("f_usage_records", """
-SELECT cast(ts AS date) AS usage_date, user_id%25%7 AS account_id, user_id%25 AS workspace_id,
-       CASE WHEN event_id%13=0 THEN NULL ELSE user_id%25+1000 END AS cluster_id,
+SELECT cast(ts AS date) AS usage_date, ws%7 AS account_id, ws AS workspace_id,
+       CASE WHEN event_id%13=0 THEN NULL ELSE cl END AS cluster_id,
        CASE WHEN event_id%2=0 THEN 'SKU_A' ELSE 'SKU_B' END AS sku_name,
        CASE WHEN event_id%4=0 THEN 'INTERACTIVE' ELSE 'JOBS' END AS billing_origin
-FROM events WHERE event_type IN ('purchase','click')""")
+FROM f_events WHERE event_type IN ('purchase','click')""", "f_events")
 
 cte("f_cluster_configs", """
-SELECT user_id%25 AS workspace_id, user_id%25+1000 AS cluster_id, user_id%25%7 AS account_id,
+SELECT ws AS workspace_id, cl AS cluster_id, CASE WHEN event_id%9=0 THEN -5 ELSE ws%7 END AS account_id,
        cast(ts AS date) AS change_date, cast(ts AS timestamp) AS change_time,
        event_id%4*30 AS auto_termination_minutes,
        CAST(NULL AS VARCHAR) AS cluster_name, CAST(NULL AS VARCHAR) AS driver_node_type,
@@ -39,10 +44,10 @@ SELECT user_id%25 AS workspace_id, user_id%25+1000 AS cluster_id, user_id%25%7 A
        CAST(NULL AS VARCHAR) AS cluster_source, CAST(NULL AS TIMESTAMP) AS create_time,
        CAST(NULL AS TIMESTAMP) AS delete_time, event_id%8 AS worker_count,
        CAST(NULL AS BIGINT) AS min_autoscale_workers, CAST(NULL AS BIGINT) AS max_autoscale_workers
-FROM events WHERE event_type='signup'""")
+FROM f_events WHERE event_type='signup'""", "f_events")
 
 cte("f_node_timeline", """
-SELECT user_id%25%7 AS account_id, user_id%25 AS workspace_id, user_id%25+1000 AS cluster_id,
+SELECT ws%7 AS account_id, ws AS workspace_id, cl AS cluster_id,
        event_id%3 AS instance_id,
        CASE WHEN event_id%50=49 THEN NULL ELSE event_type='view' END AS driver,
        cast(ts AS timestamp) AS start_time, cast(ts AS timestamp) + INTERVAL '60' SECOND AS end_time,
@@ -50,55 +55,62 @@ SELECT user_id%25%7 AS account_id, user_id%25 AS workspace_id, user_id%25+1000 A
        CAST(event_id%7 AS DOUBLE) AS cpu_wait_percent, CAST(event_id*7%100 AS DOUBLE) AS mem_used_percent,
        CAST(event_id%3 AS DOUBLE) AS mem_swap_percent,
        event_id*1000003 AS network_received_bytes, event_id*500009 AS network_sent_bytes
-FROM events WHERE event_type IN ('view','click')""")
+FROM f_events WHERE event_type IN ('view','click')""", "f_events")
 
 cte("f_job_runs", """
-SELECT cast(ts AS date) AS date, user_id%25 AS workspace_id, user_id%25+1000 AS cluster_id,
+SELECT cast(ts AS date) AS date, ws AS workspace_id, cl AS cluster_id,
        event_id%40 AS job_id, event_id AS run_id,
        cast(floor(value*600) AS BIGINT) AS duration_seconds, cast(ts AS timestamp) AS termination_time,
        CASE event_id%7 WHEN 2 THEN 'FAILED' ELSE 'SUCCEEDED' END AS terminal_state,
        CASE WHEN event_id%2=0 THEN 'NEW' ELSE 'EXISTING' END AS cluster_type,
        'NOTEBOOK' AS task_type, 'CRON' AS trigger_type
-FROM events WHERE event_type='purchase'""")
+FROM f_events WHERE event_type='purchase'""", "f_events")
 
 cte("f_workload_costs", """
-SELECT cast(ts AS date) AS date, user_id%25+1000 AS cluster_id, event_id AS workload_id,
-       user_id%25 AS workspace_id,
-       CASE WHEN user_id%25=24 THEN -1 ELSE user_id%25 END AS crm_account_id,
-       CASE WHEN event_type='purchase' THEN event_id%40 END AS job_id,
-       CASE WHEN event_type='purchase' THEN event_id END AS run_id,
+SELECT CASE WHEN event_id%37=0 THEN cast(ts AS date) + 1 ELSE cast(ts AS date) END AS date,
+       CASE WHEN event_id%23=0 THEN NULL WHEN event_id%29=0 THEN cl+100 ELSE cl END AS cluster_id,
+       event_id + line*1000000000 AS workload_id,
+       CASE WHEN event_id%41=0 THEN ws+10 ELSE ws END AS workspace_id,
+       CASE WHEN ws=24 THEN -1 WHEN event_id%6=0 THEN ws+500000 ELSE ws END AS crm_account_id,
+       CASE WHEN event_type='purchase' THEN CASE WHEN event_id%31=0 THEN -1 ELSE event_id%40 END END AS job_id,
+       CASE WHEN event_type='purchase' THEN CASE WHEN event_id%43=0 THEN event_id+40 ELSE event_id END END AS run_id,
        CASE event_id%7 WHEN 0 THEN 'RUNNING' WHEN 1 THEN 'SUCCEEDED' WHEN 2 THEN 'FAILED'
             WHEN 4 THEN 'TimedOut' WHEN 6 THEN 'CANCELLED' END AS run_terminal_state,
        CASE event_id%4 WHEN 0 THEN 'ERROR' WHEN 1 THEN 'FINISHED' WHEN 3 THEN 'Skipped' END AS command_status,
        CASE WHEN event_id%3=0 THEN NULL ELSE 'COMPLETED' END AS pipeline_state,
        CASE WHEN event_type='purchase' THEN 'jobRuns' ELSE 'idleWorkloads' END AS workload_name,
-       CASE event_id%8 WHEN 0 THEN 'ENTERPRISE_ALL_PURPOSE_COMPUTE' WHEN 1 THEN 'STANDARD_ALL_PURPOSE_COMPUTE'
-            WHEN 2 THEN 'PREMIUM_ALL_PURPOSE_COMPUTE' WHEN 3 THEN 'PREMIUM_ALL_PURPOSE_SERVERLESS_COMPUTE'
-            WHEN 4 THEN 'PREMIUM_SQL_COMPUTE' WHEN 5 THEN 'ENTERPRISE_SERVERLESS_SQL_COMPUTE'
-            WHEN 6 THEN 'PREMIUM_JOBS_COMPUTE' ELSE 'OTHER_ALL_PURPOSE_COMPUTE' END AS sku,
-       CASE WHEN event_id%8 IN (4,5) THEN 'SQL' WHEN event_id%8=6 THEN 'JOBS' ELSE 'ALL_PURPOSE' END AS product_type,
+       CASE WHEN n%19=0 THEN NULL ELSE CASE n%8 WHEN 0 THEN 'ENTERPRISE_ALL_PURPOSE_COMPUTE'
+            WHEN 1 THEN 'STANDARD_ALL_PURPOSE_COMPUTE' WHEN 2 THEN 'PREMIUM_ALL_PURPOSE_COMPUTE'
+            WHEN 3 THEN 'PREMIUM_ALL_PURPOSE_SERVERLESS_COMPUTE' WHEN 4 THEN 'PREMIUM_SQL_COMPUTE'
+            WHEN 5 THEN 'ENTERPRISE_SERVERLESS_SQL_COMPUTE' WHEN 6 THEN 'PREMIUM_JOBS_COMPUTE'
+            ELSE 'OTHER_ALL_PURPOSE_COMPUTE' END END AS sku,
+       CASE WHEN n%17=0 THEN NULL WHEN n%8 IN (4,5) THEN 'SQL' WHEN n%8=6 THEN 'JOBS'
+            ELSE 'ALL_PURPOSE' END AS product_type,
        cast(value AS DECIMAL(18,4)) AS attributed_revenue,
        cast(event_id%5 AS DOUBLE) AS driver_cost_units, cast(event_id%9 AS DOUBLE) AS worker_cost_units
-FROM events WHERE event_type IN ('purchase','error')""")
+FROM (SELECT *, event_id + line AS n FROM f_events, (VALUES (0), (1)) AS l(line)
+      WHERE event_type IN ('purchase','error')
+        AND (line=0 OR (event_type='purchase' AND event_id%3=0)))""", "f_events")
 
 cte("f_warehouse_metrics", """
-SELECT cast(ts AS date) AS date, cast(ts AS timestamp) AS ts,
-       (user_id%25)*2+event_id%2+2000 AS warehouse_id, user_id%25 AS workspace_id,
+SELECT cast(ts AS date) AS date, CASE WHEN event_id%27<>0 THEN cast(ts AS timestamp) END AS ts,
+       ws*2+event_id%2+2000 AS warehouse_id, ws AS workspace_id,
        CASE WHEN event_id%3=0 THEN 'PRO' ELSE 'CLASSIC' END AS warehouse_type,
        event_id%2=0 AS serverless, event_id%10 AS executors_total, event_id%6 AS executors_active,
        event_id%16 AS active_tasks, CAST(16 AS BIGINT) AS task_slots, event_id%4 AS pending_tasks,
        event_id%6=5 AS at_full_capacity
-FROM events WHERE event_type IN ('view','click','signup')""")
+FROM f_events WHERE event_type IN ('view','click','signup')""", "f_events")
 
 cte("f_account_mapping", """
-SELECT cast(e.ts AS date) AS date, c_custkey AS crm_account_id, c_custkey%7 AS account_id,
+SELECT cast(e.ts AS date) AS date, CASE WHEN e.event_id%11=0 THEN c_custkey+500000 ELSE c_custkey END AS crm_account_id,
+       CASE WHEN e.event_id%10=0 THEN -5 ELSE c_custkey%7 END AS account_id,
        c_custkey AS workspace_id, concat(c_name,'-ws') AS workspace_name, c_mktsegment AS industry,
        concat('BU', cast(r_regionkey AS VARCHAR)) AS bu, r_name AS region, r_name AS bu_1,
        n_name AS bu_2, CASE WHEN n_nationkey%5=4 THEN NULL ELSE n_name END AS bu_3,
        c_name AS account_name, concat('P-',c_name) AS platform_account_name,
        concat('owner-',cast(c_custkey%3 AS VARCHAR)) AS account_owner
-FROM events e JOIN customer ON c_custkey=e.user_id%25 JOIN nation ON c_nationkey=n_nationkey
-     JOIN region ON n_regionkey=r_regionkey""")
+FROM f_events e JOIN customer ON c_custkey=e.ws JOIN nation ON c_nationkey=n_nationkey
+     JOIN region ON n_regionkey=r_regionkey""", "f_events")
 
 cte("f_workspaces", """
 SELECT c_custkey AS workspace_id, c_custkey AS customer_id, c_custkey%7 AS account_id,
@@ -112,7 +124,7 @@ SELECT s_suppkey AS account_id FROM supplier WHERE s_acctbal<1500""")
 
 cte("f_workload_cluster_usage", """
 SELECT DATE '2024-01-01' + CAST(l_orderkey%30 AS INTEGER) AS date, l_returnflag AS sku,
-       l_linestatus AS workload_type, l_suppkey%7 AS account_id, l_suppkey%25 AS workspace_id,
+       l_linestatus AS workload_type, l_suppkey%7 AS account_id, l_suppkey AS workspace_id,
        CASE WHEN l_linenumber=7 THEN NULL ELSE l_partkey%200 END AS cluster_id,
        CAST(CAST(l_quantity AS INTEGER)*1024 AS BIGINT) AS memory_per_node_mb,
        CAST(l_linenumber AS BIGINT) AS cpus_per_node,
@@ -260,34 +272,41 @@ _CONTAINED = """t.date = r.date AND t.workspace_id = r.workspace_id AND t.cluste
   AND t.start_time >= r.run_start_floor AND t.end_time <= r.run_term_ceil"""
 
 
-def _profile(src: str, roles: str) -> str:
+def _profile(src: str, roles: str, contained: str = _CONTAINED) -> str:
     aggs = []
     if "d" in roles:
         aggs.append(_role_aggs("t.driver IS TRUE", "d_"))
     if "w" in roles:
         aggs.append(_role_aggs("t.driver IS FALSE", "w_"))
     return (
-        f"SELECT r.*, {', '.join(aggs)}\nFROM {src} r LEFT JOIN timeline t ON {_CONTAINED}\n"
+        f"SELECT r.*, {', '.join(aggs)}\nFROM {src} r LEFT JOIN timeline t ON {contained}\n"
         "GROUP BY ALL"
     )
 
 
 cte("run_driver_profile", _profile("run_base", "d"), "run_base", "timeline")
 cte("run_worker_profile", _profile("run_base", "dw"), "run_base", "timeline")
+# X15 off: samples of any date count
+cte("run_worker_profile_any_date", _profile("run_base", "dw", _CONTAINED.replace("t.date = r.date AND ", "")),
+    "run_base", "timeline")
 
 _COST_COLS = """c.workload_id, c.workload_name, c.sku, c.product_type, c.workload_status,
        c.attributed_revenue, c.driver_cost_units, c.worker_cost_units"""
 _MAP_DIMS = """m.crm_account_id, m.account_id, m.workspace_name, m.industry, m.bu, m.region, m.bu_1,
        m.bu_2, m.bu_3, m.account_name, m.platform_account_name, m.account_owner"""
 
-cte("run_costs_mapped", f"""
+def _costs_mapped(src: str) -> str:
+    return f"""
 SELECT u.*, {_COST_COLS}, {_MAP_DIMS}
-FROM run_worker_profile u
+FROM {src} u
 JOIN costs c ON u.date = c.date AND u.workspace_id = c.workspace_id AND u.cluster_id = c.cluster_id
   AND u.job_id = c.job_id AND u.run_id = c.run_id
 JOIN mapping_scoped m ON c.date = m.date AND c.workspace_id = m.workspace_id
   AND c.crm_account_id = m.crm_account_id
-WHERE u.date >= {START} AND c.job_id IS NOT NULL AND c.run_id IS NOT NULL""",
+WHERE u.date >= {START} AND c.job_id IS NOT NULL AND c.run_id IS NOT NULL"""
+
+
+cte("run_costs_mapped", _costs_mapped("run_worker_profile"),
     "run_worker_profile", "costs", "mapping_scoped")
 
 _DSHARE = "driver_cost_units / NULLIF(driver_cost_units + worker_cost_units, 0)"
@@ -325,30 +344,49 @@ FROM {src}"""
 
 _FLAT = "CASE WHEN product_type <> 'JOBS' THEN CAST(0.6 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END"
 
+_FLAT_NULL = """CASE WHEN product_type = 'JOBS' THEN CAST(0.0 AS DOUBLE)
+        WHEN product_type <> 'JOBS' THEN CAST(0.6 AS DOUBLE) END"""
+
+
+def _run_risk(src: str, flat: str = _FLAT) -> str:
+    return f"""
+SELECT *, {flat} AS all_purpose_penalty,
+       ({flat}) * (attributed_revenue - attributed_revenue * utilization_penalty) AS rev_at_risk_all_purpose,
+       attributed_revenue * (({flat}) + utilization_penalty - ({flat}) * utilization_penalty) AS rev_at_risk
+FROM {src}"""
+
+
 cte("run_utilization_derived", _derived("run_costs_mapped"), "run_costs_mapped")
 cte("run_utilization_risk", _util_risk("run_utilization_derived"), "run_utilization_derived")
-cte("run_risk", f"""
-SELECT *, {_FLAT} AS all_purpose_penalty,
-       ({_FLAT}) * (attributed_revenue - attributed_revenue * utilization_penalty) AS rev_at_risk_all_purpose,
-       attributed_revenue * (({_FLAT}) + utilization_penalty - ({_FLAT}) * utilization_penalty) AS rev_at_risk
-FROM run_utilization_risk""", "run_utilization_risk")
+cte("run_risk", _run_risk("run_utilization_risk"), "run_utilization_risk")
+# options: E10b (null product, null penalty), E17b (sum of the shortfalls)
+cte("run_risk_null_product", _run_risk("run_utilization_risk", _FLAT_NULL), "run_utilization_risk")
+_UPEN_SUM = _UPEN.removesuffix(" / 2")
+cte("run_utilization_risk_sum", f"""
+SELECT *, {_UPEN_SUM} AS utilization_penalty,
+       attributed_revenue * ({_UPEN_SUM}) AS rev_at_risk_utilization
+FROM run_utilization_derived""", "run_utilization_derived")
+# Each cost line once, so runs are not fanned out by usage and settings
+cte("run_lines", "SELECT DISTINCT * FROM runs_scoped", "runs_scoped")
+cte("run_lines_profile", _profile("run_lines", "dw"), "run_lines", "timeline")
+cte("run_lines_mapped", _costs_mapped("run_lines_profile"), "run_lines_profile", "costs", "mapping_scoped")
+cte("run_lines_derived", _derived("run_lines_mapped"), "run_lines_mapped")
+cte("run_lines_risk", _run_risk("(" + _util_risk("run_lines_derived") + ")"), "run_lines_derived")
 
 _ROLLUP_AGGS = """CAST(sum(duration_seconds) AS BIGINT) AS total_duration_seconds,
        avg(avg_cluster_cpu_utilization) AS avg_cluster_cpu_utilization,
        avg(avg_cluster_mem_used_percent) AS avg_cluster_mem_used_percent,
-       avg(CAST(sum_d_network_sent_bytes + sum_w_network_sent_bytes AS DOUBLE)) / 1e9
-         AS avg_cluster_network_gb_sent,
-       avg(CAST(sum_d_network_received_bytes + sum_w_network_received_bytes AS DOUBLE)) / 1e9
-         AS avg_cluster_network_gb_received,
+       avg(total_network_gb_sent) AS avg_cluster_network_gb_sent,
+       avg(total_network_gb_received) AS avg_cluster_network_gb_received,
        count(DISTINCT run_id) AS job_run_count,
        sum(attributed_revenue) AS revenue,
-       sum(rev_at_risk) AS total_revenue_at_risk,
-       sum(rev_at_risk_utilization) AS revenue_at_risk_utilization,
-       sum(rev_at_risk_all_purpose) AS revenue_at_risk_all_purpose_jobs"""
+       sum(CAST(rev_at_risk AS DECIMAL(28,10))) AS total_revenue_at_risk,
+       sum(CAST(rev_at_risk_utilization AS DECIMAL(28,10))) AS revenue_at_risk_utilization,
+       sum(CAST(rev_at_risk_all_purpose AS DECIMAL(28,10))) AS revenue_at_risk_all_purpose_jobs"""
 
 
-def _rollup(keys: str) -> str:
-    return f"SELECT {keys}, {_ROLLUP_AGGS}\nFROM run_risk GROUP BY {keys}"
+def _rollup(keys: str, src: str = "run_risk") -> str:
+    return f"SELECT {keys}, {_ROLLUP_AGGS}\nFROM {src} GROUP BY {keys}"
 
 
 cte("risk_rollup_account", _rollup("account_id, account_name, bu, region, bu_1, bu_2, bu_3, date"), "run_risk")
@@ -358,7 +396,11 @@ cte("risk_rollup_job", _rollup(
     "account_id, account_name, workspace_name, workspace_id, bu, region, bu_1, bu_2, bu_3, date, job_id"),
     "run_risk")
 
+cte("risk_rollup_account_lines", _rollup(
+    "account_id, account_name, bu, region, bu_1, bu_2, bu_3, date", "run_lines_risk"), "run_lines_risk")
+
 # --- entry B -----------------------------------------------------------------------
+# Failure statuses and SKU names, as in costlens/params.py.
 _FAILED = "coalesce(workload_status IN ('cancelled','error','failed','skipped','timedout','canceled'), false)"
 _AP = "product_type = 'ALL_PURPOSE' AND NOT (sku ILIKE '%serverl%')"
 _ENT = ("'ENTERPRISE_ALL_PURPOSE_COMPUTE', 'ENTERPRISE_ALL_PURPOSE_COMPUTE_(PHOTON)', "
@@ -430,6 +472,24 @@ SELECT {_DIMS}, u.dat_bu1, u.dts_bu1, CAST(sum(s.active_tasks) AS BIGINT) AS dat
 FROM sql_rows s LEFT JOIN warehouse_util_by_unit u USING (date, bu_1)
 GROUP BY {_DIMS}, u.dat_bu1, u.dts_bu1""", "sql_rows", "warehouse_util_by_unit")
 
+# X5 "none": a day's warehouse totals once per (dims, workspace, serverless)
+cte("sql_units", f"""
+SELECT {_DIMS}, workspace_id, serverless_sql_compute, sum(rounded_revenue) AS rounded_revenue
+FROM account_cost_core WHERE sql_compute = true
+GROUP BY {_DIMS}, workspace_id, serverless_sql_compute""", "account_cost_core")
+cte("sql_unit_rows", """
+SELECT c.*, h.active_tasks, h.task_slots
+FROM sql_units c LEFT JOIN warehouse_tasks_daily h
+  ON c.date = h.date AND c.workspace_id = h.workspace_id AND c.serverless_sql_compute = h.serverless""",
+    "sql_units", "warehouse_tasks_daily")
+cte("warehouse_util_by_account_once", f"""
+SELECT {_DIMS}, u.dat_bu1, u.dts_bu1, CAST(sum(s.active_tasks) AS BIGINT) AS dat_acnt,
+       CAST(sum(s.task_slots) AS BIGINT) AS dts_acnt, sum(s.rounded_revenue) AS sql_dollars
+FROM sql_unit_rows s LEFT JOIN (
+  SELECT date, bu_1, CAST(sum(active_tasks) AS BIGINT) AS dat_bu1, CAST(sum(task_slots) AS BIGINT) AS dts_bu1
+  FROM sql_unit_rows GROUP BY date, bu_1) u USING (date, bu_1)
+GROUP BY {_DIMS}, u.dat_bu1, u.dts_bu1""", "sql_unit_rows")
+
 _DIM_JOIN = " AND ".join(f"t.{d} = a.{d}" for d in _DIMS.split(", "))
 cte("account_cost_and_util", f"""
 SELECT {', '.join('t.' + d for d in _DIMS.split(', '))},
@@ -521,10 +581,27 @@ FROM idle_revenue i LEFT JOIN config_periods p
   ON i.workspace_id = p.workspace_id AND i.cluster_id = p.cluster_id AND i.date >= p.change_date
  AND (i.date <= p.valid_to OR p.valid_to IS NULL)""", "idle_revenue", "config_periods")
 
+def _idle_with_config(idle: str, periods: str) -> str:
+    return CTES["cluster_idle_with_config"][1].replace("FROM idle_revenue", f"FROM {idle}").replace(
+        "JOIN config_periods", f"JOIN {periods}")
+
+
+# X11 scoped: both inputs of the idle table limited to the scope
+cte("idle_revenue_in_scope", """
+SELECT i.* FROM idle_revenue i WHERE EXISTS (SELECT 1 FROM scope s WHERE s.workspace_id = i.workspace_id)""",
+    "idle_revenue", "scope")
+cte("config_periods_in_scope", CTES["config_periods"][1].replace("FROM configs)", """FROM configs c WHERE EXISTS (
+  SELECT 1 FROM scope s WHERE s.workspace_id = c.workspace_id AND s.account_id = c.account_id))"""),
+    "configs", "scope")
+cte("cluster_idle_with_config_scoped",
+    _idle_with_config("idle_revenue_in_scope", "config_periods_in_scope"),
+    "idle_revenue_in_scope", "config_periods_in_scope")
+
 cte("warehouse_daily", """
 SELECT date, warehouse_id, workspace_id,
-       first(warehouse_type ORDER BY ts NULLS FIRST, warehouse_type NULLS FIRST) AS warehouse_type,
-       first(serverless ORDER BY ts NULLS FIRST, serverless NULLS FIRST) AS serverless,
+       first(warehouse_type ORDER BY ts, warehouse_type NULLS FIRST) FILTER (WHERE ts IS NOT NULL)
+         AS warehouse_type,
+       first(serverless ORDER BY ts, serverless NULLS FIRST) FILTER (WHERE ts IS NOT NULL) AS serverless,
        CAST(sum(active_tasks) AS BIGINT) AS active_tasks, CAST(sum(task_slots) AS BIGINT) AS task_slots,
        avg(executors_total) AS avg_executors_total, avg(executors_active) AS avg_executors_active,
        avg(pending_tasks) AS avg_pending_tasks
@@ -580,6 +657,9 @@ def build(name: str, select: str | None = None) -> str:
     withs = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in seen)
     return f"WITH {withs}\n{select or f'SELECT * FROM {name}'}"
 
+_ROLLUP_MONEY = (
+    "revenue", "total_revenue_at_risk", "revenue_at_risk_utilization", "revenue_at_risk_all_purpose_jobs",
+)
 # Decimal output columns per query key (filled from the Spark schemas; checked by tests).
 DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
     "src_timeline_driver": ("d_network_received_bytes", "d_network_sent_bytes"),
@@ -599,9 +679,10 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
     "run_utilization_derived": ("sum_d_network_received_bytes", "sum_d_network_sent_bytes", "sum_w_network_received_bytes", "sum_w_network_sent_bytes", "attributed_revenue"),
     "run_utilization_risk": ("sum_d_network_received_bytes", "sum_d_network_sent_bytes", "sum_w_network_received_bytes", "sum_w_network_sent_bytes", "attributed_revenue"),
     "run_risk": ("sum_d_network_received_bytes", "sum_d_network_sent_bytes", "sum_w_network_received_bytes", "sum_w_network_sent_bytes", "attributed_revenue"),
-    "risk_rollup_account": ("revenue",),
-    "risk_rollup_workspace": ("revenue",),
-    "risk_rollup_job": ("revenue",),
+    "risk_rollup_account": _ROLLUP_MONEY,
+    "risk_rollup_workspace": _ROLLUP_MONEY,
+    "risk_rollup_job": _ROLLUP_MONEY,
+    "risk_rollup_account_lines": _ROLLUP_MONEY,
     "account_cost_core": ("idle_revenue", "all_purpose_job_revenue", "corrected_all_purpose_job_revenue", "rounded_revenue", "failed_revenue_half", "revenue_after_failures"),
     "account_cost_totals": ("idle_revenue", "interactive_risk_dollars", "interactive_usage_dollar_adjusted_100pct", "usage_amount", "failed_workload_risk_dollars", "failed_workload_usage_dollar_adjusted_50pct"),
     "warehouse_util_by_account": ("sql_dollars",),
@@ -615,3 +696,14 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
     "cluster_idle_with_config": ("idle_revenue",),
     "workload_usage_daily": ("sum_cost_units",),
 }
+
+# options and stored forms have the columns of the dataset they vary
+for _key, _of in {
+    "run_risk_null_product": "run_risk",
+    "run_utilization_risk_sum": "run_utilization_risk",
+    "run_worker_profile_any_date": "run_worker_profile",
+    "warehouse_util_by_account_once": "warehouse_util_by_account",
+    "cluster_idle_with_config_scoped": "cluster_idle_with_config",
+    "stored_account_risk": "account_risk",
+}.items():
+    DECIMAL_COLUMNS[_key] = DECIMAL_COLUMNS[_of]

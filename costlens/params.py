@@ -80,6 +80,9 @@ class Params:
     null_product_penalty: bool = False
     # Variant E17b: sum of the two shortfalls instead of their mean.
     average_utilization_penalty: bool = True
+    # Risk rollups count each cost line once (literally, once per SKU and
+    # setting of its run).
+    count_cost_once: bool = False
     # Apply the workspace scope to the idle-cost and config-period inputs too
     # (the reference leaves them unscoped).
     scope_cluster_metrics: bool = False
@@ -103,4 +106,6 @@ class Params:
         if start is None:
             raise ValueError(f"session conf {START_DATE_KEY} is not set")
         change = spark.conf.get(CHANGE_DATE_KEY, None)
+        if change is None:
+            raise ValueError(f"session conf {CHANGE_DATE_KEY} is not set")
         return cls(start_date=start, change_date=change, **overrides)

@@ -228,24 +228,32 @@ class Pipeline:
         return self._with_config(self.runs_with_usage)
 
     @cached_property
-    def run_base(self) -> DataFrame:
+    def timeline_scoped(self) -> DataFrame:
+        """Samples of workspaces in scope: runs are scoped, so no other sample can count."""
+        return scope.semi(self.timeline, self.scope, ["workspace_id"])
+
+    def _profiled(self, roles: tuple[str, ...]) -> DataFrame:
         """One row per distinct run line (the reference's group-by on all columns).
 
-        Both joined sides are distinct on their projected columns, so rows built
-        from distinct runs are already distinct: the de-duplication runs on the
-        narrow run rows, before the usage and configuration fan-out.
+        The distinct, narrow run rows are profiled first; usage and settings, both
+        distinct on their projected columns, fan them out last, so the rows are
+        those of the group-by and the joins before carry no copies.
         """
-        return self._with_config(self._with_usage(self.runs_scoped.distinct()))
+        runs = self.runs_scoped.distinct()
+        prof = intervals.run_profile(runs, self.timeline_scoped, self.p, roles=roles)
+        wide = self._with_config(self._with_usage(prof))
+        extra = ["usage_origin", "sku_name", "auto_termination_minutes"]
+        return wide.select(*runs.columns, *extra, *intervals.profile_columns(roles))
 
     @cached_property
     def run_driver_profile(self) -> DataFrame:
         """D7 + F3."""
-        return intervals.run_profile(self.run_base, self.timeline, self.p, roles=("driver",))
+        return self._profiled(("driver",))
 
     @cached_property
     def run_worker_profile(self) -> DataFrame:
         """D8 + F4 on top of the driver profile: the run utilization table."""
-        return intervals.run_profile(self.run_base, self.timeline, self.p)
+        return self._profiled(("driver", "worker"))
 
     @cached_property
     def run_costs_mapped(self) -> DataFrame:
@@ -255,7 +263,10 @@ class Pipeline:
         so costs are joined to the mapping first: the large utilization side is
         then shuffled once, on the five run keys.
         """
-        util = A.since(self.run_worker_profile, "date", self.p.start_date)
+        return self._costs_mapped(self.run_worker_profile)
+
+    def _costs_mapped(self, profiles: DataFrame) -> DataFrame:
+        util = A.since(profiles, "date", self.p.start_date)
         costs = _rename(self.costs_with_run, "c_", [*RUN_KEYS, "crm_account_id", *COST_COLS])
         mp = _rename(self.mapping_scoped, "m_", ["date", "workspace_id", *MAPPING_DIMS])
         cm = costs.join(
@@ -289,17 +300,30 @@ class Pipeline:
         """The per-run risk table."""
         return add_run_risk(self.run_utilization_risk, self.p, self.p.null_product_penalty)
 
+    @cached_property
+    def _rollup_rows(self) -> DataFrame:
+        """Rows of the risk rollups: literally one per cost line, SKU and setting of its
+        run; with ``count_cost_once`` (X22) the run is not fanned out by usage and
+        settings, so each cost line is summed once."""
+        if not self.p.count_cost_once:
+            return self.run_risk
+        runs = self.runs_scoped.distinct()
+        prof = intervals.run_profile(runs, self.timeline_scoped, self.p)
+        derived = add_utilization(self._costs_mapped(prof))
+        risk = add_utilization_risk(derived, self.p, self.p.average_utilization_penalty)
+        return add_run_risk(risk, self.p, self.p.null_product_penalty)
+
     @cached_property
     def risk_rollup_account(self) -> DataFrame:
-        return rollups.risk_rollup(self.run_risk, rollups.ACCOUNT_DAY_KEYS)
+        return rollups.risk_rollup(self._rollup_rows, rollups.ACCOUNT_DAY_KEYS)
 
     @cached_property
     def risk_rollup_workspace(self) -> DataFrame:
-        return rollups.risk_rollup(self.run_risk, rollups.WORKSPACE_DAY_KEYS)
+        return rollups.risk_rollup(self._rollup_rows, rollups.WORKSPACE_DAY_KEYS)
 
     @cached_property
     def risk_rollup_job(self) -> DataFrame:
-        return rollups.risk_rollup(self.run_risk, rollups.JOB_DAY_KEYS)
+        return rollups.risk_rollup(self._rollup_rows, rollups.JOB_DAY_KEYS)
 
     # -- entry B: account-level risk -------------------------------------------------------
     @cached_property
@@ -333,58 +357,35 @@ class Pipeline:
             rules.revenue_after_failures(status, rev, self.p).alias("revenue_after_failures"),
         )
 
-    @cached_property
-    def account_cost_totals(self) -> DataFrame:
-        return rollups.account_cost_totals(self.account_cost_core)
-
     @cached_property
     def warehouse_tasks_daily(self) -> DataFrame:
         return rollups.warehouse_tasks_daily(self.warehouse)
 
     @cached_property
-    def sql_rows(self) -> DataFrame:
-        """SQL cost rows with the day's warehouse totals (literal weighting, X5)."""
-        core = self.account_cost_core.where(F.col("sql_compute") == F.lit(True))
-        wh = self.warehouse_tasks_daily
-        if self.p.weight == "none":
-            # Join warehouse totals once per distinct (date, ws, serverless, dims),
-            # not once per cost row; dollars keep per-row weighting.
-            keys = ["date", "workspace_id", "serverless_sql_compute", *rollups.ACCOUNT_DIMS[1:]]
-            dollars = core.groupBy(*keys).agg(F.sum("rounded_revenue").alias("rounded_revenue"))
-            core = dollars
-        whr = _rename(wh, "h_", ["date", "workspace_id", "serverless", "active_tasks", "task_slots"])
-        j = core.join(
-            whr,
-            (core["date"] == whr["h_date"])
-            & (core["workspace_id"] == whr["h_workspace_id"])
-            & (core["serverless_sql_compute"] == whr["h_serverless"]),
-            "left",
-        )
-        return j.select(
-            *core.columns,
-            F.col("h_active_tasks").alias("active_tasks"),
-            F.col("h_task_slots").alias("task_slots"),
-        )
+    def account_days(self) -> DataFrame:
+        """Cost and SQL sums per account dimensions: one pass over the cost rows."""
+        units = rollups.account_day_units(self.account_cost_core)
+        return rollups.account_day(units, self.warehouse_tasks_daily, self.p.weight)
 
     @cached_property
-    def sql_account_sums(self) -> DataFrame:
-        """Tasks, slots and SQL dollars per account dims: one pass over the cost rows."""
-        return rollups.account_sums(self.sql_rows)
+    def account_cost_totals(self) -> DataFrame:
+        """F8."""
+        return rollups.account_cost_totals(self.account_days)
 
     @cached_property
     def warehouse_util_by_unit(self) -> DataFrame:
-        """F9, re-aggregated from the per-account sums ((date, bu_1) is among the dims)."""
-        return rollups.unit_totals_from_accounts(self.sql_account_sums)
+        """F9."""
+        return rollups.unit_totals(self.account_days)
 
     @cached_property
     def warehouse_util_by_account(self) -> DataFrame:
-        """D14 + F10: per-account sums with their unit totals attached."""
-        return rollups.account_totals(self.sql_account_sums, self.warehouse_util_by_unit)
+        """D14 + F10."""
+        return rollups.account_totals(self.account_days)
 
     @cached_property
     def account_cost_and_util(self) -> DataFrame:
         """D15 + F11."""
-        return rollups.cost_and_util(self.account_cost_totals, self.warehouse_util_by_account)
+        return rollups.cost_and_util(self.account_days)
 
     @cached_property
     def account_util_ratios(self) -> DataFrame:
@@ -458,8 +459,18 @@ class Pipeline:
     @cached_property
     def run_metrics(self) -> DataFrame:
         """Profile, utilization (E12-E18), interactive (E10-E11) and failure
-        (E2-E4) columns on one frame: n cost rows of a run give n rows (X21)."""
-        prof = intervals.run_profile(self.run_costs.distinct(), self.timeline, self.p)
+        (E2-E4) columns on one frame: n cost rows of a run give n rows (X21).
+
+        Runs are profiled once, then met by their cost rows; both sides are
+        distinct, so the joined rows are the distinct rows of ``run_costs``.
+        """
+        runs = self.runs_scoped.distinct()
+        prof = intervals.run_profile(runs, self.timeline_scoped, self.p)
+        c = self.costs.where(F.col("run_id").isNotNull()).distinct()
+        rest = [x for x in c.columns if x not in RUN_KEYS]
+        prof = c.join(prof, RUN_KEYS, "inner").select(
+            *RUN_KEYS, *rest, *[x for x in prof.columns if x not in RUN_KEYS]
+        )
         df = add_utilization_risk(add_utilization(prof), self.p, self.p.average_utilization_penalty)
         rev, status = F.col("attributed_revenue"), F.col("workload_status")
         df = df.withColumn(
@@ -500,7 +511,10 @@ class Pipeline:
         c = self.costs.where(F.col("run_id").isNotNull()).select(
             *RUN_KEYS, "product_type", "attributed_revenue"
         )
-        c = c.withColumn("all_purpose_penalty", rules.flat_penalty(F.col("product_type"), self.p))
+        c = c.withColumn(
+            "all_purpose_penalty",
+            rules.flat_penalty(F.col("product_type"), self.p, self.p.null_product_penalty),
+        )
         return c.withColumn(
             "rev_risk_interactive_jobs",
             rules.interactive_risk(F.col("all_purpose_penalty"), F.col("attributed_revenue")),

@@ -3,23 +3,24 @@
 Each stored dataset is written under ``base`` and read back before any
 downstream dataset is planned, so later stages start from files instead of
 re-running the upstream lineage — a lost executor only costs the tasks of
-the stage in flight.  ``base`` defaults to the shared folder named by the
-session's ``spark.checkpoint.dir``.
+the stage in flight.  Give ``base``, a catalog ``database``, or set the session's
+``spark.checkpoint.dir`` to a shared folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from costlens.operators import scope
 from costlens.params import Params
 from costlens.plans.pipeline import Pipeline
-from costlens.session import checkpoint_dir
 from costlens.sinks import write_table
 from costlens.sources import Sources
 
 D = ("date",)
 # (dataset, directory partitions, layout clustering keys) in dependency order.
 STORED = (
+    ("scope", (), ()),
     ("configs_scoped", (), ()),
     ("mapping_scoped", D, ("date", "workspace_id", "crm_account_id", "account_id")),
     ("workload_usage_daily", D, ()),
@@ -37,7 +38,7 @@ STORED = (
     ("run_risk_combined", D, ()),
 )
 
-COMMENTS = {"account_risk": "Materialized view aggregating risk and usage dollars"}
+COMMENTS = {"account_risk": "Dollars at risk and in use, per account dimensions and day"}
 
 
 def run_pipeline(
@@ -51,43 +52,58 @@ def run_pipeline(
     """Write every stored dataset (or those in ``only``); return where each went.
 
     With ``database`` the datasets become catalog tables ``database.name``
-    (with their comments, K3); otherwise parquet folders under ``base``.
+    (with their comments, K3); otherwise parquet folders under ``base``.  With
+    ``only``, datasets that are stored there already are read, not computed.
     """
     if database is None:
-        base = (base or checkpoint_dir(spark).rstrip("/") + "/costlens").rstrip("/")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if base is None and shared is None:
+            raise ValueError("give base or database, or set spark.checkpoint.dir")
+        base = (base or f"{shared.rstrip('/')}/costlens").rstrip("/")
     pl = Pipeline(sources, params)
     out = {}
     for name, partition_by, cluster_by in STORED:
+        loc = f"{base}/{name}" if database is None else f"{database}.{name}"
         if only is not None and name not in only:
-            continue
-        df = getattr(pl, name)
-        if database is None:
-            loc = f"{base}/{name}"
-            write_table(df, path=loc, partition_by=partition_by, cluster_by=cluster_by)
-            stored = spark.read.parquet(loc)
+            if not _is_stored(spark, loc, database):
+                continue
+        elif database is None:
+            write_table(getattr(pl, name), path=loc, partition_by=partition_by, cluster_by=cluster_by)
+            out[name] = loc
         else:
-            loc = f"{database}.{name}"
             write_table(
-                df, table=loc, partition_by=partition_by, cluster_by=cluster_by, comment=COMMENTS.get(name)
+                getattr(pl, name),
+                table=loc,
+                partition_by=partition_by,
+                cluster_by=cluster_by,
+                comment=COMMENTS.get(name),
             )
-            stored = spark.table(loc)
+            out[name] = loc
         # Downstream datasets are planned over the stored table.
-        pl.__dict__[name] = stored
-        out[name] = loc
+        stored = spark.read.parquet(loc) if database is None else spark.table(loc)
+        pl.__dict__[name] = scope.bounded(stored) if name == "scope" else stored
     return out
 
 
+def _is_stored(spark: SparkSession, loc: str, database: str | None) -> bool:
+    if database is not None:
+        return spark.catalog.tableExists(loc)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{loc}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit --py-files costlens.zip costlens/plans/runner.py --sources sources.json ...``
 
     ``sources.json`` maps each logical source name to a path or catalog table.
     Dates default to the session conf keys ``costlens.start_date`` /
-    ``costlens.change_date``; the output folder to ``spark.checkpoint.dir``.
+    ``costlens.change_date``; the output folder to ``spark.checkpoint.dir``.  The
+    cluster settings of ``costlens.session`` apply where ``--conf`` gives none.
     """
     import argparse
     import json
 
-    from costlens.session import apply_required_conf
+    from costlens.session import apply_cluster_conf
 
     ap = argparse.ArgumentParser(prog="costlens.plans.runner")
     ap.add_argument("--sources", required=True, help="JSON file: logical source -> path or table")
@@ -99,7 +115,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--only", action="append", help="dataset to write (repeatable)")
     args = ap.parse_args(argv)
 
-    spark = apply_required_conf(SparkSession.builder.getOrCreate())
+    spark = apply_cluster_conf(SparkSession.builder.getOrCreate())
     with open(args.sources) as fh:
         paths = json.load(fh)
     if args.start_date:

@@ -45,6 +45,15 @@ def apply_required_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def apply_cluster_conf(spark: SparkSession) -> SparkSession:
+    """``CLUSTER_CONF`` for every key that the submit command left unset."""
+    given = spark.sparkContext.getConf()
+    for key, value in CLUSTER_CONF.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return apply_required_conf(spark)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -19,23 +19,22 @@ def write_table(
 ) -> None:
     """Materialize ``df`` to a path or a catalog table.
 
-    ``cluster_by`` (K2) range-partitions the rows on the partition and
-    clustering keys (balanced tasks even when one date or key is hot; Spark
-    samples the keys for the bounds) and sorts within each task, so files are
-    laid out by those keys; ``partition_by`` adds directory partitions.  A
-    partitioned write without clustering keys is rebalanced on the partition
-    columns (adaptive execution splits a hot date and merges small ones), so
-    each task writes few, similar-sized files instead of one per date.
+    ``cluster_by`` (K2) gathers rows by the partition and clustering keys and
+    sorts them within each task, so files are laid out by those keys;
+    ``partition_by`` adds directory partitions.  Rows are rebalanced on the keys:
+    adaptive execution splits hot keys and merges small ones, so tasks write few,
+    similar-sized files, and nothing is computed twice (a range partitioning
+    would sample its input first).
     ``comment`` (K3) is set as the table comment (catalog tables only).
     """
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
     keys = [*partition_by, *[k for k in cluster_by if k not in partition_by]]
     out = df
+    if keys:
+        out = out.hint("rebalance", *keys)
     if cluster_by:
-        out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    elif partition_by:
-        out = out.hint("rebalance", *partition_by)
+        out = out.sortWithinPartitions(*keys)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -51,7 +51,13 @@ class TestTables:
     # -- helpers over events columns ------------------------------------
     @staticmethod
     def _ws() -> Column:
-        return F.col("user_id") % 25
+        """25 busy workspaces, and one of its own for every fourth user."""
+        u = F.col("user_id")
+        return F.when(u % 4 == 3, u + 25).otherwise(u % 25)
+
+    def _cluster(self) -> Column:
+        """Several clusters per workspace; a cluster id occurs in several workspaces."""
+        return self._ws() % 10 + 1000 + F.floor(F.col("user_id") / 25) % 3 * 100
 
     @staticmethod
     def _eid() -> Column:
@@ -69,7 +75,7 @@ class TestTables:
             (ws % 7).alias("account_id"),
             ws.alias("workspace_id"),
             F.struct(
-                F.when(eid % 13 == 0, _null("bigint")).otherwise(ws + 1000).alias("cluster_id")
+                F.when(eid % 13 == 0, _null("bigint")).otherwise(self._cluster()).alias("cluster_id")
             ).alias("usage_metadata"),
             F.when(eid % 2 == 0, "SKU_A").otherwise("SKU_B").alias("sku_name"),
             F.when(eid % 4 == 0, "INTERACTIVE").otherwise("JOBS").alias("billing_origin"),
@@ -79,8 +85,8 @@ class TestTables:
         ws, eid = self._ws(), self._eid()
         return self._events("signup").select(
             ws.alias("workspace_id"),
-            (ws + 1000).alias("cluster_id"),
-            (ws % 7).alias("account_id"),
+            self._cluster().alias("cluster_id"),
+            F.when(eid % 9 == 0, F.lit(-5).cast("bigint")).otherwise(ws % 7).alias("account_id"),
             F.to_date("ts").alias("change_date"),
             self._ts().alias("change_time"),
             (eid % 4 * 30).alias("auto_termination_minutes"),
@@ -102,7 +108,7 @@ class TestTables:
         return self._events("view", "click").select(
             (ws % 7).alias("account_id"),
             ws.alias("workspace_id"),
-            (ws + 1000).alias("cluster_id"),
+            self._cluster().alias("cluster_id"),
             (eid % 3).alias("instance_id"),
             F.when(eid % 50 == 49, _null("boolean"))
             .otherwise(F.col("event_type") == "view")
@@ -123,7 +129,7 @@ class TestTables:
         return self._events("purchase").select(
             F.to_date("ts").alias("date"),
             ws.alias("workspace_id"),
-            (ws + 1000).alias("cluster_id"),
+            self._cluster().alias("cluster_id"),
             (eid % 40).alias("job_id"),
             eid.alias("run_id"),
             F.floor(F.col("value") * 600).cast("bigint").alias("duration_seconds"),
@@ -137,7 +143,13 @@ class TestTables:
     def workload_costs(self) -> DataFrame:
         ws, eid = self._ws(), self._eid()
         purchase = F.col("event_type") == "purchase"
-        m7, m4, m8 = eid % 7, eid % 4, eid % 8
+        # every third run has a second cost line
+        lines = F.when(purchase & (eid % 3 == 0), F.array(F.lit(0), F.lit(1))).otherwise(
+            F.array(F.lit(0))
+        )
+        line = F.col("line")
+        n = eid + line
+        m7, m4, m8 = eid % 7, eid % 4, n % 8
         terminal = (
             F.when(m7 == 0, "RUNNING")
             .when(m7 == 1, "SUCCEEDED")
@@ -157,22 +169,31 @@ class TestTables:
             .otherwise("OTHER_ALL_PURPOSE_COMPUTE")
         )
         product = F.when(m8.isin(4, 5), "SQL").when(m8 == 6, "JOBS").otherwise("ALL_PURPOSE")
-        return self._events("purchase", "error").select(
-            F.to_date("ts").alias("date"),
-            (ws + 1000).alias("cluster_id"),
-            eid.alias("workload_id"),
-            ws.alias("workspace_id"),
-            F.when(ws == 24, F.lit(-1).cast("bigint")).otherwise(ws).alias("crm_account_id"),
+        # a few lines miss their run in exactly one key
+        other_ws = F.when(eid % 41 == 0, ws + 10).otherwise(ws)
+        other_cluster = F.when(eid % 29 == 0, self._cluster() + 100).otherwise(self._cluster())
+        other_job = F.when(eid % 31 == 0, F.lit(-1).cast("bigint")).otherwise(eid % 40)
+        other_run = F.when(eid % 43 == 0, eid + 40).otherwise(eid)
+        other_date = F.when(eid % 37 == 0, F.date_add(F.to_date("ts"), 1)).otherwise(F.to_date("ts"))
+        return self._events("purchase", "error").withColumn("line", F.explode(lines)).select(
+            other_date.alias("date"),
+            F.when(eid % 23 == 0, _null("bigint")).otherwise(other_cluster).alias("cluster_id"),
+            (eid + line * 1000000000).alias("workload_id"),
+            other_ws.alias("workspace_id"),
+            F.when(ws == 24, F.lit(-1).cast("bigint"))
+            .when(eid % 6 == 0, ws + 500000)
+            .otherwise(ws)
+            .alias("crm_account_id"),
             F.struct(
-                F.when(purchase, eid % 40).alias("job_id"),
-                F.when(purchase, eid).alias("run_id"),
+                F.when(purchase, other_job).alias("job_id"),
+                F.when(purchase, other_run).alias("run_id"),
                 terminal.alias("run_terminal_state"),
                 command.alias("command_status"),
                 F.when(eid % 3 == 0, _null("string")).otherwise("COMPLETED").alias("pipeline_state"),
             ).alias("tags"),
             F.when(purchase, "jobRuns").otherwise("idleWorkloads").alias("workload_name"),
-            sku.alias("sku"),
-            product.alias("product_type"),
+            F.when(n % 19 == 0, _null("string")).otherwise(sku).alias("sku"),
+            F.when(n % 17 == 0, _null("string")).otherwise(product).alias("product_type"),
             F.col("value").cast("decimal(18,4)").alias("attributed_revenue"),
             F.struct(
                 (eid % 5).cast("double").alias("driver_cost_units"),
@@ -184,7 +205,7 @@ class TestTables:
         ws, eid = self._ws(), self._eid()
         return self._events("view", "click", "signup").select(
             F.to_date("ts").alias("date"),
-            self._ts().alias("ts"),
+            F.when(eid % 27 != 0, self._ts()).alias("ts"),
             (ws * 2 + eid % 2 + 2000).alias("warehouse_id"),
             ws.alias("workspace_id"),
             F.when(eid % 3 == 0, "PRO").otherwise("CLASSIC").alias("warehouse_type"),
@@ -198,7 +219,7 @@ class TestTables:
         )
 
     def account_mapping(self) -> DataFrame:
-        e = self.raw("events").select("ts", (F.col("user_id") % 25).alias("ck"))
+        e = self.raw("events").select("ts", "event_id", self._ws().alias("ck"))
         c = self.raw("customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
         n = self.raw("nation").select("n_nationkey", "n_name", "n_regionkey")
         r = self.raw("region").select("r_regionkey", "r_name")
@@ -210,8 +231,11 @@ class TestTables:
         key = F.col("c_custkey")
         return j.select(
             F.to_date("ts").alias("date"),
-            key.alias("crm_account_id"),
-            (key % 7).alias("account_id"),
+            # a workspace has several CRM accounts and accounts on a day
+            F.when(self._eid() % 11 == 0, key + 500000).otherwise(key).alias("crm_account_id"),
+            F.when(self._eid() % 10 == 0, F.lit(-5).cast("bigint"))
+            .otherwise(key % 7)
+            .alias("account_id"),
             key.alias("workspace_id"),
             F.concat("c_name", F.lit("-ws")).alias("workspace_name"),
             F.col("c_mktsegment").alias("industry"),
@@ -258,7 +282,7 @@ class TestTables:
             F.col("l_returnflag").alias("sku"),
             F.col("l_linestatus").alias("workload_type"),
             (F.col("l_suppkey") % 7).alias("account_id"),
-            (F.col("l_suppkey") % 25).alias("workspace_id"),
+            F.col("l_suppkey").alias("workspace_id"),
             F.when(F.col("l_linenumber") == 7, _null("bigint"))
             .otherwise(F.col("l_partkey") % 200)
             .alias("cluster_id"),

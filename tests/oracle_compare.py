@@ -43,18 +43,20 @@ def _norm(v):
     return v
 
 
-def rows_multiset(cols, rows, digits=None):
+def rows_multiset(cols, rows, digits=None, rounded=()):
+    """Rows as a multiset; floats of all (``digits``) or of ``rounded`` columns at 9 digits."""
     order = sorted(range(len(cols)), key=lambda i: cols[i])
 
-    def norm(v):
-        if digits is not None and isinstance(v, float) and not math.isnan(v):
-            return float(f"{v:.{digits}g}")
+    def norm(v, name):
+        n = digits or (9 if name in rounded else None)
+        if n is not None and isinstance(v, float) and not math.isnan(v):
+            return float(f"{v:.{n}g}")
         return _norm(v)
 
-    return collections.Counter(tuple(norm(r[i]) for i in order) for r in rows)
+    return collections.Counter(tuple(norm(r[i], cols[i]) for i in order) for r in rows)
 
 
-def compare(spark, key, sf_dir, con=None, verbose=True):
+def compare(spark, key, sf_dir, con=None, rounded=()):
     import __spark_entry__ as E
 
     con = con or duck(sf_dir)
@@ -73,7 +75,7 @@ def compare(spark, key, sf_dir, con=None, verbose=True):
         res["only_oracle"] = sorted(set(ocols) - set(scols))
         res["ok"] = False
         return res
-    a, b = rows_multiset(scols, srows), rows_multiset(ocols, orows)
+    a, b = (rows_multiset(c, r, rounded=rounded) for c, r in ((scols, srows), (ocols, orows)))
     res["ok"] = a == b and len(srows) == len(orows)
     if not res["ok"] and len(srows) == len(orows):
         # same rows once floats are rounded to 9 significant digits?
@@ -93,7 +95,7 @@ def main(argv):
     from costlens.session import local_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    keys = argv[1:] or list(E.queries())
+    keys = argv[1:] or list(E.oracle_sql())
     spark = local_session()
     con = duck(sf_dir)
     bad = 0

@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from costlens.plans import Pipeline
-from costlens.plans.runner import run_pipeline
+from costlens.plans.runner import COMMENTS, run_pipeline
 from costlens.sinks import write_table
 from costlens.sources import Sources
 from costlens.sources.testdata import fixture_params
@@ -82,16 +82,6 @@ def test_table_comment(spark):
     spark.sql("DROP TABLE costlens_test.wd")
 
 
-def test_unit_totals_from_account_sums_equal_rows_form(spark):
-    from costlens.operators import rollups
-
-    for kw in ({}, {"weight": "none"}):
-        pl = _pl(spark, **kw)
-        direct = rollups.unit_totals(pl.sql_rows)
-        derived = pl.warehouse_util_by_unit
-        assert direct.exceptAll(derived).count() == 0 and derived.exceptAll(direct).count() == 0
-
-
 def test_runner_into_catalog_with_comment(spark):
     loc = tempfile.mkdtemp(prefix="costlens-db-")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS costlens_run LOCATION '{loc}'")
@@ -99,5 +89,82 @@ def test_runner_into_catalog_with_comment(spark):
                        only=("account_cost_core", "account_risk"))
     assert out == {"account_cost_core": "costlens_run.account_cost_core", "account_risk": "costlens_run.account_risk"}
     desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED costlens_run.account_risk").collect()}
-    assert desc.get("Comment") == "Materialized view aggregating risk and usage dollars"
+    assert desc.get("Comment") == COMMENTS["account_risk"]
     assert spark.table("costlens_run.account_risk").count() == _pl(spark).account_risk.count()
+
+
+def test_only_reads_stored_upstream_tables(spark):
+    base = tempfile.mkdtemp(prefix="costlens-only-")
+    src = Sources.from_test_tables(spark, SF)
+    run_pipeline(spark, src, fixture_params(), base, only=("account_cost_core",))
+    empty = spark.read.parquet(f"{base}/account_cost_core").where("false")
+    empty.write.mode("overwrite").parquet(f"{base}/account_cost_core_empty")
+    import os
+
+    os.rename(f"{base}/account_cost_core", f"{base}/full")
+    os.rename(f"{base}/account_cost_core_empty", f"{base}/account_cost_core")
+    run_pipeline(spark, src, fixture_params(), base, only=("account_risk",))
+    assert spark.read.parquet(f"{base}/account_risk").count() == 0  # built on the stored table
+
+
+def test_runner_needs_a_place(spark):
+    import pytest
+
+    kept = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        if spark.conf.get("spark.checkpoint.dir", None) is None:
+            with pytest.raises(ValueError):
+                run_pipeline(spark, Sources.from_test_tables(spark, SF), fixture_params())
+    finally:
+        if kept is not None:
+            spark.conf.set("spark.checkpoint.dir", kept)
+
+
+def test_clustered_write_does_not_sample(spark):
+    from unittest import mock
+
+    from pyspark.sql import DataFrame
+
+    with mock.patch.object(DataFrame, "repartitionByRange", side_effect=AssertionError):
+        loc = tempfile.mkdtemp(prefix="costlens-clu-")
+        write_table(_pl(spark).account_risk, path=f"{loc}/t", partition_by=("date",), cluster_by=("date", "bu_1"))
+    assert spark.read.parquet(f"{loc}/t").count() == _pl(spark).account_risk.count()
+
+
+def test_counting_cost_lines_once(spark):
+    """With the option, revenue sums each cost line of a profiled run once."""
+    once = _pl(spark, count_cost_once=True)
+    total = once.risk_rollup_account.agg(F.sum("revenue")).first()[0]
+    runs = once.runs_scoped.distinct().select("date", "workspace_id", "cluster_id", "job_id", "run_id")
+    lines = once.costs_with_run.join(runs, runs.columns).join(
+        once.mapping_scoped.select("date", "workspace_id", "crm_account_id"),
+        ["date", "workspace_id", "crm_account_id"])
+    assert total == lines.agg(F.sum("attributed_revenue")).first()[0]
+    literal = _pl(spark).risk_rollup_account.agg(F.sum("revenue")).first()[0]
+    assert literal > total
+
+
+def test_missing_change_date_is_an_error(spark):
+    import pytest
+
+    from costlens.params import CHANGE_DATE_KEY, START_DATE_KEY, Params
+
+    spark.conf.set(START_DATE_KEY, "2024-01-01")
+    try:
+        with pytest.raises(ValueError):
+            Params.from_conf(spark)
+        spark.conf.set(CHANGE_DATE_KEY, "2024-01-02")
+        assert str(Params.from_conf(spark).change_date) == "2024-01-02"
+    finally:
+        spark.conf.unset(START_DATE_KEY)
+        spark.conf.unset(CHANGE_DATE_KEY)
+
+
+def test_null_product_option_reaches_every_penalty(spark):
+    pl = _pl(spark, null_product_penalty=True)
+    for name in ("interactive_penalty", "run_metrics", "run_risk"):
+        df = getattr(pl, name)
+        bad = df.where("product_type is null and all_purpose_penalty is not null")
+        assert bad.count() == 0, name
+    assert pl.interactive_penalty.where("product_type is null").count() > 0

@@ -17,6 +17,7 @@ from costlens.sources import adapters as A
 from costlens.sources.schemas import JOB_RUNS, NODE_TIMELINE
 
 P = Params(start_date="2024-01-01")
+KEY = ["date", "workspace_id", "cluster_id"]
 
 
 def test_hot_cluster_day_candidates_are_bounded(spark):
@@ -39,12 +40,41 @@ def test_hot_cluster_day_candidates_are_bounded(spark):
     naive = r.count() * t.count()  # equi-join on (date, workspace, cluster): one key
     wb = intervals._window_buckets(r, P)
     sp = intervals._sample_partials(t, P, ("driver", "worker"))
-    bucketed = wb.join(sp, ["date", "workspace_id", "cluster_id", "_bucket"]).count()
     assert sp.count() <= 2 * 2 * (24 * 60 // 3)  # collapsed: ≤ 2 end minutes x 2 roles per sampled minute
+    bucketed = wb.join(intervals._two_levels(sp, P), [*KEY, "_bucket", "_level"]).count()
     print("candidate pairs: naive", naive, "bucketed", bucketed, "partials", sp.count(), "samples", t.count())
     assert bucketed * 50 < naive, (bucketed, naive)
+    _same_as_plain_join(r, t)
 
-    # and the result equals the plain containment join
+
+def test_day_long_windows_meet_bucket_rows(spark):
+    """Windows of up to a day meet about two rows per whole hour, not every minute."""
+    rnd = random.Random(11)
+    day = dt.datetime(2024, 1, 2)
+    samples = []
+    for minute in range(0, 24 * 60):
+        for node in range(3):
+            s = day + dt.timedelta(minutes=minute, seconds=rnd.choice((0, 0, 30)))
+            samples.append((0, 1, 10, node, node == 0, s, s + dt.timedelta(minutes=1),
+                            float(rnd.randint(0, 90)), 1.0, 1.0, 40.0, 0.0, 10, 10))
+    runs = []
+    for i in range(60):
+        end = day + dt.timedelta(minutes=rnd.randint(23 * 60, 24 * 60 - 1), seconds=rnd.randint(0, 59))
+        runs.append((day.date(), 1, 10, i % 7, i, rnd.randint(20 * 3600, 22 * 3600), end,
+                     "SUCCEEDED", "NEW", "NOTEBOOK", "CRON"))
+    r = A.job_runs(spark.createDataFrame(runs, JOB_RUNS), P)
+    t = A.timeline(spark.createDataFrame(samples, NODE_TIMELINE), P)
+    sp = intervals._sample_partials(t, P, ("driver", "worker"))
+    met = intervals._window_buckets(r, P).join(intervals._two_levels(sp, P), [*KEY, "_bucket", "_level"]).count()
+    # a whole hour: a row per role and those that cross its end; two edge hours by minute
+    per_window = 24 * (2 + 4) + 2 * 60 * 2 * 2
+    assert met <= 60 * per_window, (met, 60 * per_window)
+    assert sp.count() > 24 * 60  # the minute rows one window would meet otherwise
+    _same_as_plain_join(r, t)
+
+
+def _same_as_plain_join(r, t):
+    # the result equals the plain containment join
     ours = intervals.run_profile(r, t, P)
     ts = t.where(F.col("driver") == True).select(  # noqa: E712
         F.col("date").alias("t_date"), "start_time", "end_time", "cpu_user_pct")
