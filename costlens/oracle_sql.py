@@ -104,7 +104,7 @@ FROM f_events WHERE event_type IN ('view','click','signup')""", "f_events")
 cte("f_account_mapping", """
 SELECT cast(e.ts AS date) AS date, CASE WHEN e.event_id%11=0 THEN c_custkey+500000 ELSE c_custkey END AS crm_account_id,
        CASE WHEN e.event_id%10=0 THEN -5 ELSE c_custkey%7 END AS account_id,
-       c_custkey AS workspace_id, concat(c_name,'-ws') AS workspace_name, c_mktsegment AS industry,
+       CASE WHEN e.event_id%12=5 THEN c_custkey+7 ELSE c_custkey END AS workspace_id, concat(c_name,'-ws') AS workspace_name, c_mktsegment AS industry,
        concat('BU', cast(r_regionkey AS VARCHAR)) AS bu, r_name AS region, r_name AS bu_1,
        n_name AS bu_2, CASE WHEN n_nationkey%5=4 THEN NULL ELSE n_name END AS bu_3,
        c_name AS account_name, concat('P-',c_name) AS platform_account_name,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from costlens.sources.schemas import SCHEMAS, conform
+from costlens.sources.schemas import SCHEMAS, conform, key_types
 
 SOURCE_NAMES = tuple(SCHEMAS)
 
@@ -24,13 +24,20 @@ class Sources:
             raise ValueError(f"missing logical sources {missing}")
         self._frames = dict(frames)
         self._done: dict[str, DataFrame] = {}
+        self._key_types: dict[str, tuple[str, str]] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in SOURCE_NAMES:
             raise AttributeError(name)
         if name not in self._done:
             f = self._frames[name]
-            self._done[name] = conform(f() if callable(f) else f, name)
+            df = conform(f() if callable(f) else f, name)
+            for key, kind in key_types(df).items():
+                # a key joins sources, so it must have one type in all of them
+                other, first = self._key_types.setdefault(key, (name, kind))
+                if first != kind:
+                    raise ValueError(f"{key} is {first} in {other} but {kind} in {name}")
+            self._done[name] = df
         return self._done[name]
 
     @classmethod

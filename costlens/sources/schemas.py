@@ -171,10 +171,62 @@ SCHEMAS = {
 }
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# Keys of any source: whole numbers or text, as they come.
+_KEYS = frozenset(
+    "account_id workspace_id cluster_id instance_id job_id run_id workload_id warehouse_id"
+    " crm_account_id customer_id".split()
+)
+
+
+def _kept_type(have: T.DataType, want: T.DataType, name: str, path: str) -> T.DataType:
+    """The type a source's field is read as: its own, or a wider one that loses nothing.
+
+    Keys may be whole numbers or text.  Money keeps the source's precision and
+    scale.  Any change that could lose data is refused.
+    """
+    if have == want:
+        return want
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        inner = {f.name: f.dataType for f in have.fields}
+        missing = [f.name for f in want.fields if f.name not in inner]
+        if missing:
+            raise ValueError(f"{path} lacks fields {missing}")
+        return T.StructType(
+            [
+                T.StructField(f.name, _kept_type(inner[f.name], f.dataType, f.name, f"{path}.{f.name}"))
+                for f in want.fields
+            ]
+        )
+    if name in _KEYS and isinstance(have, (T.StringType, T.VarcharType, T.CharType)):
+        return T.StringType()
+    if isinstance(want, T.LongType) and isinstance(have, _WHOLE):
+        return want
+    if isinstance(want, T.DecimalType):
+        if isinstance(have, T.DecimalType):
+            return have
+        if isinstance(have, _WHOLE):
+            return T.DecimalType(23, 4)  # holds every long
+    if isinstance(want, T.DoubleType) and isinstance(have, (T.FloatType, *_WHOLE[:3])):
+        return want
+    if isinstance(want, T.StringType) and isinstance(have, (T.VarcharType, T.CharType)):
+        return want
+    if isinstance(want, T.TimestampType) and isinstance(have, T.TimestampNTZType):
+        return want  # sessions run in UTC
+    if isinstance(have, T.NullType):
+        return want
+    raise ValueError(
+        f"{path} is {have.simpleString()}, which cannot become {want.simpleString()} without loss"
+    )
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Check a source against its schema: every field present with a castable
-    type; returns the source projected to exactly the schema (extra columns
-    are pruned, so the scan reads only what is declared)."""
+    """Check a source against its schema when the plan is built.
+
+    Every field must be there with a type that fits (``_kept_type``); returns the
+    source projected to the schema's fields (extra columns are pruned, so the
+    scan reads only what is declared).
+    """
     schema = SCHEMAS[name]
     have = {f.name: f.dataType for f in df.schema.fields}
     missing = [f.name for f in schema.fields if f.name not in have]
@@ -182,8 +234,16 @@ def conform(df: DataFrame, name: str) -> DataFrame:
         raise ValueError(f"source {name} lacks columns {missing}")
     cols = []
     for f in schema.fields:
+        kept = _kept_type(have[f.name], f.dataType, f.name, f"source {name}: {f.name}")
         c = df[f.name]
-        if have[f.name] != f.dataType:
-            c = c.cast(f.dataType)
-        cols.append(c.alias(f.name))
+        cols.append((c if have[f.name] == kept else c.cast(kept)).alias(f.name))
     return df.select(*cols)
+
+
+def key_types(df: DataFrame) -> dict[str, str]:
+    """Type of every key field of a conformed source, nested ones included."""
+    out = {}
+    for f in df.schema.fields:
+        inner = f.dataType.fields if isinstance(f.dataType, T.StructType) else [f]
+        out |= {x.name: x.dataType.simpleString() for x in inner if x.name in _KEYS}
+    return out

@@ -236,7 +236,7 @@ class TestTables:
             F.when(self._eid() % 10 == 0, F.lit(-5).cast("bigint"))
             .otherwise(key % 7)
             .alias("account_id"),
-            key.alias("workspace_id"),
+            F.when(self._eid() % 12 == 5, key + 7).otherwise(key).alias("workspace_id"),
             F.concat("c_name", F.lit("-ws")).alias("workspace_name"),
             F.col("c_mktsegment").alias("industry"),
             F.concat(F.lit("BU"), F.col("r_regionkey").cast("string")).alias("bu"),

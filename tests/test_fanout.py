@@ -82,9 +82,11 @@ def test_f5_distinct_runs_ignore_null(spark):
 
 def test_params_from_conf(spark):
     spark.conf.set("costlens.start_date", "2024-01-05")
+    spark.conf.set("costlens.change_date", "2024-01-03")
     p = Params.from_conf(spark)
-    assert p.start_date == D(2024, 1, 5) and p.change_date == D(2024, 1, 5)
+    assert p.start_date == D(2024, 1, 5) and p.change_date == D(2024, 1, 3)
     spark.conf.unset("costlens.start_date")
+    spark.conf.unset("costlens.change_date")
 
 
 def test_duplicate_run_rows_merge(spark):

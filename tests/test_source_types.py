@@ -1,0 +1,75 @@
+"""Sources keep what they are given: text keys, finer money, faults at plan time."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from costlens.params import Params
+from costlens.plans import Pipeline
+from costlens.sources import SOURCE_NAMES, Sources
+from costlens.sources.schemas import _KEYS, SCHEMAS, conform
+from tests.test_fanout import RUN, WS, cfg, sample
+
+P = Params(start_date="2024-01-01")
+COST = (dt.date(2024, 1, 2), 10, 1, 1, 1, (7, 100, "SUCCEEDED", None, None), "jobRuns",
+        "PREMIUM_ALL_PURPOSE_COMPUTE", "ALL_PURPOSE", Decimal("1.2345"), (1.0, 3.0))
+MAPPING = (dt.date(2024, 1, 2), 1, 0, 1, "ws", "ind", "bu", "r", "b1", "b2", "b3", "acme", "P-acme", "o")
+ROWS = dict(
+    workspaces=WS, job_runs=RUN, workload_costs=[COST], account_mapping=[MAPPING],
+    cluster_configs=[cfg(1, 10, 0, dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 8), 60)],
+    node_timeline=[sample(True, dt.datetime(2024, 1, 2, 10, 22), 5), sample(False, dt.datetime(2024, 1, 2, 10, 23), 5)],
+)
+
+
+def frames(spark):
+    return {n: spark.createDataFrame(ROWS.get(n, []), SCHEMAS[n]) for n in SOURCE_NAMES}
+
+
+def as_text(df):
+    """Every key as text with a dash."""
+    def text(c):
+        return F.when(c.isNotNull(), F.concat(F.lit("0105-"), c.cast("string"), F.lit("-abc")))
+
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if f.name in _KEYS:
+            c = text(c)
+        elif isinstance(f.dataType, T.StructType):
+            c = F.struct(*[(text(c[x.name]) if x.name in _KEYS else c[x.name]).alias(x.name) for x in f.dataType.fields])
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
+def test_text_keys_run_through(spark):
+    plain = Pipeline(Sources(frames(spark)), P).run_risk.collect()
+    text = Pipeline(Sources({n: as_text(d) for n, d in frames(spark).items()}), P).run_risk.collect()
+    assert len(plain) == len(text) == 1
+    assert text[0].cluster_id == "0105-10-abc" and text[0].run_id == "0105-100-abc"
+    assert text[0].rev_at_risk == plain[0].rev_at_risk
+
+
+def test_money_keeps_its_scale(spark):
+    f = frames(spark)
+    fine = T.DecimalType(28, 10)
+    f["workload_costs"] = f["workload_costs"].withColumn("attributed_revenue", F.lit("1.23456789").cast(fine))
+    pl = Pipeline(Sources(f), P)
+    assert pl.costs.first().attributed_revenue == Decimal("1.2345678900")
+    assert pl.run_risk.first().attributed_revenue == Decimal("1.2345678900")
+
+
+@pytest.mark.parametrize("column, kind", [("attributed_revenue", "double"), ("sku", "binary"), ("date", "string")])
+def test_lossy_types_are_refused(spark, column, kind):
+    f = frames(spark)["workload_costs"]
+    with pytest.raises(ValueError, match=column):
+        conform(f.withColumn(column, F.lit(None).cast(kind)), "workload_costs")
+
+
+def test_keys_of_two_types_are_refused(spark):
+    f = frames(spark)
+    f["job_runs"] = as_text(f["job_runs"])
+    with pytest.raises(ValueError, match="workspace_id"):
+        Pipeline(Sources(f), P).run_risk  # noqa: B018
