@@ -116,15 +116,19 @@ def _cell(queries: pa.Table, candidates: pa.Table) -> pa.Table:
     out = [[], [], []]
     for at in range(0, len(q), SLICE):
         some = q[at : at + SLICE]
-        best = [
-            _select(np.ascontiguousarray(_accumulate(p, some, len(ids), kind).T), ids, k)
-            for ids, p in blocks
-        ]
+        best = []
+        for ids, postings in blocks:
+            scores = np.ascontiguousarray(_accumulate(postings, some, len(ids), kind).T)
+            if kind is object:  # exact sums, stopped at a long's ends before they are ranked
+                scores = np.clip(scores, -(2**63), 2**63 - 1)
+            best.append(_select(scores, ids, k))
         score = np.concatenate([s for s, _ in best], axis=1)
         ids = np.concatenate([i for _, i in best], axis=1)
         if kind is object:
-            score = np.clip(score, -(2**63), 2**63 - 1)
-            order = np.array([sorted(range(len(r)), key=lambda i: (-r[i], x[i])) for r, x in zip(score, ids)])
+            rank = range(score.shape[1])
+            order = np.array(
+                [sorted(rank, key=lambda i, r=r, x=x: (-r[i], x[i])) for r, x in zip(score, ids)]
+            )
         else:
             order = np.lexsort((ids, -score.astype(np.int64)), axis=1)
         order = order[:, :k]

@@ -1,0 +1,48 @@
+import math
+import random
+
+import pytest
+
+from costlens.llm import topk
+
+
+def brute(rows):
+    v = {}
+    for i, e in rows:
+        if i is None or e is None or any(x is None or not math.isfinite(x) for x in e):
+            continue
+        q = [min(max(math.floor(64 * x), -(2**63)), 2**63 - 1) for x in e]
+        v[i] = min(v[i], q) if i in v else q
+    out = []
+    for i, a in v.items():
+        if i % 20 == 0:
+            scores = [(sum(x * y for x, y in zip(a, b)), j) for j, b in v.items() if j != i]
+            best = sorted((-min(max(s, -(2**63)), 2**63 - 1), j) for s, j in scores)[:20]
+            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    return sorted(out)
+
+
+def got(spark, rows):
+    df = spark.createDataFrame([(i, e, 1) for i, e in rows], "vec_id long, embedding array<double>, score long")
+    return sorted(tuple(r) for r in topk.search(df).collect())
+
+
+@pytest.mark.parametrize("scale", [0.3, 3e6, 1e15])
+def test_equals_brute_force(spark, monkeypatch, scale):
+    for name, value in (("CANDIDATE_ROWS", 60), ("QUERY_ROWS", 4), ("SUB_ROWS", 32), ("SLICE", 3)):
+        monkeypatch.setattr(topk, name, value)
+    rnd = random.Random(int(scale) + 1)
+    rows = [(i, [rnd.choice([0.0, rnd.uniform(-scale, scale)]) for _ in range(6)]) for i in range(200)]
+    rows += [(300 + i, rows[i % 3][1]) for i in range(50)]  # ties
+    assert got(spark, rows) == brute(rows)
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [nan, 1.0]), (4, [inf, 0.0]), (5, [1.0]), (6, []),
+            (7, [1.0, 1.0, 5.0]), (None, [1.0, 1.0]), (20, [0.0, 0.0]), (8, [2.0, 2.0]), (8, [1.0, 9.0]), (40, None)]
+    assert got(spark, rows) == brute(rows)
+    assert got(spark, [(1, [1.0]), (2, [2.0])]) == []
+    assert got(spark, [(0, [1.0])]) == []
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    assert topk.search(empty).count() == 0
