@@ -43,10 +43,15 @@ def test_held_out_accuracy_and_kept_rows(spark):
 
 def test_edges(spark):
     good = "A calm sentence about things, in plain words. Another one follows it here."
-    rows = [(i, f"{good} {i}", f"https://h{i % 3}.x/p{i % 2}/q") for i in range(30)]
-    rows += [(100 + i, f"JUNK!! JUNK!! %%% ### {i}" * 5, "h1.x/p1") for i in range(30)]
+
+
+    def prose(n):
+        return " ".join(f"Another{i} sentence about thing{i}, in plain words." for i in range(n))
+
+    rows = [(i, prose(1 + i * i), f"https://h{i % 3}.x/p{i % 2}/q") for i in range(30)]
+    rows += [(100 + i, f"JUNK!! JUNK!! %%% ### {i} " * (1 + i * i), "h1.x/p1") for i in range(30)]
     rows += [(None, good, None), (200, None, None), (201, "", "a"), (202, " \n", "a"), (203, good, ""), (203, good, "")]
-    rows += [(204, good * 5_000, "h9.x")]
+    rows += [(204, prose(9_000), "h9.x")]
     y = [(i, int(i < 100), 0) for i, _, _ in rows[:60]] + [(None, 1, 0), (1, None, 0)]
     d = frame(spark, rows)
     out = quality.score(d, labels(spark, y)).collect()

@@ -15,13 +15,15 @@ def test_folding():
 
 def test_lexicon_matches_words_stems_and_exceptions():
     lex = tox.Lexicon({"scum": 3.0, "moron ": 2.0, "mo": 0.5, "trash": 1.0}, ["trash can", "scummy bear", "morose"])
-    m = lambda t: sorted(lex.matches(tox.fold(t)))
+    m = lambda t: sorted(w for _, w in lex.matches(tox.fold(t)))
     assert m("Scum, SCUMBAG!") == [3.0, 3.0]
     assert m("oscum rescum") == []  # stems match at the start of a word only
     assert m("moron mood morose") == [0.5, 2.0]  # the longest entry counts; an exception cancels
     assert m("the trash can is trash") == [1.0]
     assert m("a scummy bear and scum scum") == [3.0, 3.0]
     assert m("") == []
+    once, often = (lex.features(tox.fold("scum " * n + "word " * (100 - n))) for n in (1, 50))
+    assert once == often  # repeating one word adds nothing
 
 
 def test_no_entries():
