@@ -119,7 +119,9 @@ def risk_rollup(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 # F8-F11 -----------------------------------------------------------------------
-# cost-core column -> output total
+# cost-core column -> output total.  The output names of the account tables (these, the
+# dat_/dts_ sums, and those selected in plans/pipeline.py) are fixed values: the published
+# column names that readers of these tables use.
 COST_TOTALS = {
     "idle_revenue": "idle_revenue",
     "all_purpose_job_revenue": "interactive_risk_dollars",
