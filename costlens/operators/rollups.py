@@ -130,6 +130,7 @@ COST_TOTALS = {
     "failed_revenue_half": "failed_workload_risk_dollars",
     "revenue_after_failures": "failed_workload_usage_dollar_adjusted_50pct",
 }
+_AFTER_FAILURES = COST_TOTALS["revenue_after_failures"]
 _MONEY = "decimal(38,2)"
 
 
@@ -219,9 +220,9 @@ def cost_and_util(days: DataFrame) -> DataFrame:
     for d in ACCOUNT_DIMS:
         met = met & F.col(d).isNotNull()
     sql_side = ["dat_bu1", "dts_bu1", "dat_acnt", "dts_acnt", "sql_dollars"]
-    kept = [c for c in COST_TOTALS.values() if c != "failed_workload_usage_dollar_adjusted_50pct"]
+    *dollars, failed = [c for c in COST_TOTALS.values() if c != _AFTER_FAILURES]
     return with_unit_totals(days).select(
-        *ACCOUNT_DIMS, *kept, *[F.when(met, F.col(c)).alias(c) for c in sql_side]
+        *ACCOUNT_DIMS, *dollars, *[F.when(met, F.col(c)).alias(c) for c in sql_side], failed
     )
 
 
