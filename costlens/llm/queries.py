@@ -137,6 +137,28 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
        n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    # all pairs that share a shingle, their exact similarity, and the closure of the links
+    "op8_near_dedup": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, w[i:i + 3] AS s
+  FROM w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(i) WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b
+), m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)
 """,
     # turns and texts from the table itself; only the length follows the template
     "op9_chat": """

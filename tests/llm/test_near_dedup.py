@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pyarrow as pa
-import pytest
 
 from costlens.llm import near_dedup as nd
 from tests.llm.brute import near_groups, shingles
