@@ -227,3 +227,30 @@ class KeyFilter:
             return (word >> (place & np.uint64(63))) & np.uint64(1) == 1
 
         return held
+
+
+def split_by_keys(docs: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``key`` is surely not in ``keys``, all other rows), columns as they came.
+
+    ``keys`` has one long column.  Both parts are cut out in scans, so the rows of
+    the first, nearly all when the keys are few, are never shuffled.  Null keys
+    are in the first part.
+    """
+    held = KeyFilter(keys, keys.columns[0]).lookup()
+    names, schema = docs.columns, docs.schema
+    own = [docs[c].alias(f"column_{i}") for i, c in enumerate(names)]
+    rows = docs.select(docs[key].cast("long").alias("tested"), *own)
+
+    def part(wanted: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                tested = batch.column(0)
+                maybe = held(tested.fill_null(0).to_numpy(zero_copy_only=False))
+                maybe &= tested.is_valid().to_numpy(zero_copy_only=False)
+                rest = pa.RecordBatch.from_arrays(batch.columns[1:], names=names)
+                yield rest.filter(pa.array(maybe == wanted))
+
+        return rows.mapInArrow(run, schema)
+
+    bound_batches(docs.sparkSession)
+    return part(False), part(True)

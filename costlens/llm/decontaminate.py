@@ -47,6 +47,7 @@ from costlens.llm.common import (
     map_batches,
     mix64,
     sha256_hex,
+    split_by_keys,
     text_buffer,
 )
 
@@ -255,8 +256,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any hit, all columns kept."""
+    """The documents without any hit, all columns as they came.
+
+    Only rows whose id may be a contaminated one are shuffled.
+    """
     ws = Workspace(docs.sparkSession, "decontaminate")
     _, hits, _ = scan(ws, docs, benchmark)
     bad = ws.keep(hits.select(F.col("doc_id").alias("hit_id")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["hit_id"]), "left_anti")
+    named = bad.filter("hit_id is not null")
+    free, maybe = split_by_keys(docs, "doc_id", named)
+    kept = maybe.join(named, maybe["doc_id"].cast("long") == F.col("hit_id"), "left_anti")
+    if not bad.filter("hit_id is null").isEmpty():  # rows without an id share their hits
+        free = free.filter(free["doc_id"].isNotNull())
+    return free.unionByName(kept)

@@ -59,6 +59,7 @@ from costlens.llm.common import (
     hash_words,
     map_batches,
     mix64,
+    split_by_keys,
     text_buffer,
 )
 
@@ -417,16 +418,19 @@ def keep_one_per_group(docs: DataFrame) -> DataFrame:
     """The documents that ``near_duplicates`` keeps, all columns as they came.
 
     Of rows that share a kept doc_id one stays; rows without a doc_id all stay.
+    Only rows whose id may be a dropped or a repeated one are shuffled.
     """
-    groups = near_duplicates(docs).filter("kept")
     ws = Workspace(docs.sparkSession, "near-dedup")
-    groups = ws.keep(groups.select(F.col("doc_id").alias("kept_id")), "kept-ids")
-    repeated = groups.filter("kept_id is not null").groupBy("kept_id").count().filter("count > 1")
-    key = docs["doc_id"].cast("long")
-    ids = groups.filter("kept_id is not null").distinct()
-    out = docs.join(ids, key == F.col("kept_id"), "left_semi")
-    if not repeated.isEmpty():
-        once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-        out = out.withColumn("kept_row", F.row_number().over(once)).filter("kept_row = 1")
-        out = out.drop("kept_row")
-    return out.unionByName(docs.filter(docs["doc_id"].isNull()))
+    groups = near_duplicates(docs).filter("doc_id is not null")
+    ids = ws.keep(
+        groups.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("rows")),
+        "decisions",
+    )
+    ids = ids.filter("not kept or rows > 1").select(F.col("doc_id").alias("id"), "kept")
+    ids = ws.keep(ids, "contested")
+    free, contested = split_by_keys(docs, "doc_id", ids.select("id"))
+    key = contested["doc_id"].cast("long")
+    kept = contested.join(ids.filter("not kept"), key == F.col("id"), "left_anti")
+    once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    kept = kept.withColumn("kept_row", F.row_number().over(once)).filter("kept_row = 1")
+    return free.unionByName(kept.drop("kept_row"))
