@@ -4,7 +4,9 @@ DataFrame and SQL functions only; no Python on the executors.
 
 Candidates.  Long runs of key characters with a digit, and provider formats,
 found by one regular expression; their places follow from the lengths of the
-pieces between them.
+pieces between them.  A run begins after an assignment sign (``=`` belongs to it
+only as padding at its end) and ends before the full stops of a sentence; a
+provider's key is a candidate of its own wherever a run holds one.
 
 Features (per candidate): length; shares of digits, capitals and symbols;
 character transitions (changes between letter, capital, digit and symbol per
@@ -51,17 +53,23 @@ PAIR_ROWS = 1 << 12  # letter pairs kept for the transition odds
 WORD_ROWS = 2_000  # common words of the dictionary
 CONTEXT = 48  # characters looked at on either side
 
-# A run of key characters of at least 16 that holds a digit, or a private key block.
+# Formats that providers publish for their keys.
+KEY_FORMATS = (
+    r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+    r"|AIza[0-9A-Za-z_-]{35}(?![A-Za-z0-9_-])|sk_live_[0-9A-Za-z]{16,}"
+    r"|(?<![_-])(?:sk-(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{20,}"
+    r"|eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_.-]*[A-Za-z0-9_-]))"
+)
+# A private key block, a provider's key, or a run of key characters of at least 16
+# that holds a digit and no provider's key (then only the rest of the run is one).
+_RUN = r"[A-Za-z0-9_+/.@-]"
 CANDIDATE = (
     r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----[\s\S]{0,8192}?-----END [A-Z ]{0,32}PRIVATE KEY-----"
-    r"|(?<![A-Za-z0-9_+/=.@-])(?=[A-Za-z_+/=.@-]*+[0-9])[A-Za-z0-9_+/=.@-]{16,}"
-)
-# Formats that providers publish for their keys.
-PROVIDER = (
-    r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}"
-    r"|sk_live_[0-9A-Za-z]{16,}|sk-[A-Za-z0-9_-]{20,}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_.-]+"
-    r"|-----BEGIN [\s\S]*)$"
+    rf"|{KEY_FORMATS}"
+    rf"|(?:(?<!{_RUN})|\G)(?=[A-Za-z_+/.@-]*+[0-9])(?={_RUN}{{16}})(?!{_RUN}*?{KEY_FORMATS})"
+    rf"{_RUN}{{15,}}[A-Za-z0-9_+/@-](?:={{1,2}}(?![A-Za-z0-9_+/=.@-]))?"
 )
+PROVIDER = rf"^({KEY_FORMATS}|-----BEGIN [\s\S]*)$"
 KEY_WORD = (
     r"(?i)(token|secret|passw(or)?d|pwd|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|auth|bearer)"
 )
@@ -133,30 +141,45 @@ def _log(x: float) -> float:
 
 
 def _pieces(value: Column) -> Column:
-    """Array of (gap, value, next): every candidate with the text before and after it.
+    """Array of (before, gap, value, next): every candidate with the text before and after it.
 
-    Texts without candidates, nearly all, are not split.
+    ``gap`` begins after the previous candidate, which ``before`` holds with its own
+    gap: it may be the name that this one is assigned to.  Texts without candidates,
+    nearly all, are not split.
     """
     found = F.regexp_extract_all(value, F.lit(CANDIDATE), F.lit(0))
     gaps = F.split(value, CANDIDATE, -1)
+    none = F.array(F.lit(""))
     zipped = F.arrays_zip(
+        F.slice(F.concat(none, gaps), F.lit(1), F.size(found)).alias("gap_before"),
+        F.slice(F.concat(none, found), F.lit(1), F.size(found)).alias("value_before"),
         F.slice(gaps, F.lit(1), F.size(found)).alias("gap"),
         found.alias("value"),
         F.slice(gaps, F.lit(2), F.size(found)).alias("next"),
     )
-    kind = "array<struct<gap:string,value:string,next:string>>"
-    return F.when(value.rlike(CANDIDATE), zipped.cast(kind)).otherwise(F.array().cast(kind))
+    rows = F.transform(
+        zipped,
+        lambda x: F.struct(
+            F.concat(F.right(x["gap_before"], F.lit(CONTEXT)), x["value_before"]).alias("before"),
+            x["gap"].alias("gap"),
+            x["value"].alias("value"),
+            x["next"].alias("next"),
+        ),
+    )
+    kind = "array<struct<before:string,gap:string,value:string,next:string>>"
+    return F.when(value.rlike(CANDIDATE), rows.cast(kind)).otherwise(F.array().cast(kind))
 
 
 def _placed(pieces: Column) -> Column:
     """The pieces with ``start``, the candidate's first character counted from 0."""
-    kind = "array<struct<start:int,gap:string,value:string,next:string>>"
+    kind = "array<struct<start:int,before:string,gap:string,value:string,next:string>>"
 
     def add(done: Column, x: Column) -> Column:
         last = F.get(done, F.size(done) - 1)
         before = F.coalesce(last["start"] + F.length(last["value"]), F.lit(0))
         row = F.struct(
             (before + F.length(x["gap"])).alias("start"),
+            x["before"].alias("before"),
             x["gap"].alias("gap"),
             x["value"].alias("value"),
             x["next"].alias("next"),
@@ -167,9 +190,10 @@ def _placed(pieces: Column) -> Column:
 
 
 def feature_columns(c: Column, path: Column, language: Language) -> dict[str, Column]:
-    """The features of one candidate (a struct with gap, value, next) as doubles."""
+    """The features of one candidate (a struct with before, gap, value, next) as doubles."""
     v = c["value"]
     left, right = F.right(c["gap"], F.lit(CONTEXT)), F.left(c["next"], F.lit(CONTEXT))
+    name = F.right(F.concat(c["before"], c["gap"]), F.lit(CONTEXT))
     low = F.lower(v)
     shape = F.regexp_replace(
         F.regexp_replace(F.translate(v, "0123456789", "0" * 10), "[a-z]", "a"), "[A-Z]", "A"
@@ -208,11 +232,11 @@ def feature_columns(c: Column, path: Column, language: Language) -> dict[str, Co
         "pair_odds": odds,
         "coverage": coverage,
         "path": flag(F.coalesce(path.cast("string"), F.lit("")).rlike(CODE_PATH)),
-        "key_word": flag(left.rlike(KEY_WORD + r"[\w \"'-]{0,12}[^\w]{0,4}$")),
-        "assigned": flag(left.rlike(ASSIGNED)),
+        "key_word": flag(name.rlike(KEY_WORD + r"([\w-]{0,40}|[\w \"'-]{0,12})[^\w]{0,4}$")),
+        "assigned": flag(name.rlike(ASSIGNED)),
         "quoted": flag(left.rlike("[\"'`]$") & right.rlike("^[\"'`]")),
         "placeholder": flag(low.rlike(PLACEHOLDER) | near.rlike(PLACEHOLDER)),
-        "address": flag(v.rlike(ADDRESS)),
+        "address": flag(v.rlike(ADDRESS) & ~v.rlike(PROVIDER)),
         "provider": flag(v.rlike(PROVIDER)),
     }
 
