@@ -13,15 +13,9 @@ def fold_number(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
-def training_sample(
-    ws: Workspace, docs: DataFrame, labels: DataFrame, label: str, most_of: dict[int, int]
-) -> DataFrame:
-    """Texts and labels of a bounded, hash-picked sample outside the held-out fold.
-
-    The ids (at most the sum of ``most_of``) are broadcast to the scan; equal
-    texts count once.
-    """
-    known = (
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """label_id, label, fold of every labelled id outside the held-out fold."""
+    return (
         labels.select(
             labels["doc_id"].cast("long").alias("label_id"), labels[label].cast("int").alias("label")
         )
@@ -31,6 +25,24 @@ def training_sample(
         .withColumn("fold", fold_number(F.col("label_id")))
         .filter("fold <> 0")
     )
+
+
+def class_counts(docs: DataFrame, labels: DataFrame, label: str) -> dict[int, int]:
+    """Number of labelled documents per label, all of them outside the held-out fold."""
+    ids = docs.select(docs["doc_id"].cast("long").alias("label_id"))
+    rows = known_labels(labels, label).join(ids, "label_id", "left_semi")
+    return {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+
+
+def training_sample(
+    ws: Workspace, docs: DataFrame, labels: DataFrame, label: str, most_of: dict[int, int]
+) -> DataFrame:
+    """Texts and labels of a bounded, hash-picked sample outside the held-out fold.
+
+    The ids (at most the sum of ``most_of``) are broadcast to the scan; equal
+    texts count once.
+    """
+    known = known_labels(labels, label)
     picked = None
     for value, most in most_of.items():
         some = known.filter(F.col("label") == value).orderBy(F.xxhash64("label_id")).limit(most)

@@ -17,7 +17,10 @@ logistic curve, fitted on labelled documents that took no part in the lexicon.
 
 Training reads only labels of rows with ``crc32(doc_id) mod 5 <> 0``, at most
 ``MAX_TOXIC`` and ``MAX_CLEAN`` of them, picked by a hash of the id; remainders
-1-3 give the lexicon and remainder 4 the curve.  Scores use the text alone.
+1-3 give the lexicon and remainder 4 the curve, whose rows are weighted by the
+odds of the labels counted over all labelled documents outside the held-out fold,
+so the threshold does not move with the size of the sample.  Scores use the text
+alone.
 
 Defined results: a null or empty text has no matches and gets the score of a
 text without matches; without toxic labels all scores are the smoothed base
@@ -39,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens.llm.common import Workspace, map_batches
-from costlens.llm.labelled import fold_number, training_sample
+from costlens.llm.labelled import class_counts, fold_number, training_sample
 
 MAX_TOXIC = 4_000
 MAX_CLEAN = 8_000
@@ -161,7 +164,13 @@ def _count_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+def _class_weights(y: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Row weights, one on average, under which both kinds have their share of all labels."""
+    toxic, n = y.sum(), n_toxic + n_clean
+    return np.where(y == 1, n_toxic / toxic, n_clean / (len(y) - toxic)) * len(y) / n
+
+
+def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
     """Ridge-penalised logistic regression by Newton steps; slopes never negative."""
     design = np.column_stack([np.ones(len(x)), x])
     # prior rows keep the intercept finite and the curve rising where data is scarce
@@ -169,29 +178,32 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     beta = np.zeros(3)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        grad = design.T @ (y - p) - penalty * beta
-        hess = (design * (p * (1 - p))[:, None]).T @ design + np.diag(penalty)
+        grad = design.T @ (weight * (y - p)) - penalty * beta
+        hess = (design * (weight * p * (1 - p))[:, None]).T @ design + np.diag(penalty)
         step = np.linalg.solve(hess, grad)
         beta = beta + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
     if beta[1] < 0 or beta[2] < 0:  # two features that say the same: keep the total
-        beta = np.append(_fit_single(design[:, :2], y), 0.0)
+        beta = np.append(_fit_single(design[:, :2], y, weight), 0.0)
     return tuple(float(v) for v in beta)
 
 
-def _fit_single(design: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _fit_single(design: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     beta = np.zeros(2)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        grad = design.T @ (y - p) - 1e-2 * beta
-        hess = (design * (p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
+        grad = design.T @ (weight * (y - p)) - 1e-2 * beta
+        hess = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
         beta = beta + np.clip(np.linalg.solve(hess, grad), -2, 2)
     return np.array([beta[0], max(beta[1], 0.0)])
 
 
-def learn(ws: Workspace, sample: DataFrame, exceptions=EXCEPTIONS) -> Lexicon:
-    """Entries, weights, exceptions and curve from a training sample."""
+def learn(ws: Workspace, sample: DataFrame, labelled: dict[int, int], exceptions=EXCEPTIONS) -> Lexicon:
+    """Entries, weights, exceptions and curve from a training sample.
+
+    ``labelled`` has the number of all labelled documents per label.
+    """
     parts = {r[0]: r[1] for r in sample.filter("label = 1").groupBy("fold").count().collect()}
     split = sum(n for f, n in parts.items() if f != 4) >= 5 and parts.get(4, 0) >= 5
     lexicon_part = sample.filter("fold <> 4") if split else sample
@@ -257,10 +269,11 @@ def learn(ws: Workspace, sample: DataFrame, exceptions=EXCEPTIONS) -> Lexicon:
     ).toArrow()
     y = fitted["label"].to_numpy().astype(float)
     x = np.column_stack([fitted["a"].to_numpy(), fitted["b"].to_numpy()])
+    all_toxic, all_clean = labelled.get(1, 0), labelled.get(0, 0)
     if weights and 0 < y.sum() < len(y):
-        lexicon.curve = _fit_curve(x, y)
+        lexicon.curve = _fit_curve(x, y, _class_weights(y, all_toxic, all_clean))
     else:
-        rate = min((y.sum() + 0.5) / (len(y) + 1), 0.49)
+        rate = min((all_toxic + 0.5) / (all_toxic + all_clean + 1), 0.49)
         lexicon.curve = (float(np.log(rate / (1 - rate))), 1.0 if weights else 0.0, 0.0)
     return lexicon
 
@@ -269,7 +282,7 @@ def score(docs: DataFrame, labels: DataFrame, exceptions=EXCEPTIONS) -> DataFram
     """doc_id, held_out, score, predicted and the number of matches per document."""
     ws = Workspace(docs.sparkSession, "toxicity")
     sample = training_sample(ws, docs, labels, "toxic", {1: MAX_TOXIC, 0: MAX_CLEAN})
-    lexicon = learn(ws, sample, exceptions)
+    lexicon = learn(ws, sample, class_counts(docs, labels, "toxic"), exceptions)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words = [fold(v.as_py()) for v in batch.column(2)]

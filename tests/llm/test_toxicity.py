@@ -85,3 +85,23 @@ def test_one_kind_of_label(spark, share):
     docs = [(i, f"some text {i}") for i in range(20)]
     d, l = frames(spark, docs, [(i, 1, int(share)) for i in range(20)])
     assert tox.score(d, l).count() == 20
+
+
+def test_threshold_does_not_move_with_the_bounds_of_the_sample(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(5)
+    docs, labels = [], []
+    for i in range(3000):
+        toxic = int(rnd.random() < 0.1)
+        word = "scum" if rnd.random() < (0.6 if toxic else 0.05) else "calm"
+        docs.append((i, f"a {word} and quiet sentence number{i}"))
+        labels.append((i, 1, toxic))
+    d, l = frames(spark, docs, labels)
+    rate = np.mean([y for _, _, y in labels])
+    means = []
+    for most in (tox.MAX_TOXIC, 150):
+        monkeypatch.setattr(tox, "MAX_TOXIC", most)
+        monkeypatch.setattr(tox, "MAX_CLEAN", most)
+        means.append(np.mean([r.score for r in tox.score(d, l).collect()]))
+    assert abs(means[0] - rate) < 0.04 and abs(means[1] - rate) < 0.04
