@@ -3,7 +3,9 @@
 Evidence.  Each text is reduced to shares of byte classes, word statistics and
 repetition of words and lines; a ridge-penalised logistic regression on a
 bounded labelled sample (not the rows with ``crc32(doc_id) mod 5 = 0``) turns
-them into a log likelihood ratio of good against bad.
+them into a log likelihood ratio of good against bad.  The prior is the share of
+good among all labelled documents with words outside the held-out fold, not that
+of the bounded sample.
 
 Sites.  ``source`` is read as ``host/path``: the host, and the host with its
 first path segment.  Over all documents, grouped sums of the classifier's
@@ -43,7 +45,7 @@ from costlens.llm.common import (
     map_batches,
     text_buffer,
 )
-from costlens.llm.labelled import fold_number, training_sample
+from costlens.llm.labelled import class_counts, fold_number, training_sample
 
 MAX_GOOD = 8_000
 MAX_BAD = 8_000
@@ -111,10 +113,14 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Evidence:
-    """Standardised logistic regression; ``llr`` is its logit less the sample's prior logit."""
+    """Standardised logistic regression; ``llr`` is its logit at even odds.
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.prior = float((y.sum() + 0.5) / (len(y) + 1))
+    ``prior`` comes from the numbers of all labelled documents per label.
+    """
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, labelled: dict[int, int]):
+        good, bad = labelled.get(1, 0), labelled.get(0, 0)
+        self.prior = (good + 0.5) / (good + bad + 1)
         self.mean = x.mean(axis=0) if len(x) else np.zeros(FEATURES)
         self.scale = np.maximum(x.std(axis=0), 1e-6) if len(x) else np.ones(FEATURES)
         self.beta = np.zeros(FEATURES + 1)
@@ -162,7 +168,8 @@ def fit_evidence(ws: Workspace, docs: DataFrame, labels: DataFrame) -> Evidence:
     x = np.array(rows["x"].to_pylist(), float).reshape(-1, FEATURES)
     y = rows["label"].to_numpy().astype(float)
     order = np.lexsort(np.column_stack([x, y]).T)  # the fit does not depend on row order
-    return Evidence(x[order], y[order])
+    worded = docs.filter(docs["text"].cast("string").rlike(r"[^\x00\t\n\x0b\f\r ]"))
+    return Evidence(x[order], y[order], class_counts(worded, labels, "quality"))
 
 
 def site_of(source: Column) -> tuple[Column, Column]:
@@ -225,7 +232,7 @@ def site_posteriors(ws: Workspace, judged: DataFrame) -> DataFrame:
 
 
 def _judged(docs: DataFrame, evidence: Evidence) -> DataFrame:
-    """doc_id, host, path, llr, millionths (the probability at the sample's prior)."""
+    """doc_id, host, path, llr, millionths (the probability at the prior)."""
     host, path = site_of(docs["source"])
     source = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),

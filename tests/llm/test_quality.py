@@ -83,3 +83,17 @@ def test_site_of(spark):
     df = spark.createDataFrame(rows, "source string")
     got = [tuple(r) for r in df.select(*quality.site_of(df["source"])).collect()]
     assert got == [("a.x", "a.x/p"), ("src1", "src1/"), ("", "/"), ("h", "h/p"), ("", "/")]
+
+
+def test_prior_is_that_of_all_labels(spark, monkeypatch):
+    good = "A calm sentence about things, in plain words. Another one follows it here."
+    rows = [(i, f"{good} Number {i}." if i % 10 else f"JUNK!! JUNK!! %%% ### {i}", "a") for i in range(600)]
+    rows += [(1000 + i, " \n", "a") for i in range(30)]  # without words: no part of the prior
+    y = [(i, int(i < 1000 and i % 10 > 0), 0) for i, _, _ in rows] + [(5000 + i, 0, 0) for i in range(30)]
+    d, l = frame(spark, rows), labels(spark, y)
+    priors = []
+    for most in (quality.MAX_GOOD, 20):
+        monkeypatch.setattr(quality, "MAX_GOOD", most)
+        monkeypatch.setattr(quality, "MAX_BAD", most)
+        priors.append(quality.fit_evidence(Workspace(spark, "t"), d, l).prior)
+    assert priors[0] == priors[1] and abs(priors[0] - 0.9) < 0.03
