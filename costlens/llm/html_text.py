@@ -14,7 +14,10 @@ renderer lays the tree out as plain text:
 
 Not visible: ``head`` and script-like elements, comments, ``hidden``, dialogs and
 details that are not open, ``display:none`` and ``visibility:hidden`` by style
-attribute or by simple rules (tag, .class, #id) of the page's style elements.
+attribute or by simple rules (tag, .class, #id) of the page's style elements.  The
+declaration that a browser obeys decides (importance, style attribute, specificity,
+order); rules under ``@media`` and style elements count where they hold for a
+screen of ``SCREEN`` with scripts on.
 
 Elements nested deeper than ``MAX_DEPTH`` become siblings; their text is kept.
 
@@ -37,6 +40,7 @@ from pyspark.sql import DataFrame
 from costlens.llm.common import map_batches
 
 MAX_DEPTH = 150
+SCREEN = (1280, 800)  # width and height in CSS pixels that media queries are asked for
 
 # Element kinds of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -79,10 +83,26 @@ _MARKUP = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_HIDES = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
-_INVISIBLE = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse)", re.I)
-_VISIBLE = re.compile(r"(?:^|;)\s*visibility\s*:\s*visible", re.I)
+_STRING = re.compile(r"\"[^\"\n]*\"|'[^'\n]*'")
+_STYLE_PART = re.compile(r"[{};]")
+_SHOW = re.compile(r"display|visibility", re.I)
+_LENGTH = re.compile(r"([+-]?\d+(?:\.\d+)?|[+-]?\.\d+)(px|em|rem|in|cm|mm|pt|pc)?")
+_PIXELS = {"px": 1, "em": 16, "rem": 16, "in": 96, "cm": 96 / 2.54, "mm": 9.6 / 2.54, "pt": 4 / 3, "pc": 16}
+_RANGE = re.compile(r"(?:([^<>=]+?)\s*([<>]=?|=)\s*)?(width|height)\s*(?:([<>]=?|=)\s*([^<>=]+))?")
+# media features with a keyword: those that hold for a desktop screen
+_FEATURES = {
+    "orientation": "landscape",
+    "prefers-color-scheme": "light",
+    "prefers-reduced-motion": "no-preference",
+    "prefers-contrast": "no-preference",
+    "hover": "hover",
+    "any-hover": "hover",
+    "pointer": "fine",
+    "any-pointer": "fine",
+    "scripting": "enabled",
+    "display-mode": "browser",
+    "update": "fast",
+}
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -94,8 +114,8 @@ class Element:
         self.children: list[Element | str] = []
 
 
-def parse(page: str) -> tuple[Element, str]:
-    """(root element, text of all style elements)."""
+def parse(page: str) -> tuple[Element, list[str]]:
+    """(root element, texts of the style elements that count on a screen)."""
     root = Element("html", {})
     stack = [root]
     styles: list[str] = []
@@ -145,12 +165,83 @@ def parse(page: str) -> tuple[Element, str]:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             inside = page[at : end.start() if end else n]
             at = end.end() if end else n
-            if tag == "style":
+            if tag == "style" and _counts(attributes, stack):
                 styles.append(inside)
             element.children.append(html.unescape(inside) if tag in ("textarea", "title") else inside)
         elif tag not in VOID and len(stack) < MAX_DEPTH:
             stack.append(element)
-    return root, "\n".join(styles)
+    return root, styles
+
+
+def _counts(attributes: dict[str, str], stack: list[Element]) -> bool:
+    """Whether a style element's rules hold: for a screen, and not where scripts are off."""
+    kind = attributes.get("type", "").strip().lower()
+    return (
+        kind in ("", "text/css")
+        and media_holds(attributes.get("media", ""))
+        and not any(e.tag in ("noscript", "template") for e in stack)
+    )
+
+
+def _top_level(text: str, word: str) -> list[str]:
+    """``text`` cut at ``word`` (a comma, or a word between blanks) outside of brackets."""
+    parts, depth, begin = [], 0, 0
+    for m in re.finditer(r"[()]|,|(?<![\w-])(?:and|or)(?![\w-])", text):
+        depth += {"(": 1, ")": -1}.get(m[0], 0)
+        if m[0] == word and depth == 0:
+            parts.append(text[begin : m.start()])
+            begin = m.end()
+    return [x.strip() for x in [*parts, text[begin:]]]
+
+
+def media_holds(query: str) -> bool:
+    """Whether a media query list holds for ``SCREEN``; unknown features do not."""
+    query = query.strip().lower()
+    return not query or any(_one_query(q) for q in _top_level(query, ","))
+
+
+def _one_query(query: str) -> bool:
+    if re.match(r"not(?![\w-])", query):
+        return not _one_query(query[3:].strip())
+    query = re.sub(r"^only\s+", "", query)
+    if len(either := _top_level(query, "or")) > 1:
+        return any(_one_query(q) for q in either)
+    if len(both := _top_level(query, "and")) > 1:
+        return all(_one_query(q) for q in both)
+    if query.startswith("(") and query.endswith(")"):
+        inside = query[1:-1].strip()
+        return _one_query(inside) if re.match(r"\(|not(?![\w-])", inside) else _feature(inside)
+    return query in ("all", "screen")
+
+
+def _pixels(value: str) -> float | None:
+    m = _LENGTH.fullmatch(value.strip())
+    return float(m[1]) * _PIXELS[m[2] or "px"] if m else None
+
+
+def _compare(a: float | None, sign: str, b: float | None) -> bool:
+    if a is None or b is None:
+        return False
+    return a == b if sign == "=" else (a < b if "<" in sign else a > b) or ("=" in sign and a == b)
+
+
+def _feature(text: str) -> bool:
+    """One media feature: a size against ``SCREEN`` or a keyword of ``_FEATURES``."""
+    sizes = {"width": SCREEN[0], "height": SCREEN[1]}
+    name, colon, value = (x.strip() for x in text.partition(":"))
+    if colon:
+        bound, _, size = name.replace("device-", "").partition("-")
+        if bound in ("min", "max") and size in sizes:
+            return _compare(sizes[size], ">=" if bound == "min" else "<=", _pixels(value))
+        if name in sizes:
+            return _compare(sizes[name], "=", _pixels(value))
+        return _FEATURES.get(name) == value
+    if m := _RANGE.fullmatch(text):
+        size = sizes[m[3]]
+        return (not m[2] or _compare(_pixels(m[1]), m[2], size)) and (
+            not m[4] or _compare(size, m[4], _pixels(m[5]))
+        )
+    return text in _FEATURES or text == "color"
 
 
 def _end_tag(tag: str, stack: list[Element]) -> None:
@@ -167,41 +258,102 @@ def _end_tag(tag: str, stack: list[Element]) -> None:
         stack[-1].children.append(Element("p", {}))
 
 
+def _declarations(body: str) -> Iterator[tuple[str, str, bool]]:
+    """(property, value, important) of the declarations that hide or show."""
+    if _SHOW.search(body):
+        for part in body.split(";"):
+            name, _, value = part.partition(":")
+            name = name.strip().lower()
+            if name in ("display", "visibility"):
+                value, _, mark = value.partition("!")
+                if value := value.strip().lower():
+                    yield name, value, mark.strip().lower() == "important"
+
+
+def _specificity(selector: str) -> tuple[int, int, int]:
+    tag = selector[:1] not in (".", "#", "*")
+    return selector.count("#"), selector.count("."), int(tag)
+
+
 class Rules:
     """Which elements a page's simple style rules hide."""
 
-    def __init__(self, css: str):
-        self.by_selector: dict[str, str] = {}
-        css = re.sub(r"/\*.*?\*/", "", css, flags=re.DOTALL)
-        css = re.sub(r"@[^{};]*(;|\{)", "", css)  # rules inside @media count
-        for names, body in _RULE.findall(css):
-            for name in names.split(","):
-                name = name.strip().lower()
-                self.by_selector[name] = self.by_selector.get(name, "") + ";" + body
-
-    def style(self, e: Element) -> str:
-        if not self.by_selector:
-            return e.attributes.get("style", "")
-        names = [e.tag, "*"]
-        for c in e.attributes.get("class", "").lower().split():
-            names += [f".{c}", f"{e.tag}.{c}"]
-        if "id" in e.attributes:
-            own = e.attributes["id"].lower()
-            names += [f"#{own}", f"{e.tag}#{own}"]
-        found = [self.by_selector[x] for x in names if x in self.by_selector]
-        return ";".join([*found, e.attributes.get("style", "")])
+    def __init__(self, styles: list[str]):
+        # selector -> (rank, property, value); the highest rank decides
+        self.by_selector: dict[str, list[tuple[tuple, str, str]]] = {}
+        self._n = 0
+        for css in styles:
+            if _SHOW.search(css):
+                self._read(css)
+
+    def _read(self, css: str) -> None:
+        css = re.sub(r"/\*.*?(?:\*/|\Z)", " ", css, flags=re.DOTALL)
+        css = _STRING.sub('""', css).replace("<!--", " ").replace("-->", " ")
+        # open blocks: the selectors they speak of (None at the top), whether they hold
+        open_: list[tuple[list[str] | None, bool]] = [(None, True)]
+        at = 0
+        for m in _STYLE_PART.finditer(css):
+            part, at = css[at : m.start()].strip(), m.end()
+            names, holds = open_[-1]
+            if m[0] == "{":
+                if part.startswith("@"):
+                    open_.append((names, holds and self._group_holds(part[1:].lower())))
+                else:  # a rule inside a rule speaks of no simple selector
+                    own = [x.strip().lower() for x in part.split(",")] if names is None else []
+                    open_.append((own, holds))
+                continue
+            if names and holds:
+                self._add(names, part)
+            if m[0] == "}" and len(open_) > 1:
+                open_.pop()
+        names, holds = open_[-1]
+        if names and holds:
+            self._add(names, css[at:])
+
+    @staticmethod
+    def _group_holds(prelude: str) -> bool:
+        kind, _, query = re.sub(r"^([\w-]+)", r"\1 ", prelude).partition(" ")
+        if kind == "media":
+            return media_holds(query)
+        return kind in ("supports", "layer", "scope", "starting-style") and not re.match(r"\s*not\b", query)
+
+    def _add(self, names: list[str], part: str) -> None:
+        for prop, value, important in _declarations(part):
+            self._n += 1
+            for name in names:
+                rank = (important, False, _specificity(name), self._n)
+                self.by_selector.setdefault(name, []).append((rank, prop, value))
+
+    def declared(self, e: Element, prop: str) -> str | None:
+        """The value of ``prop`` that holds for an element, if any is declared."""
+        found = []
+        if self.by_selector:
+            names = [e.tag, "*"]
+            for c in set(e.attributes.get("class", "").lower().split()):
+                names += [f".{c}", f"{e.tag}.{c}"]
+            if "id" in e.attributes:
+                own = e.attributes["id"].lower()
+                names += [f"#{own}", f"{e.tag}#{own}"]
+            for x in names:
+                found += [(r, v) for r, p, v in self.by_selector.get(x, ()) if p == prop]
+        if "style" in e.attributes:
+            own = _declarations(e.attributes["style"])
+            found += [((i, True, (0, 0, 0), n), v) for n, (p, v, i) in enumerate(own) if p == prop]
+        return max(found)[1] if found else None
 
     def shown(self, e: Element) -> bool:
-        a = e.attributes
-        if e.tag in UNSEEN or "hidden" in a or (e.tag == "dialog" and "open" not in a):
+        if e.tag in UNSEEN:
             return False
-        return not _HIDES.search(self.style(e))
+        display = self.declared(e, "display")
+        if display is None or display.startswith("revert"):
+            return "hidden" not in e.attributes and (e.tag != "dialog" or "open" in e.attributes)
+        return display != "none"
 
     def visible(self, e: Element, inherited: bool) -> bool:
-        style = self.style(e)
-        if _VISIBLE.search(style):
-            return True
-        return inherited and not _INVISIBLE.search(style)
+        value = self.declared(e, "visibility")
+        if value in ("hidden", "collapse"):
+            return False
+        return True if value in ("visible", "initial") else inherited
 
 
 def _width(text: str) -> int:
@@ -474,8 +626,8 @@ def _aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
 
 def render(page: str | None) -> str:
     """The visible text of a page."""
-    root, css = parse((page or "").replace("\x00", ""))
-    renderer = Renderer(Rules(css))
+    root, styles = parse((page or "").replace("\x00", ""))
+    renderer = Renderer(Rules(styles))
     flow = Flow()
     if "hidden" not in root.attributes:
         renderer.children(root, flow, True, False)

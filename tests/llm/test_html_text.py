@@ -84,3 +84,38 @@ def test_whole_pages_table(spark):
     assert len(out) == len(pages)
     for r in out:
         assert r.text == render(pages[r.page_id]) and "track(0)" not in r.text and "<p" not in r.text
+
+
+def test_styles_that_do_not_hold_on_a_screen():
+    for style in (
+        "<style>@media print{.x{display:none}}</style>",
+        "<style>@media (max-width:600px){.x{display:none}} @media not all{.x{display:none}}</style>",
+        "<style>@media screen and (width <= 40em), print and (color){p{color:red}.x{visibility:hidden}}</style>",
+        "<style media=print>.x{display:none}</style>",
+        "<noscript><style>.x{display:none}</style></noscript>",
+        "<style>@font-face{src:url('a}b')} @keyframes k{from{display:none}} @page{.x{display:none}}</style>",
+    ):
+        assert render(f"{style}<p class=x>seen</p>") == "seen", style
+    for style in (
+        "<style>@media screen{.x{display:none}}</style>",
+        "<style>@media only screen and (min-width:600px){@supports (display:grid){.x{display:none}}}</style>",
+        "<style media='all'><!-- .x{display:none} --></style>",
+        "<style>@import 'a.css'; .x{color:red;display:none</style>",
+        "<style>@media not print{.x{display:none}}</style>",
+    ):
+        assert render(f"{style}<p class=x>hidden</p>") == "", style
+
+
+def test_the_last_declaration_decides():
+    def seen(css, attributes):
+        return bool(render(f"<style>{css}</style><p {attributes}>text</p>"))
+
+    assert seen(".x{display:none} .x{display:block}", "class=x")
+    assert not seen(".x{display:block} .x{display:none}", "class=x")
+    assert seen(".x{display:none}", "class=x style='display:block'")
+    assert not seen(".x{display:none!important}", "class=x style='display:block'")
+    assert not seen("#i{display:none} .x{display:block} p{display:block}", "class=x id=i")
+    assert seen(".x{visibility:hidden} .x{visibility:visible}", "class=x")
+    assert not seen("p{visibility:visible}", "style='visibility:visible;visibility:hidden'")
+    assert not seen("", "hidden") and seen("", "hidden style='display:block'")
+    assert not seen("", "style='display:block;display:none'")
