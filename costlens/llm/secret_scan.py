@@ -6,7 +6,8 @@ Candidates.  Long runs of key characters with a digit, and provider formats,
 found by one regular expression; their places follow from the lengths of the
 pieces between them.  A run begins after an assignment sign (``=`` belongs to it
 only as padding at its end) and ends before the full stops of a sentence; a
-provider's key is a candidate of its own wherever a run holds one.
+provider's key is a candidate of its own wherever a run holds one.  Whatever is
+assigned to a key word is a candidate too, however short and whatever its signs.
 
 Features (per candidate): length; shares of digits, capitals and symbols;
 character transitions (changes between letter, capital, digit and symbol per
@@ -19,8 +20,9 @@ words of examples and placeholders nearby, an address or file sign next to it).
 Training.  ``pyspark.ml`` grows the forest on labelled findings (feature columns
 and ``label``).  By default these are derived from the corpus: candidates with a
 key word and an assignment or with a provider's format are positive unless they
-look like placeholders; candidates that are addresses, numbers or words joined
-by signs, and those without any key word, are negative.  At most
+look like placeholders or, without a digit, like words; candidates that are
+addresses, numbers or words joined by signs, assigned plain words, and those
+without any key word, are negative.  At most
 ``MAX_FINDINGS`` of each kind, picked by hash, are used; letter pairs and common
 words are counted over all documents.
 
@@ -60,23 +62,38 @@ KEY_FORMATS = (
     r"|(?<![_-])(?:sk-(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{20,}"
     r"|eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_.-]*[A-Za-z0-9_-]))"
 )
-# A private key block, a provider's key, or a run of key characters of at least 16
-# that holds a digit and no provider's key (then only the rest of the run is one).
+KEY_WORD = (
+    r"(?i)(token|secret|passw(or)?d|pwd|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|auth|bearer)"
+)
+# What stands before an assigned value; the first two parts only spare the last one.
+_ASSIGNING = (
+    r"(?<=[=:>\s\"'`])(?=[^\s\"'`])(?<=[=:>]\s{0,8}[\"'`]?)"
+    rf"(?<=(?:{KEY_WORD})[\w-]{{0,40}}[\"'`\]]{{0,2}}\s{{0,8}}(?:=|:|=>|:=)\s{{0,8}}[\"'`]?)"
+)
+# A quoted value, or one up to a blank, closing signs or the next assignment; no address.
+_VALUE = (
+    r"(?:(?<=\")[^\"\r\n]++(?=\")|(?<=')[^'\r\n]++(?=')|(?<=`)[^`\r\n]++(?=`)"
+    r"|(?!(?i:bearer|basic)\s|[A-Za-z]{2,8}://)[^\s\"'`<>]+?"
+    r"(?=[.,;:!?)\]}]{0,8}(?:[\s\"'`<>]|\z)|[&,;|][\w.-]{1,40}[=:]))"
+)
+# A private key block up to its end (without one, its lines of key characters), a
+# provider's key, a value assigned to a key word, or a run of key characters of at least
+# 16 that holds a digit and no provider's key (then only the rest of the run is one).
+_BLOCK = r"-----BEGIN [A-Z0-9 ]{0,32}PRIVATE KEY(?: BLOCK)?-----"
 _RUN = r"[A-Za-z0-9_+/.@-]"
 CANDIDATE = (
-    r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----[\s\S]{0,8192}?-----END [A-Z ]{0,32}PRIVATE KEY-----"
+    rf"{_BLOCK}(?>[\s\S]*?(?=-----(?:BEGIN|END) )){_BLOCK.replace('BEGIN', 'END')}"
+    rf"|{_BLOCK}(?=\s*+[A-Za-z0-9+/=]{{40}})[A-Za-z0-9+/=\s]*[A-Za-z0-9+/=]"
     rf"|{KEY_FORMATS}"
+    rf"|{_ASSIGNING}{_VALUE}"
     rf"|(?:(?<!{_RUN})|\G)(?=[A-Za-z_+/.@-]*+[0-9])(?={_RUN}{{16}})(?!{_RUN}*?{KEY_FORMATS})"
     rf"{_RUN}{{15,}}[A-Za-z0-9_+/@-](?:={{1,2}}(?![A-Za-z0-9_+/=.@-]))?"
 )
 PROVIDER = rf"^({KEY_FORMATS}|-----BEGIN [\s\S]*)$"
-KEY_WORD = (
-    r"(?i)(token|secret|passw(or)?d|pwd|api[ _-]?key|access[ _-]?key|private[ _-]?key|credential|auth|bearer)"
-)
 ASSIGNED = r"(=|:|=>|:=|\b(is|bearer))\s*[\"'`]?$"
 PLACEHOLDER = r"(?i)(example|sample|dummy|placeholder|changeme|your|test|fake|xxxx|1234567|abcdef|0000000)"
 CODE_PATH = r"(?i)(\.(py|js|ts|java|go|rb|env|ya?ml|json|ini|cfg|conf|toml|tf|sh)$|git|config|code)"
-ADDRESS = r"@|^(\d{1,3}\.){3}\d{1,3}|^[+(]?[\d.()/ -]+$|^\w+(\.[A-Za-z]\w*)+$"
+ADDRESS = r"@[\w.-]+\.[A-Za-z]{2,}|^(\d{1,3}\.){3}\d{1,3}|^[+(]?[\d.()/ -]+$|^\w+(\.[A-Za-z]\w*)+$"
 
 FEATURE_NAMES = (
     "length",
@@ -256,12 +273,20 @@ def derived_findings(docs: DataFrame, language: Language) -> DataFrame:
 
     A key word that is assigned the candidate, or a provider's format, is a
     finding; a placeholder, an address or a number is not, nor is a candidate
-    without any key word before it.  The rest stays unlabelled.
+    without any key word before it.  An assigned value without a digit is a finding
+    if it is quoted and neither words nor code, and none if it is a short or common
+    word.  The rest stays unlabelled.
     """
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = docs.select(F.explode(_featured(_pieces(text), docs["source"], language)).alias("x"))
-    yes = "f.placeholder = 0 and f.address = 0 and (f.provider = 1 or f.key_word + f.assigned = 2)"
-    no = "f.placeholder = 1 or f.address = 1 or f.key_word + f.provider = 0"
+    word = "f.quoted = 1 and f.coverage < 0.5 and not value rlike '[ \\\\t(){}$<>]'"
+    key = f"f.key_word + f.assigned = 2 and (f.digits > 0 and f.length >= 6 or {word})"
+    yes = f"f.placeholder = 0 and f.address = 0 and (f.provider = 1 or {key})"
+    plain = "f.coverage >= 0.8 or f.quoted = 0 and f.symbols = 0 and f.length < 12"
+    no = (
+        "f.placeholder = 1 or f.address = 1 or f.key_word + f.provider = 0"
+        f" or f.provider = 0 and f.digits = 0 and ({plain})"
+    )
     rows = rows.select("x.f", F.col("x.c.value").alias("value")).withColumn(
         "label", F.when(F.expr(yes), 1.0).when(F.expr(no), 0.0)
     )

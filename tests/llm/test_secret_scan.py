@@ -145,3 +145,29 @@ def test_assigned_without_blanks_and_before_punctuation(spark):
     ]
     clean = {r.doc_id: r.text for r in scan.redact(d).filter("doc_id >= 900").collect()}
     assert clean == {i: x[0] + scan.MASK + x[2] for i, x in parts.items()}
+
+
+def test_short_values_and_long_key_blocks_are_candidates(spark):
+    rnd = random.Random(4)
+    lines = "\n".join("".join(rnd.choices("ABCDEFabcdef0123456789+/", k=64)) for _ in range(400))
+    block = f"-----BEGIN RSA PRIVATE KEY-----\n{lines}\n-----END RSA PRIVATE KEY-----"
+    pgp = block.replace("RSA PRIVATE KEY", "PGP PRIVATE KEY BLOCK")
+    texts = [
+        ('password = "', "Tr0ub4dor&3", '" ok'),
+        ("pwd: ", "correcthorsebatterystaple", ", ok"),
+        ("db?user=a&password=", "x9!kQ", "&host=b"),
+        ("'secret': '", "two words; 3", "'"),
+        ("it is ", block, " here"),
+        ("it is ", pgp, " here"),
+        ("-----BEGIN RSA PRIVATE KEY----- is cut. Then ", block, "."),
+        ("cut off: ", f"-----BEGIN RSA PRIVATE KEY-----\n{lines}", ""),
+    ]
+    rows, _ = corpus(random.Random(2), 100)
+    rows += [(200 + i, f'password = "{hexes(rnd, 3)}Q&{hexes(rnd, 3)}!7" set', "a") for i in range(40)]
+    rows += [(300 + i, f"author: {w} wrote the report", "a") for i, w in enumerate(["Smith", "Miller"] * 20)]
+    d = frame(spark, [*rows, *((900 + i, "".join(x), "a") for i, x in enumerate(texts))])
+    out = scan.findings(d).collect()
+    places = sorted((r.doc_id - 900, r.start, r.length) for r in out if r.doc_id >= 900)
+    assert places == [(i, len(x[0]), len(x[1])) for i, x in enumerate(texts)]
+    assert {r.doc_id for r in out if r.is_secret} >= {900, *range(200, 240)}
+    assert not [r for r in out if r.is_secret and 300 <= r.doc_id < 340]
