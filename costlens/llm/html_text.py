@@ -9,6 +9,7 @@ renderer lays the tree out as plain text:
 * paragraphs, headings, lists, quotes and tables stand apart by an empty line,
   other blocks by a line end;
 * list items get their bullet or number and are indented by level;
+* formulas and the texts of drawings are inline text, inputs show their value;
 * table cells are padded to the width of their column (wide characters count
   twice), spans included; cells may hold several lines.
 
@@ -47,8 +48,12 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = set(
     "head title script style template noscript iframe noembed noframes object canvas audio video"
-    " datalist svg math map".split()
+    " datalist annotation annotation-xml".split()
 )
+# parts of a drawing that are not drawn themselves
+UNDRAWN = set("defs symbol clippath mask pattern marker metadata desc".split())
+MATH_PARTS = set("mfrac mroot msub msup msubsup munder mover munderover mtr mtd".split())
+NO_VALUE = set("hidden password checkbox radio file image color range".split())  # of inputs
 APART = set(  # stand apart by an empty line
     "p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure hr fieldset".split()
 )
@@ -161,6 +166,10 @@ def parse(page: str) -> tuple[Element, list[str]]:
             close(*IMPLIED[tag])
         element = Element(tag, attributes)
         stack[-1].children.append(element)
+        if (rest or "").endswith("/") and (
+            tag in ("svg", "math") or any(e.tag in ("svg", "math") for e in stack)
+        ):
+            continue  # formulas and drawings may close a tag at once
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             inside = page[at : end.start() if end else n]
@@ -466,8 +475,17 @@ class Renderer:
             self.list(e, flow, visible)
         elif tag == "input":
             kind = e.attributes.get("type", "text").lower()
-            if visible and kind in ("text", "submit", "button", "reset", "search", "email", "url"):
+            if visible and kind.strip() not in NO_VALUE:
                 flow.text(f" {e.attributes.get('value', '')} ")
+        elif tag == "svg":
+            self.drawing(e, flow, visible, keep)
+        elif tag in MATH_PARTS:
+            for child in e.children:
+                if isinstance(child, Element):
+                    self.element(child, flow, visible, keep)
+                    flow.text(" ")
+                elif visible:
+                    flow.text(child, keep)
         elif tag == "details" and "open" not in e.attributes:
             flow.block(0)
             for child in e.children:
@@ -495,6 +513,19 @@ class Renderer:
         else:
             self.children(e, flow, visible, keep or tag == "textarea")
 
+    def drawing(self, e: Element, flow: Flow, visible: bool, keep: bool) -> None:
+        """The text elements of a drawing, and pages set into it."""
+        for child in e.children:
+            if isinstance(child, str) or child.tag in UNDRAWN or not self.rules.shown(child):
+                continue
+            seen = self.rules.visible(child, visible)
+            if child.tag in ("text", "foreignobject"):
+                flow.text(" ")
+                self.children(child, flow, seen, keep)
+                flow.text(" ")
+            else:
+                self.drawing(child, flow, seen, keep)
+
     def inner(self, e: Element, visible: bool, keep: bool = False) -> list[str]:
         flow = Flow()
         self.children(e, flow, visible, keep)

@@ -119,3 +119,14 @@ def test_the_last_declaration_decides():
     assert not seen("p{visibility:visible}", "style='visibility:visible;visibility:hidden'")
     assert not seen("", "hidden") and seen("", "hidden style='display:block'")
     assert not seen("", "style='display:block;display:none'")
+
+
+def test_formulas_drawings_maps_and_inputs():
+    assert render("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> holds") == "if x=2 holds"
+    drawing = "<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><path d='m'/><g><text>Sales <tspan>2024</tspan></text></g></svg>"
+    assert render(f"a{drawing}b<svg/>c") == "a Sales 2024 bc"
+    assert render("<map name=m><p>in the map<area></map>") == "in the map"
+    kinds = "text tel number date time week month datetime-local email url search submit other".split()
+    shown = "".join(f"<input type={k} value={k}>" for k in kinds)
+    unseen = "".join(f"<input type={k} value=no>" for k in "hidden password checkbox radio file image color range".split())
+    assert render(shown + unseen).split() == kinds
