@@ -17,15 +17,19 @@ from costlens.llm import (
     decontaminate,
     html_text,
     near_dedup,
+    periodic_runs,
     quality,
     secret_scan,
     sharding,
+    spelling,
+    token_counts,
     topk,
     toxicity,
 )
 from costlens.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+WORD_FILE = "word_bpe_49k.json"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +79,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_FILE)
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"), drop_every=199)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.planted(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.repeated_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -86,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_chat": op9_chat,
     "op10_quality": op10_quality,
+    "op11_token_counts": op11_token_counts,
+    "op12_spelling": op12_spelling,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
     assert [n for n, _ in P.STAGES] == ["quality", "near_dedup", "decontaminate", "secrets", "tokens"]
     assert P.ORACLE_SQL is None
