@@ -64,10 +64,57 @@ class Workspace:
             path.getFileSystem(conf).delete(path, True)
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """``name``, with signs added until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sha256_hex(col: Column) -> Column:
     return F.sha2(col.cast("binary"), 256)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+RUN_BLOCK = 128
+
+
+def running_totals(sizes: Column) -> Column:
+    """For every number of an int array the sum of those before it, as long.
+
+    An array grown step by step is copied at each step, so it is grown in blocks of
+    ``RUN_BLOCK`` numbers, beginning at the running totals of the blocks.
+    """
+
+    def totals(numbers: Column, first: Column) -> Column:
+        return F.aggregate(
+            numbers, F.array(first), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x))
+        )
+
+    def all_of(s: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(s), F.lit(RUN_BLOCK))
+        blocks = F.transform(starts, lambda at: F.slice(s, at, F.lit(RUN_BLOCK)))
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda t, x: t + x))
+        # the totals of large blocks of blocks need no further level: they are few
+        pair = F.struct(blocks.alias("blocks"), totals(sums, F.lit(0).cast("long")).alias("before"))
+        return let(
+            pair,
+            lambda p: F.flatten(
+                F.transform(
+                    p["blocks"], lambda b, i: F.slice(totals(b, F.get(p["before"], i)), F.lit(1), F.size(b))
+                )
+            ),
+        )
+
+    none = F.array().cast("array<long>")
+    return let(sizes, lambda s: F.when(F.size(s) > 0, all_of(s)).otherwise(none))
+
+
 # ---------------------------------------------------------------- text bytes
 
 
@@ -229,17 +276,20 @@ class KeyFilter:
         return held
 
 
-def split_by_keys(docs: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_by_keys(
+    docs: DataFrame, key: str | Column, keys: DataFrame
+) -> tuple[DataFrame, DataFrame]:
     """(rows whose ``key`` is surely not in ``keys``, all other rows), columns as they came.
 
-    ``keys`` has one long column.  Both parts are cut out in scans, so the rows of
+    ``key`` is a column of ``docs`` or made of its columns; ``keys`` has one long column.  Both parts are cut out in scans, so the rows of
     the first, nearly all when the keys are few, are never shuffled.  Null keys
     are in the first part.
     """
     held = KeyFilter(keys, keys.columns[0]).lookup()
     names, schema = docs.columns, docs.schema
     own = [docs[c].alias(f"column_{i}") for i, c in enumerate(names)]
-    rows = docs.select(docs[key].cast("long").alias("tested"), *own)
+    tested = docs[key] if isinstance(key, str) else key
+    rows = docs.select(tested.cast("long").alias("tested"), *own)
 
     def part(wanted: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,10 +23,10 @@ Equal windows of different items are stored once, and items are joined by
 window id at the end, so repeated benchmark rows do not multiply the hits.
 
 Defined results: a null or wordless text has no words and no hits; a null or
-wordless item has no windows and occurs nowhere; repeated doc_id rows are one
-document per row for n_words but share the hits of their id; a null doc_id is a
-document of its own id null; rows of the benchmark with one item_id are one
-item; empty tables give empty results or no hits; further columns are ignored.
+wordless item has no windows and occurs nowhere; every row is a document of its
+own, whether its doc_id is null, repeated or neither, and rows without hits stay
+clean beside others of their id that have some; rows of the benchmark with one
+item_id are one item; empty tables give empty results or no hits; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.llm.common import (
@@ -117,7 +117,8 @@ def _window_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 CANDIDATE_SCHEMA = (
-    "doc_id long, n_words long, length int, finger long, pos long, before int, around array<string>"
+    "row long, doc_id long, mark long, n_words long, length int, finger long, pos long, before int, "
+    "around array<string>"
 )
 
 
@@ -125,9 +126,8 @@ def _candidates(held, lengths: list[int]):
     """Per document one row with its word count, and one per candidate position."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        raw, offsets = text_buffer(batch.column(1))
+        raw, offsets = text_buffer(batch.column(3))
         words, starts, ends, first = hash_words(raw, offsets, _TABLE)
-        ids = batch.column(0)
         counts = np.diff(first)
         docs, length, finger, pos, before, around = [], [], [], [], [], []
         for n in lengths:
@@ -151,11 +151,11 @@ def _candidates(held, lengths: list[int]):
                 pos.append(g - lo)
                 before.append(g - a)
                 around.append(_words(raw, starts[a:b], ends[a:b]).split(" "))
-        rows = np.concatenate([np.arange(len(ids)), np.array(docs, np.int64)])
-        blank = [None] * len(ids)
+        rows = np.concatenate([np.arange(batch.num_rows), np.array(docs, np.int64)])
+        blank = [None] * batch.num_rows
         yield pa.RecordBatch.from_arrays(
             [
-                ids.take(pa.array(rows)).cast(pa.int64()),
+                *(batch.column(i).take(pa.array(rows)) for i in range(3)),
                 pa.array(counts.tolist() + [None] * len(docs), pa.int64()),
                 pa.array(blank + length, pa.int32()),
                 pa.array(blank + finger, pa.int64()),
@@ -163,7 +163,7 @@ def _candidates(held, lengths: list[int]):
                 pa.array(blank + before, pa.int32()),
                 pa.array(blank + around, pa.list_(pa.string())),
             ],
-            names=["doc_id", "n_words", "length", "finger", "pos", "before", "around"],
+            names=["row", "doc_id", "mark", "n_words", "length", "finger", "pos", "before", "around"],
         )
 
     return run
@@ -174,13 +174,19 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def text_mark(docs: DataFrame) -> Column:
+    """A hash of the text: with the doc_id, rows of equal mark have equal texts."""
+    return F.xxhash64(docs["text"].cast("string"))
+
+
 def scan(
     ws: Workspace, docs: DataFrame, benchmark: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, hits, items): word counts; hit windows; items of each window.
 
-    ``hits`` holds (doc_id, pos, length, window): a window's words occur in the
-    document from word ``pos`` on.
+    ``hits`` holds (row, doc_id, mark, pos, length, window): a window's words occur in
+    the document from word ``pos`` on.  ``row`` numbers the documents of the scan as it
+    was written; (doc_id, mark), mark the text's hash, finds them in their own table.
     """
     items = benchmark.select(
         benchmark["item_id"].cast("string").alias("item_id"), benchmark["text"].cast("string")
@@ -197,7 +203,10 @@ def scan(
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most 10
     held = KeyFilter(windows.select("finger").distinct(), "finger", per_key=1024).lookup()
     texts = docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")
+        F.monotonically_increasing_id().alias("row"),
+        docs["doc_id"].cast("long").alias("doc_id"),
+        text_mark(docs).alias("mark"),
+        docs["text"].cast("string").alias("text"),
     )
     scanned = ws.keep(map_batches(texts, _candidates(held, lengths), CANDIDATE_SCHEMA), "scanned")
     candidates = scanned.filter("finger is not null").drop("n_words")
@@ -208,9 +217,9 @@ def scan(
         candidates.join(_small(windows), ["finger", "length"])
         .filter(begin >= 0)
         .filter(same)
-        .select("doc_id", (F.col("pos") - F.col("at")).alias("pos"), "length", "window")
+        .select("row", "doc_id", "mark", (F.col("pos") - F.col("at")).alias("pos"), "length", "window")
     )
-    return scanned.filter("n_words is not null").select("doc_id", "n_words"), hits, owners
+    return scanned.filter("n_words is not null").select("row", "doc_id", "n_words"), hits, owners
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -221,28 +230,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # words inside the union of the windows, window by window in text order
     end = F.col("pos") + F.col("length")
     before = (
-        Window.partitionBy("doc_id")
+        Window.partitionBy("row")
         .orderBy("pos", "length")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     reached = F.greatest("pos", F.coalesce(F.max(end).over(before), F.lit(0)))
     n_hit = (
-        hits.select("doc_id", F.greatest(end - reached, F.lit(0)).alias("new"))
-        .groupBy("doc_id")
+        hits.select("row", F.greatest(end - reached, F.lit(0)).alias("new"))
+        .groupBy("row")
         .agg(F.sum("new").alias("n_hit"))
     )
     items = (
-        hits.select(F.col("doc_id").alias("id"), "window")
+        hits.select("row", "window")
         .distinct()
         .join(_small(owners), "window")
-        .select("id", "item_id")
+        .select("row", "item_id")
         .distinct()
-        .groupBy("id")
+        .groupBy("row")
         .agg(F.array_sort(F.collect_list("item_id")).alias("items"))
     )
-    found = n_hit.join(items, n_hit["doc_id"].eqNullSafe(items["id"]))
-    found = found.select(F.col("id").alias("hit_id"), "n_hit", "items")
-    out = documents.join(found, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left")
+    out = documents.join(n_hit.join(items, "row"), "row", "left")
     n = F.coalesce("n_hit", F.lit(0).cast("long"))
     names = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
@@ -258,14 +265,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any hit, all columns as they came.
 
-    Only rows whose id may be a contaminated one are shuffled.
+    Only rows whose text may be a contaminated one are shuffled.
     """
     ws = Workspace(docs.sparkSession, "decontaminate")
     _, hits, _ = scan(ws, docs, benchmark)
-    bad = ws.keep(hits.select(F.col("doc_id").alias("hit_id")).distinct(), "contaminated")
-    named = bad.filter("hit_id is not null")
-    free, maybe = split_by_keys(docs, "doc_id", named)
-    kept = maybe.join(named, maybe["doc_id"].cast("long") == F.col("hit_id"), "left_anti")
-    if not bad.filter("hit_id is null").isEmpty():  # rows without an id share their hits
-        free = free.filter(free["doc_id"].isNotNull())
-    return free.unionByName(kept)
+    bad = ws.keep(hits.select("doc_id", "mark").distinct(), "contaminated")
+    free, maybe = split_by_keys(docs, text_mark(docs), bad.select("mark"))
+    same = maybe["doc_id"].cast("long").eqNullSafe(bad["doc_id"]) & (text_mark(maybe) == bad["mark"])
+    return free.unionByName(maybe.join(bad, same, "left_anti"))

@@ -59,6 +59,7 @@ from costlens.llm.common import (
     hash_words,
     map_batches,
     mix64,
+    spare_name,
     split_by_keys,
     text_buffer,
 )
@@ -429,8 +430,9 @@ def keep_one_per_group(docs: DataFrame) -> DataFrame:
     ids = ids.filter("not kept or rows > 1").select(F.col("doc_id").alias("id"), "kept")
     ids = ws.keep(ids, "contested")
     free, contested = split_by_keys(docs, "doc_id", ids.select("id"))
-    key = contested["doc_id"].cast("long")
-    kept = contested.join(ids.filter("not kept"), key == F.col("id"), "left_anti")
+    dropped = ids.filter("not kept")
+    kept = contested.join(dropped, contested["doc_id"].cast("long") == dropped["id"], "left_anti")
     once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = kept.withColumn("kept_row", F.row_number().over(once)).filter("kept_row = 1")
-    return free.unionByName(kept.drop("kept_row"))
+    place = spare_name(docs, "place")
+    kept = kept.withColumn(place, F.row_number().over(once)).filter(F.col(place) == 1)
+    return free.unionByName(kept.drop(place))

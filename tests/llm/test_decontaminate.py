@@ -66,3 +66,17 @@ def test_shared_spans_share_fingerprints():
         a = np.concatenate([rnd.integers(0, 5, rnd.integers(0, 9)).astype(np.uint64), span])
         picks = dc.winnow(a, 10)
         assert picks[-1] - (len(a) - 10) == dc.winnow(span, 10)[0]
+
+
+def test_rows_of_one_id_do_not_share_hits(spark):
+    passage = "one two three four five six seven eight nine ten"
+    docs = [
+        (None, "a clean null row"), (None, "another clean row here"), (None, passage + " eleven"),
+        (7, passage), (7, "x " + passage), (7, "clean under a dirty id"), (7, None), (8, passage), (8, passage),
+        (9, "clean alone"), (None, None), (None, ""),
+    ]
+    d, b = check(spark, docs, [(1, passage)])
+    out = dc.decontaminate(d, b).collect()
+    assert all(r.n_hit <= r.n_words for r in out)
+    kept = sorted(((r.doc_id, r.text) for r in dc.clean(d, b).collect()), key=str)
+    assert kept == sorted(((i, t) for i, t in docs if passage not in (t or "")), key=str)
