@@ -14,12 +14,14 @@ and every path one shrunk toward its host's.  The strengths of shrinking are
 estimated by the method of moments from the spread between groups beyond what
 their sizes explain, so a site with few documents stays at its prior.
 
-Score.  The logit of the path's posterior plus the document's evidence, as a
-probability; a document is kept at 0.5 or more.
+Score.  The logit of the path's posterior, taken from the other documents of the
+host and the path, plus the document's evidence, as a probability; a document is
+kept at 0.5 or more.
 
 Group sums are sums of whole numbers (millionths), so results do not depend on
 the order of rows.  Hot hosts are pre-aggregated in the map tasks.  Site tables
-are broadcast only below ``BROADCAST_SITES`` rows and joined by shuffle beyond.
+are broadcast only below ``BROADCAST_SITES`` rows; beyond, the narrow table of judged
+rows, which holds no texts, is shuffled to them.
 
 Defined results: a null, empty or wordless text scores 0 and is rejected, and
 counts nothing for its site; a null source is the site ''; without labels of
@@ -39,10 +41,10 @@ from pyspark.sql import functions as F
 
 from costlens.llm.common import (
     Workspace,
-    bound_batches,
     byte_table,
     hash_words,
     map_batches,
+    split_by_keys,
     text_buffer,
 )
 from costlens.llm.labelled import class_counts, fold_number, training_sample
@@ -199,8 +201,33 @@ def _strength(groups: DataFrame, prior: Column) -> float:
     return float(min(max(v / tau2 - 1, MIN_STRENGTH), MAX_STRENGTH))
 
 
+def _inside(rate: Column) -> Column:
+    return F.least(F.greatest(rate, F.lit(1e-6)), F.lit(1 - 1e-6))
+
+
+def others_logit(own: Column, counted: Column) -> Column:
+    """The logit of a path's posterior from all its documents but one.
+
+    ``own`` is what that document put into its site's sums (``counted``: whether it
+    did), so that its evidence does not count twice, least of all on sparse sites.
+    """
+    own, one = F.when(counted, own).otherwise(0.0), F.when(counted, 1).otherwise(0)
+    m_host, m_path = F.col("m_host"), F.col("m_path")
+    host = (F.greatest(F.col("host_good") - own, F.lit(0.0)) + m_host * F.col("rate")) / (
+        F.col("host_n") - one + m_host
+    )
+    post = _inside(
+        (F.greatest(F.col("path_good") - own, F.lit(0.0)) + m_path * host)
+        / (F.col("path_n") - one + m_path)
+    )
+    return F.log(post / (1 - post))
+
+
 def site_posteriors(ws: Workspace, judged: DataFrame) -> DataFrame:
-    """site_host, site_path, site_logit from (host, path, millionths) of all documents."""
+    """site_host, site_path, site_logit from (host, path, millionths) of all documents.
+
+    Further columns hold the sums and strengths that ``others_logit`` starts from.
+    """
     sites = ws.keep(
         judged.groupBy("host", "path").agg(
             (F.sum("millionths") / 1e6).alias("good"), F.count("millionths").alias("n")
@@ -216,95 +243,115 @@ def site_posteriors(ws: Workspace, judged: DataFrame) -> DataFrame:
     hosts = hosts.select(
         F.col("host").alias("h"),
         ((F.col("good") + m_host * rate) / (F.col("n") + m_host)).alias("host_rate"),
+        F.col("good").alias("host_good"),
+        F.col("n").alias("host_n"),
     )
     placed = ws.keep(sites.join(hosts, F.col("host") == F.col("h")), "placed-sites")
     m_path = _strength(placed, F.col("host_rate"))
     post = (F.col("good") + m_path * F.col("host_rate")) / (F.col("n") + m_path)
-    post = F.least(F.greatest(post, F.lit(1e-6)), F.lit(1 - 1e-6))
+    post = _inside(post)
     return ws.keep(
         placed.select(
             F.col("host").alias("site_host"),
             F.col("path").alias("site_path"),
             F.log(post / (1 - post)).alias("site_logit"),
+            F.col("good").alias("path_good"),
+            F.col("n").alias("path_n"),
+            "host_good",
+            "host_n",
+            F.lit(rate).alias("rate"),
+            F.lit(m_host).alias("m_host"),
+            F.lit(m_path).alias("m_path"),
         ),
         "sites",
     )
 
 
+def _marks(docs: DataFrame) -> tuple[Column, Column]:
+    """Two hashes of the text and its site, which together tell its decision."""
+    host, path = site_of(docs["source"])
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    return F.xxhash64(text, host, path), F.xxhash64(F.lit(1), path, text)
+
+
 def _judged(docs: DataFrame, evidence: Evidence) -> DataFrame:
-    """doc_id, host, path, llr, millionths (the probability at the prior)."""
+    """doc_id, host, path, two marks, llr, millionths (the probability at the prior)."""
     host, path = site_of(docs["source"])
+    mark, second = _marks(docs)
     source = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
         host.alias("host"),
         path.alias("path"),
+        mark.alias("mark"),
+        second.alias("second"),
         docs["text"].cast("string").alias("text"),
     )
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        x, n = features(batch.column(3))
+        x, n = features(batch.column(5))
         llr = evidence.llr(x)
         p = _sigmoid(llr + np.log(evidence.prior / (1 - evidence.prior)))
         none = n == 0
         yield pa.RecordBatch.from_arrays(
             [
-                *batch.columns[:3],
+                *batch.columns[:5],
                 pa.array(llr, mask=none),
                 pa.array(np.round(p * 1e6).astype(np.int64), mask=none),
             ],
-            names=["doc_id", "host", "path", "llr", "millionths"],
+            names=["doc_id", "host", "path", "mark", "second", "llr", "millionths"],
         )
 
     return map_batches(
-        source, run, "doc_id long, host string, path string, llr double, millionths long"
+        source,
+        run,
+        "doc_id long, host string, path string, mark long, second long, llr double, millionths long",
     )
 
 
-def _with_sites(df: DataFrame, sites: DataFrame, host: Column, path: Column) -> DataFrame:
+def _decided(ws: Workspace, judged: DataFrame) -> DataFrame:
+    """``judged`` with site_logit, score and kept; only this narrow table meets the sites."""
+    sites = site_posteriors(ws, judged)
     small = sites.count() <= BROADCAST_SITES
-    on = (host == sites["site_host"]) & (path == sites["site_path"])
-    return df.join(F.broadcast(sites) if small else sites, on, "left")
+    on = (judged["host"] == sites["site_host"]) & (judged["path"] == sites["site_path"])
+    out = judged.join(F.broadcast(sites) if small else sites, on, "left")
+    counted = F.col("millionths").isNotNull()
+    out = out.withColumn("site_logit", others_logit(F.col("millionths") / 1e6, counted))
+    value = F.coalesce(1 / (1 + F.exp(-(F.col("llr") + F.col("site_logit")))), F.lit(0.0))
+    return out.withColumn("score", value).withColumn("kept", F.col("score") >= 0.5)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, host, path, held_out, evidence, site_logit, score, kept per document."""
     ws = Workspace(docs.sparkSession, "quality")
     judged = ws.keep(_judged(docs, fit_evidence(ws, docs, labels)), "judged")
-    out = _with_sites(judged, site_posteriors(ws, judged), F.col("host"), F.col("path"))
-    value = F.coalesce(1 / (1 + F.exp(-(F.col("llr") + F.col("site_logit")))), F.lit(0.0))
-    return out.select(
+    return _decided(ws, judged).select(
         "doc_id",
         "host",
         "path",
         F.coalesce(fold_number(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
         F.col("llr").alias("evidence"),
         "site_logit",
-        value.alias("score"),
-        (value >= 0.5).alias("kept"),
+        "score",
+        "kept",
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The kept documents, all columns as they came; texts are not shuffled."""
+    """The kept documents, all columns as they came.
+
+    Decisions are made on the narrow table of judged rows and found again by the hashes
+    of text and site.  Rows that are surely kept, and rows that are surely rejected
+    (no kept row's hash is let through with them), are told in scans; only the few
+    between are shuffled and joined, whatever the number of sites.
+    """
     ws = Workspace(docs.sparkSession, "quality")
-    evidence = fit_evidence(ws, docs, labels)
-    judged = ws.keep(_judged(docs, evidence).select("host", "path", "millionths"), "judged")
-    sites = site_posteriors(ws, judged)
-    host, path = site_of(docs["source"])
-    names = docs.columns
-    placed = _with_sites(docs, sites, host, path)
-    own = [docs[c].alias(f"column_{i}") for i, c in enumerate(names)]
-    placed = placed.select(docs["text"].cast("string").alias("judged"), "site_logit", *own)
-    schema = docs.schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, n = features(batch.column(0))
-            logit = batch.column(1).to_numpy(zero_copy_only=False)
-            with np.errstate(invalid="ignore"):
-                keep = (n > 0) & (_sigmoid(evidence.llr(x) + logit) >= 0.5)
-            rest = pa.RecordBatch.from_arrays(batch.columns[2:], names=names)
-            yield rest.filter(pa.array(keep))
-
-    bound_batches(docs.sparkSession)
-    return placed.mapInArrow(run, schema)
+    judged = ws.keep(_judged(docs, fit_evidence(ws, docs, labels)).drop("doc_id"), "judged")
+    decided = ws.keep(_decided(ws, judged).select("mark", "second", "kept"), "decided")
+    bad = ws.keep(decided.filter("not kept").select("mark", "second").distinct(), "rejected")
+    free, maybe = split_by_keys(docs, _marks(docs)[0], bad.select("mark"))
+    good = decided.filter("kept").select("mark").distinct()
+    _, doubtful = split_by_keys(good, "mark", bad.select("mark"))
+    _, between = split_by_keys(maybe, _marks(maybe)[0], ws.keep(doubtful, "doubtful"))
+    mark, second = _marks(between)
+    same = (mark == bad["mark"]) & (second == bad["second"])
+    return free.unionByName(between.join(bad, same, "left_anti"))

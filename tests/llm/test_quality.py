@@ -97,3 +97,72 @@ def test_prior_is_that_of_all_labels(spark, monkeypatch):
         monkeypatch.setattr(quality, "MAX_BAD", most)
         priors.append(quality.fit_evidence(Workspace(spark, "t"), d, l).prior)
     assert priors[0] == priors[1] and abs(priors[0] - 0.9) < 0.03
+
+
+def plain_scores(judged, m_host, m_path, rate):
+    """Scores by the definition: posteriors of path and host from all other rows."""
+    out = []
+    for i, (host, path, llr, p) in enumerate(judged):
+        others = [r for j, r in enumerate(judged) if j != i and r[3] is not None]
+        of_host = [r[3] / 1e6 for r in others if r[0] == host]
+        of_path = [r[3] / 1e6 for r in others if r[1] == path]
+        if p is None:
+            out.append(0.0)
+            continue
+        prior = (sum(of_host) + m_host * rate) / (len(of_host) + m_host)
+        post = (sum(of_path) + m_path * prior) / (len(of_path) + m_path)
+        out.append(1 / (1 + np.exp(-(llr + np.log(post / (1 - post))))))
+    return out
+
+
+def test_scores_equal_posteriors_of_the_other_rows(spark):
+    rnd = np.random.default_rng(2)
+    rows = []
+    for i in range(150):
+        host = "abcde"[min(4, int(rnd.exponential(1)))]
+        p = None if i % 17 == 0 else int(rnd.integers(1, 10**6))
+        rows.append((host, f"{host}/{rnd.integers(3)}", None if p is None else float(rnd.normal()), p))
+    rows.append(("alone", "alone/", 0.4, 250_000))
+    df = spark.createDataFrame(rows, "host string, path string, llr double, millionths long")
+    ws = Workspace(spark, "t")
+    site = quality.site_posteriors(ws, df).first()
+    # the strengths, by the moments of the group rates
+    def groups(at, prior):
+        sums = {}
+        for r in rows:
+            if r[3] is not None:
+                good, n = sums.get(r[at], (0, 0))
+                sums[r[at]] = good + r[3] / 1e6, n + 1
+        n = sum(n for _, n in sums.values())
+        spread = sum(n_ * (g / n_ - prior(k)) ** 2 for k, (g, n_) in sums.items())
+        v = sum(n_ * prior(k) * (1 - prior(k)) for k, (_, n_) in sums.items()) / n
+        tau2 = (spread - (len(sums) - 1) * v) / n
+        m = quality.MAX_STRENGTH if tau2 <= 0 else min(max(v / tau2 - 1, 2.0), quality.MAX_STRENGTH)
+        return sums, m
+
+    counted = [r[3] / 1e6 for r in rows if r[3] is not None]
+    rate = (sum(counted) + 0.5) / (len(counted) + 1)
+    hosts, m_host = groups(0, lambda k: rate)
+    host_rate = {k: (g + m_host * rate) / (n + m_host) for k, (g, n) in hosts.items()}
+    _, m_path = groups(1, lambda k: host_rate[k.split("/")[0]])
+    assert np.allclose([site.rate, site.m_host, site.m_path], [rate, m_host, m_path])
+    got = [r.score for r in quality._decided(ws, ws.keep(df.coalesce(1), "judged")).collect()]
+    assert np.allclose(sorted(got), sorted(plain_scores(rows, m_host, m_path, rate)))
+
+
+def test_rows_between_are_joined_and_nothing_else(spark, monkeypatch):
+    """The same rows stay with any filter and number of sites, whatever they let through."""
+    from costlens.llm.common import KeyFilter
+
+    good = "A calm sentence about things, in plain words. Another one follows it here."
+    rows = [(i, f"{good} Number {i}." if i % 4 else f"JUNK!! %%% ### {i}", f"h{i % 50}.x/p") for i in range(400)]
+    rows += [(None, rows[1][1], "h1.x/p"), (3, rows[4][1], None), (5, None, "h"), (6, "", None)]
+    y = [(i, int(i % 4 > 0), 0) for i in range(400)]
+    d, l = frame(spark, rows), labels(spark, y)
+    want = sorted((r.doc_id or -1, r.text) for r in quality.keep_good(d, l).collect())
+    assert 250 < len(want) < 330
+    monkeypatch.setattr(quality, "BROADCAST_SITES", 0)
+    for bits in (64, 1 << 12, 1 << 26):
+        monkeypatch.setattr(KeyFilter, "MAX_BITS", bits)
+        got = quality.keep_good(d, l)
+        assert sorted((r.doc_id or -1, r.text) for r in got.collect()) == want
