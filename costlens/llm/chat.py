@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costlens.llm.common import Workspace, sha256_hex
+from costlens.llm.common import Workspace, running_totals, sha256_hex
 
 BEGIN, END = "<s>", "</s>"
 ASSISTANT = "assistant"
@@ -169,22 +169,26 @@ def format_trees(messages: DataFrame, branches: int = 1, unique: bool = False) -
     body = F.transform("parts", lambda x: F.concat(x["head"], x["text"], F.lit(END)))
     spans = "array<struct<start:int,length:int>>"
 
-    def add(done: Column, x: Column) -> Column:
-        start = done["at"] + F.length(x["head"])
-        size = F.length(x["text"])
-        span = F.array(F.struct(start.alias("start"), size.alias("length")))
-        return F.struct(
-            (start + size + len(END)).alias("at"),
-            F.when(x["learn"], F.concat(done["spans"], span)).otherwise(done["spans"]).alias("spans"),
+    def loss(all_: Column) -> Column:
+        sizes = F.transform(all_, lambda x: F.length(x["head"]) + F.length(x["text"]) + len(END))
+        placed = F.zip_with(
+            all_,
+            running_totals(sizes),
+            lambda x, before: F.struct(
+                (before + F.length(x["head"])).alias("start"),
+                F.length(x["text"]).alias("length"),
+                x["learn"].alias("learn"),
+            ),
         )
+        learnt = F.filter(placed, lambda x: x["learn"])
+        return F.transform(learnt, lambda x: F.struct(x["start"], x["length"])).cast(spans)
 
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("spans"))
     return parts.select(
         "tree",
         "leaf",
         "branch",
         F.array_join(body, "").alias("formatted"),
-        F.aggregate("parts", none, add, lambda d: d["spans"]).alias("loss"),
+        loss(F.col("parts")).alias("loss"),
     )
 
 
@@ -213,10 +217,13 @@ PROBE = "</s>[INST] ok [/INST]"
 
 def digests(conversations: DataFrame) -> DataFrame:
     """Per conversation (and the probe -1), digests of what its formatted string says."""
-    spark = conversations.sparkSession
-    probe = spark.createDataFrame(
-        [(-1, 0, "user", PROBE), (-1, 1, ASSISTANT, PROBE)],
-        "conv_id long, turn long, role string, text string",
+    said = F.explode(F.array(F.lit("user"), F.lit(ASSISTANT)))
+    probe = conversations.sparkSession.range(1).select(F.lit(-1).cast("long").alias("conv_id"), said.alias("role"))
+    probe = probe.select(
+        "conv_id",
+        F.when(F.col("role") == ASSISTANT, 1).otherwise(0).cast("long").alias("turn"),
+        "role",
+        F.lit(PROBE).alias("text"),
     )
     rows = conversations.select(
         conversations["conv_id"].cast("long").alias("conv_id"),

@@ -45,7 +45,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costlens.llm.common import Workspace, sha256_hex
+from costlens.llm.common import Workspace, let, running_totals, sha256_hex
 
 MASK = "[SECRET]"
 MAX_FINDINGS = 20_000
@@ -189,21 +189,22 @@ def _pieces(value: Column) -> Column:
 
 def _placed(pieces: Column) -> Column:
     """The pieces with ``start``, the candidate's first character counted from 0."""
-    kind = "array<struct<start:int,before:string,gap:string,value:string,next:string>>"
-
-    def add(done: Column, x: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        before = F.coalesce(last["start"] + F.length(last["value"]), F.lit(0))
-        row = F.struct(
-            (before + F.length(x["gap"])).alias("start"),
-            x["before"].alias("before"),
-            x["gap"].alias("gap"),
-            x["value"].alias("value"),
-            x["next"].alias("next"),
+
+    def placed(all_: Column) -> Column:
+        sizes = F.transform(all_, lambda x: F.length(x["gap"]) + F.length(x["value"]))
+        return F.zip_with(
+            all_,
+            running_totals(sizes),
+            lambda x, before: F.struct(
+                (before + F.length(x["gap"])).cast("int").alias("start"),
+                x["before"].alias("before"),
+                x["gap"].alias("gap"),
+                x["value"].alias("value"),
+                x["next"].alias("next"),
+            ),
         )
-        return F.concat(done, F.array(row))
 
-    return F.aggregate(pieces, F.array().cast(kind), add)
+    return let(pieces, placed)
 
 
 def feature_columns(c: Column, path: Column, language: Language) -> dict[str, Column]:
@@ -301,7 +302,11 @@ class Forest:
 
     @classmethod
     def train(cls, ws: Workspace, findings: DataFrame) -> Forest:
-        """From labelled findings; at most ``MAX_FINDINGS`` of each label, equal ones once."""
+        """From labelled findings, equal ones once.
+
+        At most ``MAX_FINDINGS`` of each label are learnt from; they weigh as much as all
+        findings of their label, so that the cut does not follow the bound.
+        """
         if "h" not in findings.columns:
             findings = findings.withColumn("h", F.xxhash64(*FEATURE_NAMES))
         findings = ws.keep(findings.dropDuplicates(["h", "label"]), "findings")
@@ -309,13 +314,17 @@ class Forest:
             findings.filter(F.col("label") == y).orderBy("h").limit(MAX_FINDINGS) for y in (0.0, 1.0)
         ]
         some = ws.keep(parts[0].unionByName(parts[1]), "training")
-        kinds = [r[0] for r in some.select("label").distinct().collect()]
+        counts = {r["label"]: r["count"] for r in findings.groupBy("label").count().collect()}
+        kinds = list(counts)
         if len(kinds) < 2:  # nothing to tell apart
             return cls([float(kinds[0]) if kinds else 0.0])
         vectors = VectorAssembler(inputCols=list(FEATURE_NAMES), outputCol="features")
+        weights = {y: max(1.0, n / MAX_FINDINGS) for y, n in counts.items()}
+        weight = F.when(F.col("label") == 1.0, weights[1.0]).otherwise(weights[0.0])
+        rows = vectors.transform(some).select("features", "label", weight.alias("weight"))
         grown = RandomForestClassifier(
-            numTrees=TREES, maxDepth=DEPTH, seed=7, subsamplingRate=0.8
-        ).fit(vectors.transform(some).select("features", "label"))
+            numTrees=TREES, maxDepth=DEPTH, seed=7, subsamplingRate=0.8, weightCol="weight"
+        ).fit(rows)
         return cls([_node(tree._java_obj.rootNode()) for tree in grown.trees])
 
     def score(self, f: Column) -> Column:

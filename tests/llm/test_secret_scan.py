@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from costlens.llm import secret_scan as scan
 from costlens.llm.common import Workspace
@@ -171,3 +172,34 @@ def test_short_values_and_long_key_blocks_are_candidates(spark):
     assert places == [(i, len(x[0]), len(x[1])) for i, x in enumerate(texts)]
     assert {r.doc_id for r in out if r.is_secret} >= {900, *range(200, 240)}
     assert not [r for r in out if r.is_secret and 300 <= r.doc_id < 340]
+
+
+def test_many_candidates_in_one_text(spark):
+    """Places of 50 000 candidates in one text, in time."""
+    rnd = random.Random(12)
+    values = [hexes(rnd) for _ in range(50_000)]
+    text = " sha, ".join(values)
+    df = spark.createDataFrame([(1, text), (2, "none"), (3, "")], "doc_id long, text string")
+    placed = scan._placed(scan._pieces(df["text"]))
+    got = {r.doc_id: r.p for r in df.select("doc_id", placed.alias("p")).collect()}
+    assert got[2] == [] and got[3] == [] and len(got[1]) == len(values)
+    assert [x.start for x in got[1]] == [i * 46 for i in range(len(values))]
+    assert [x.value for x in got[1]] == values
+
+
+def test_bound_on_training_rows_does_not_move_the_cut(spark, monkeypatch):
+    """With a bound that halves one label only, its rows weigh double."""
+    rnd = random.Random(9)
+    schema = ", ".join(f"{n} double" for n in scan.FEATURE_NAMES) + ", label double, h long"
+    rows = []
+    for i in range(4000):
+        y = float(i % 5 == 0)  # one finding in five; the features hardly tell them apart
+        rows.append((*[rnd.gauss(0.15 * y, 1) for _ in scan.FEATURE_NAMES], y, i * 7919 % 4001))
+    findings = spark.createDataFrame(rows, schema)
+    f = F.struct(*scan.FEATURE_NAMES)
+    shares = []
+    for most in (20_000, 800):
+        monkeypatch.setattr(scan, "MAX_FINDINGS", most)
+        forest = scan.Forest.train(Workspace(spark, "t"), findings)
+        shares.append(findings.select(F.avg(forest.score(f))).first()[0])
+    assert abs(shares[0] - 0.2) < 0.05 and abs(shares[1] - shares[0]) < 0.05
