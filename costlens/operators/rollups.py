@@ -1,16 +1,15 @@
 """Aggregations F1, F2, F5-F12.
 
 All are ``groupBy().agg()`` with decomposable aggregates, so Spark runs a
-partial (map-side) aggregate before the shuffle.  ``count_distinct`` in the
-risk rollups is the one exception: Spark rewrites it into an extra
-aggregation level keyed by (group, run id), which stays distributed.
+partial (map-side) aggregate before the shuffle.  Distinct runs are kept as bitmaps,
+which merge like sums do.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The eleven account dimensions of the account branch.
@@ -86,38 +85,123 @@ def warehouse_tasks_daily(metrics: DataFrame) -> DataFrame:
 
 
 # F5-F7 --------------------------------------------------------------------------
-def _avg_gb(direction: str):
-    """Mean network GB per run, from the exact integer byte totals.
+# A cost line of a run stands for ``copies`` rows of the per-run risk table, one per usage
+# and settings line of the run.  The rows here are not copied: every sum weighs a line by
+# its copies, and the run's number is a bit that is set once.
+_COPIES = "decimal(9,0)"
+# rows' column -> (name of the parts' sum, type the sum is taken in)
+_RISK_SUMS = {
+    "duration_seconds": ("total_duration_seconds", "bigint"),
+    "attributed_revenue": ("revenue", "decimal(18,4)"),
+    "rev_at_risk": ("total_revenue_at_risk", "decimal(28,10)"),
+    "rev_at_risk_utilization": ("revenue_at_risk_utilization", "decimal(28,10)"),
+    "rev_at_risk_all_purpose": ("revenue_at_risk_all_purpose_jobs", "decimal(28,10)"),
+}
+_RISK_MEANS = (
+    "avg_cluster_cpu_utilization",
+    "avg_cluster_mem_used_percent",
+    "avg_cluster_network_gb_sent",
+    "avg_cluster_network_gb_received",
+)
 
-    Equal to the mean of the per-run ``total_network_gb_*`` values (same null
-    rows), but the sum runs over whole numbers, which double arithmetic adds
-    exactly in any order; the division by 1e9 comes last.
-    """
+
+def _bytes(direction: str) -> Column:
+    """Network bytes of a run, whole numbers: doubles add them exactly in any order, and
+    the division by 1e9 comes last.  Null where ``total_network_gb_*`` is null."""
     total = F.col(f"sum_d_network_{direction}_bytes") + F.col(f"sum_w_network_{direction}_bytes")
-    return F.avg(total.cast("double")) / F.lit(1e9)
-
-
-def _dollars(c: str):
-    """Decimal sum, so the total does not depend on the order of rows."""
-    return F.sum(F.col(c).cast("decimal(28,10)"))
-
-
-def risk_rollup(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Duration, utilization averages, distinct runs and risk dollars per group."""
-    return runs.groupBy(*keys).agg(
-        F.sum("duration_seconds").alias("total_duration_seconds"),
-        F.avg("avg_cluster_cpu_utilization").alias("avg_cluster_cpu_utilization"),
-        F.avg("avg_cluster_mem_used_percent").alias("avg_cluster_mem_used_percent"),
-        _avg_gb("sent").alias("avg_cluster_network_gb_sent"),
-        _avg_gb("received").alias("avg_cluster_network_gb_received"),
-        F.count_distinct("run_id").alias("job_run_count"),
-        F.sum("attributed_revenue").alias("revenue"),
-        _dollars("rev_at_risk").alias("total_revenue_at_risk"),
-        _dollars("rev_at_risk_utilization").alias("revenue_at_risk_utilization"),
-        _dollars("rev_at_risk_all_purpose").alias("revenue_at_risk_all_purpose_jobs"),
+    return total.cast("double")
+
+
+def _weighted() -> list[Column]:
+    """The sums of the cost lines, each weighing its copies; means as sum and count."""
+    copies, weight = F.col("copies"), F.col("copies").cast(_COPIES)
+    out = []
+    for c, (name, kind) in _RISK_SUMS.items():
+        times = copies if kind == "bigint" else weight
+        out.append(F.sum(F.col(c).cast(kind) * times).alias(name))
+    values = (F.col(_RISK_MEANS[0]), F.col(_RISK_MEANS[1]), _bytes("sent"), _bytes("received"))
+    for name, x in zip(_RISK_MEANS, values):
+        out += [
+            F.sum(x * copies).alias(f"sum_{name}"),
+            F.sum(F.when(x.isNotNull(), copies)).alias(f"n_{name}"),
+        ]
+    return out
+
+
+def risk_rollup(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Duration, utilization averages, distinct runs and risk dollars per group of the
+    cost lines ``rows``, each counted ``copies`` times."""
+    runs = F.count_distinct("run_id").alias("job_run_count")
+    return _rolled(rows.groupBy(*keys).agg(runs, *_weighted()), keys)
+
+
+def risk_parts(rows: DataFrame) -> DataFrame:
+    """Mergeable parts of the risk rollups per job-day: sums, and runs as bitmaps.
+
+    ``rows`` are those of ``risk_rollup`` with ``run_no``, the run id's number.  A part
+    holds the runs of one block of numbers as bits, so that parts of different jobs and
+    workspaces merge to exact distinct counts.
+    """
+    runs = F.bitmap_construct_agg(F.bitmap_bit_position("run_no")).alias("runs")
+    block = F.bitmap_bucket_number("run_no").alias("run_block")
+    return rows.groupBy(*JOB_DAY_KEYS, block).agg(runs, *_weighted())
+
+
+def _sums() -> list[Column]:
+    names = [name for name, _ in _RISK_SUMS.values()]
+    names += [f"{x}_{m}" for m in _RISK_MEANS for x in ("sum", "n")]
+    return [F.sum(n).alias(n) for n in names]
+
+
+def merged_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Parts of job-days (or of any finer keys) merged to ``keys``, block by block."""
+    return parts.groupBy(*keys, "run_block").agg(F.bitmap_or_agg("runs").alias("runs"), *_sums())
+
+
+def parts_rollup(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``risk_rollup`` from the parts of ``keys``: one per group and block of runs."""
+    runs = F.sum(F.bitmap_count("runs")).alias("job_run_count")
+    return _rolled(parts.groupBy(*keys).agg(runs, *_sums()), keys)
+
+
+def _rolled(total: DataFrame, keys: Sequence[str]) -> DataFrame:
+    def mean(name: str) -> Column:
+        value = F.try_divide(F.col(f"sum_{name}"), F.col(f"n_{name}"))
+        return (value / F.lit(1e9) if "network_gb" in name else value).alias(name)
+
+    return total.select(
+        *keys,
+        "total_duration_seconds",
+        *[mean(m) for m in _RISK_MEANS],
+        "job_run_count",
+        F.col("revenue").cast("decimal(28,4)").alias("revenue"),
+        "total_revenue_at_risk",
+        "revenue_at_risk_utilization",
+        "revenue_at_risk_all_purpose_jobs",
     )
 
 
+RISK_LEVELS = {"account": ACCOUNT_DAY_KEYS, "workspace": WORKSPACE_DAY_KEYS, "job": JOB_DAY_KEYS}
+
+
+def risk_levels(parts: DataFrame) -> DataFrame:
+    """The three rollups in one table, with the level's name; keys of finer levels are null.
+
+    Account-days are merged from the parts of workspace-days, those from job-days.
+    """
+    by_workspace = merged_parts(parts, WORKSPACE_DAY_KEYS)
+    sources = {"job": parts, "workspace": by_workspace, "account": merged_parts(by_workspace, ACCOUNT_DAY_KEYS)}
+    out = None
+    for level, keys in RISK_LEVELS.items():
+        rolled = parts_rollup(sources[level], keys)
+        finer = [
+            F.lit(None).cast(parts.schema[k].dataType).alias(k) for k in JOB_DAY_KEYS if k not in keys
+        ]
+        rows = rolled.select(F.lit(level).alias("level"), *rolled.columns, *finer)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # F8-F11 -----------------------------------------------------------------------
 # cost-core column -> output total.  The output names of the account tables (these, the
 # dat_/dts_ sums, and those selected in plans/pipeline.py) are fixed values: the published
@@ -191,16 +275,15 @@ def unit_totals(days: DataFrame) -> DataFrame:
 def with_unit_totals(days: DataFrame) -> DataFrame:
     """The day's unit totals on each account row.
 
-    A window over (date, bu_1) of the aggregated account rows; null keys get no
-    totals, as in the join.
+    The totals, a row per (date, bu_1) summed with map-side partials, are joined to
+    the account rows, so a unit that holds most accounts is not gathered in one task:
+    adaptive execution broadcasts the totals or splits the unit.  Null keys get none.
     """
-    unit = Window.partitionBy("date", "bu_1")
-    known = F.col("date").isNotNull() & F.col("bu_1").isNotNull()
-    return days.select(
-        "*",
-        F.when(known, F.sum("dat_acnt").over(unit)).alias("dat_bu1"),
-        F.when(known, F.sum("dts_acnt").over(unit)).alias("dts_bu1"),
+    totals = unit_totals(days).select(
+        F.col("date").alias("unit_date"), F.col("bu_1").alias("unit_bu_1"), "dat_bu1", "dts_bu1"
     )
+    same = (days["date"] == totals["unit_date"]) & (days["bu_1"] == totals["unit_bu_1"])
+    return days.join(totals, same, "left").select(*days.columns, "dat_bu1", "dts_bu1")
 
 
 def account_totals(days: DataFrame) -> DataFrame:

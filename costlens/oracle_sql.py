@@ -396,6 +396,28 @@ cte("risk_rollup_job", _rollup(
     "account_id, account_name, workspace_name, workspace_id, bu, region, bu_1, bu_2, bu_3, date, job_id"),
     "run_risk")
 
+_JOB_KEYS = "account_id, account_name, workspace_name, workspace_id, bu, region, bu_1, bu_2, bu_3, date, job_id"
+_LEVELS = {"account": ("workspace_name", "workspace_id", "job_id"), "workspace": ("job_id",), "job": ()}
+
+
+def _level(name: str, finer: tuple[str, ...]) -> str:
+    keys = ", ".join(f"NULL AS {k}" if k in finer else k for k in _JOB_KEYS.split(", "))
+    group = ", ".join(k for k in _JOB_KEYS.split(", ") if k not in finer)
+    return f"SELECT '{name}' AS level, {keys}, {_ROLLUP_AGGS}\nFROM run_risk GROUP BY {group}"
+
+
+cte("risk_rollup_levels", "\nUNION ALL\n".join(_level(n, f) for n, f in _LEVELS.items()), "run_risk")
+
+cte("run_line_copies", """
+SELECT date, workspace_id, cluster_id, job_id, run_id, count(*) AS copies
+FROM (SELECT r.*, u.usage_origin, u.sku_name, c.auto_termination_minutes
+      FROM (SELECT DISTINCT * FROM runs_scoped) r
+      LEFT JOIN (SELECT DISTINCT date, workspace_id, cluster_id, usage_origin, sku_name FROM usage) u
+        USING (date, workspace_id, cluster_id)
+      LEFT JOIN (SELECT DISTINCT workspace_id, cluster_id, auto_termination_minutes FROM configs_scoped) c
+        USING (workspace_id, cluster_id))
+GROUP BY ALL""", "runs_scoped", "usage", "configs_scoped")
+
 cte("risk_rollup_account_lines", _rollup(
     "account_id, account_name, bu, region, bu_1, bu_2, bu_3, date", "run_lines_risk"), "run_lines_risk")
 
@@ -682,6 +704,7 @@ DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
     "risk_rollup_account": _ROLLUP_MONEY,
     "risk_rollup_workspace": _ROLLUP_MONEY,
     "risk_rollup_job": _ROLLUP_MONEY,
+    "risk_rollup_levels": _ROLLUP_MONEY,
     "risk_rollup_account_lines": _ROLLUP_MONEY,
     "account_cost_core": ("idle_revenue", "all_purpose_job_revenue", "corrected_all_purpose_job_revenue", "rounded_revenue", "failed_revenue_half", "revenue_after_failures"),
     "account_cost_totals": ("idle_revenue", "interactive_risk_dollars", "interactive_usage_dollar_adjusted_100pct", "usage_amount", "failed_workload_risk_dollars", "failed_workload_usage_dollar_adjusted_50pct"),
@@ -705,5 +728,6 @@ for _key, _of in {
     "warehouse_util_by_account_once": "warehouse_util_by_account",
     "cluster_idle_with_config_scoped": "cluster_idle_with_config",
     "stored_account_risk": "account_risk",
+    "refreshed_account_risk": "account_risk",
 }.items():
     DECIMAL_COLUMNS[_key] = DECIMAL_COLUMNS[_of]

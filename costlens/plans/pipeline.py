@@ -222,6 +222,41 @@ class Pipeline:
         """Runs with usage origin and SKU (distinct per run key, X3)."""
         return self._with_usage(self.runs_scoped)
 
+    def _with_copies(self, runs: DataFrame) -> DataFrame:
+        """D5/D6 factorised: each run with the number of rows that its usage and settings
+        lines fan it out to, instead of those rows."""
+
+        def counted(lines: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+            n = lines.distinct().groupBy(*keys).agg(F.count("*").alias("lines"))
+            return _rename(n, f"{prefix}_", [*keys, "lines"])
+
+        usage_keys, config_keys = ["date", "workspace_id", "cluster_id"], ["workspace_id", "cluster_id"]
+        u = counted(self.usage.select(*usage_keys, "usage_origin", "sku_name"), usage_keys, "usage")
+        c = counted(self.configs_scoped.select(*config_keys, "auto_termination_minutes"), config_keys, "config")
+        out = runs.join(u, [runs[k] == u[f"usage_{k}"] for k in usage_keys], "left")
+        out = out.join(c, [runs[k] == c[f"config_{k}"] for k in config_keys], "left")
+        one = F.lit(1).cast("long")
+        copies = F.coalesce("usage_lines", one) * F.coalesce("config_lines", one)
+        return out.select(*runs.columns, copies.alias("copies"))
+
+    @cached_property
+    def run_line_copies(self) -> DataFrame:
+        """D5/D6 factorised: rows of ``run_worker_profile`` per distinct run."""
+        return self._with_copies(self.runs_scoped.distinct()).select(*RUN_KEYS, "copies")
+
+    @cached_property
+    def run_numbers(self) -> DataFrame:
+        """A number for each run id, dense within a workspace-day and its jobs.
+
+        Adaptive execution splits a large workspace-day and merges small ones; runs of
+        one job follow each other, so their bits share few blocks.
+        """
+        place = F.min(F.struct("date", "workspace_id", "job_id")).alias("place")
+        runs = self.runs_scoped.groupBy("run_id").agg(place)
+        runs = runs.select("run_id", "place", "place.date", "place.workspace_id")
+        runs = runs.hint("rebalance", "date", "workspace_id").sortWithinPartitions("place", "run_id")
+        return runs.select("run_id", F.monotonically_increasing_id().alias("run_no"))
+
     @cached_property
     def runs_with_config(self) -> DataFrame:
         """Runs with auto-termination settings (whole history, distinct, X3)."""
@@ -240,11 +275,19 @@ class Pipeline:
         those of the group-by and the joins before carry no copies.
         """
         runs = self.runs_scoped.distinct()
-        prof = intervals.run_profile(runs, self.timeline_scoped, self.p, roles=roles)
+        if "worker" in roles:
+            prof = self.run_profile
+        else:
+            prof = intervals.run_profile(runs, self.timeline_scoped, self.p, roles=roles)
         wide = self._with_config(self._with_usage(prof))
         extra = ["usage_origin", "sku_name", "auto_termination_minutes"]
         return wide.select(*runs.columns, *extra, *intervals.profile_columns(roles))
 
+    @cached_property
+    def run_profile(self) -> DataFrame:
+        """D7/D8 + F3/F4 before the fan-out: one row per distinct run."""
+        return intervals.run_profile(self.runs_scoped.distinct(), self.timeline_scoped, self.p)
+
     @cached_property
     def run_driver_profile(self) -> DataFrame:
         """D7 + F3."""
@@ -302,13 +345,17 @@ class Pipeline:
 
     @cached_property
     def _rollup_rows(self) -> DataFrame:
-        """Rows of the risk rollups: literally one per cost line, SKU and setting of its
-        run; with ``count_cost_once`` (X22) the run is not fanned out by usage and
-        settings, so each cost line is summed once."""
-        if not self.p.count_cost_once:
-            return self.run_risk
-        runs = self.runs_scoped.distinct()
-        prof = intervals.run_profile(runs, self.timeline_scoped, self.p)
+        """The cost lines of runs that the risk rollups sum, each once.
+
+        Literally a line counts once per usage and settings line of its run; ``copies``
+        says how often, and the wide rows are never copied.  With ``count_cost_once``
+        (X22) each line counts once.
+        """
+        prof = self.run_profile
+        if self.p.count_cost_once:
+            prof = prof.withColumn("copies", F.lit(1).cast("long"))
+        else:
+            prof = self._with_copies(prof)
         derived = add_utilization(self._costs_mapped(prof))
         risk = add_utilization_risk(derived, self.p, self.p.average_utilization_penalty)
         return add_run_risk(risk, self.p, self.p.null_product_penalty)
@@ -325,6 +372,37 @@ class Pipeline:
     def risk_rollup_job(self) -> DataFrame:
         return rollups.risk_rollup(self._rollup_rows, rollups.JOB_DAY_KEYS)
 
+    # The same three from one pass: job-days with their runs as bitmaps, merged upwards.
+    @cached_property
+    def risk_job_parts(self) -> DataFrame:
+        """The one pass over the cost lines, mergeable to every level."""
+        rows = self._rollup_rows
+        numbers = self.run_numbers.select(F.col("run_id").alias("numbered_run"), "run_no")
+        rows = rows.join(numbers, rows["run_id"] == numbers["numbered_run"], "left")
+        return rollups.risk_parts(rows)
+
+    @cached_property
+    def risk_workspace_parts(self) -> DataFrame:
+        return rollups.merged_parts(self.risk_job_parts, rollups.WORKSPACE_DAY_KEYS)
+
+    @cached_property
+    def merged_rollup_account(self) -> DataFrame:
+        parts = rollups.merged_parts(self.risk_workspace_parts, rollups.ACCOUNT_DAY_KEYS)
+        return rollups.parts_rollup(parts, rollups.ACCOUNT_DAY_KEYS)
+
+    @cached_property
+    def merged_rollup_workspace(self) -> DataFrame:
+        return rollups.parts_rollup(self.risk_workspace_parts, rollups.WORKSPACE_DAY_KEYS)
+
+    @cached_property
+    def merged_rollup_job(self) -> DataFrame:
+        return rollups.parts_rollup(self.risk_job_parts, rollups.JOB_DAY_KEYS)
+
+    @cached_property
+    def risk_rollup_levels(self) -> DataFrame:
+        """F5-F7 in one table, from one pass."""
+        return rollups.risk_levels(self.risk_job_parts)
+
     # -- entry B: account-level risk -------------------------------------------------------
     @cached_property
     def account_cost_core(self) -> DataFrame:

@@ -9,7 +9,7 @@ the stage in flight.  Give ``base``, a catalog ``database``, or set the session'
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from costlens.operators import scope
 from costlens.params import Params
@@ -24,8 +24,13 @@ STORED = (
     ("configs_scoped", (), ()),
     ("mapping_scoped", D, ("date", "workspace_id", "crm_account_id", "account_id")),
     ("workload_usage_daily", D, ()),
+    # Intermediate: profiles before their fan-out, which the risk rollups start from.
+    ("run_profile", D, ()),
     ("run_worker_profile", D, ("date", "workspace_id", "cluster_id", "job_id")),
     ("run_risk", D, ()),
+    # Intermediate: the one pass over the cost lines that all three rollups merge.
+    ("risk_job_parts", D, ()),
+    ("risk_workspace_parts", D, ()),
     ("risk_rollup_account", D, ()),
     ("risk_rollup_job", D, ()),
     ("risk_rollup_workspace", D, ()),
@@ -38,9 +43,21 @@ STORED = (
     ("run_risk_combined", D, ()),
 )
 
+# Stored datasets that are planned over stored parts rather than in a pass of their own.
+FROM_PARTS = {
+    "risk_rollup_account": "merged_rollup_account",
+    "risk_rollup_workspace": "merged_rollup_workspace",
+    "risk_rollup_job": "merged_rollup_job",
+}
+
 COMMENTS = {"account_risk": "Dollars at risk and in use, per account dimensions and day"}
 
 
+def planned(pl: Pipeline, name: str) -> DataFrame:
+    """The dataset as it is written: over stored parts where it has some."""
+    return getattr(pl, FROM_PARTS.get(name, name))
+
+
 def run_pipeline(
     spark: SparkSession,
     sources: Sources,
@@ -68,11 +85,11 @@ def run_pipeline(
             if not _is_stored(spark, loc, database):
                 continue
         elif database is None:
-            write_table(getattr(pl, name), path=loc, partition_by=partition_by, cluster_by=cluster_by)
+            write_table(planned(pl, name), path=loc, partition_by=partition_by, cluster_by=cluster_by)
             out[name] = loc
         else:
             write_table(
-                getattr(pl, name),
+                planned(pl, name),
                 table=loc,
                 partition_by=partition_by,
                 cluster_by=cluster_by,

@@ -18,7 +18,7 @@ AVERAGES = {
 }
 SF = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
-KEYS = [*E.DATASETS, *E.OPTIONS, "stored_account_risk"]
+KEYS = [*E.DATASETS, *E.OPTIONS, *E.STORED]
 _CONNECTIONS = {}
 
 
