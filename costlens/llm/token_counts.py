@@ -9,8 +9,8 @@ new pairs beside it are queued; a queued pair that has changed since is passed
 over.  Each merge takes one symbol away, so **the count is the initial symbols
 minus the merges**; no identifier is ever made.  Pairs of equal rank wait in one
 list per rank, so the heap holds ranks, not positions, and a piece costs about
-twenty bytes of memory per byte, whatever its length.  Counts of short stretches
-between white space are memoised in a table of bounded size.
+twenty bytes of memory per byte, whatever its length.  Counts of short pieces
+and of short stretches between white space are memoised in one table of bounded size.
 
 Strings of the file's added tokens inside a text are taken out first and count as
 one token each, as the tokenizer library does by default; no begin, end or other
@@ -32,9 +32,10 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from heapq import heappop, heappush
+from heapq import heapify, heappop, heappush
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -44,8 +45,10 @@ from costlens.llm.common import map_batches
 MAX_FILE_BYTES = 64 << 20
 LIMIT = 2048  # tokens of a training sequence
 STRETCH = 1 << 20  # characters looked at together
-CHUNKS_KEPT = 300_000  # memoised stretches between white space, per worker
-CHUNK_KEPT_CHARS = 40
+STRINGS_KEPT = 1_000_000  # memoised stretches and pieces per worker (about 120 MB)
+KEPT_CHARS = 40
+LONG = 4096  # bytes from which a piece is held in arrays of machine integers
+GONE = -(1 << 30)  # a symbol merged into the one before it; makes no pair
 
 WHITE = regex.compile(r"\p{White_Space}+")
 # Capitals that str.lower gets wrong.  It turns a sigma at a word's end
@@ -95,66 +98,85 @@ class PairMerger:
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.ranks[vocab[left] * self.width + vocab[right]] = rank
             self.merged.append(vocab[left + right])
-        self._chunks: dict[str, int] = {}
+        self._known: dict[str, int] = {}
 
     def merges(self, piece: bytes) -> int:
         """How many merges the bytes of one piece undergo."""
-        n = len(piece)
-        ranks, merged, width = self.ranks, self.merged, self.width
-        symbols = array("i", map(self.inner.__getitem__, piece))
+        n, width, merged, rank_of = len(piece), self.width, self.merged, self.ranks.get
+        symbols = [*map(self.inner.__getitem__, piece)] if n < LONG else array("i", map(self.inner.__getitem__, piece))
         symbols[-1] = self.last[piece[-1]]
-        after = array("i", range(1, n + 1))  # n: none
-        before = array("i", range(-1, n - 1))  # -1: none
-        heap: list[int] = []
-        waiting: dict[int, array] = {}  # rank -> left ends of pairs of that rank
-
-        def queue(at: int) -> None:
-            rank = ranks.get(symbols[at] * width + symbols[after[at]])
+        after, before = range(1, n + 1), range(-1, n - 1)  # n and -1: none
+        after, before = ([*after], [*before]) if n < LONG else (array("i", after), array("i", before))
+        waiting: dict[int, list[int] | array] = {}  # rank -> left ends of pairs of that rank
+        for at in range(n - 1):
+            rank = rank_of(symbols[at] * width + symbols[at + 1])
             if rank is not None:
-                if rank not in waiting:
-                    waiting[rank] = array("i")
-                    heappush(heap, rank)
+                if rank in waiting:
+                    waiting[rank].append(at)
+                else:
+                    waiting[rank] = [at] if n < LONG else array("i", (at,))
+        heap = list(waiting)
+        heapify(heap)
+
+        def queue(rank: int, at: int) -> None:
+            if rank in waiting:
                 waiting[rank].append(at)
+            else:
+                waiting[rank] = [at] if n < LONG else array("i", (at,))
+                heappush(heap, rank)
 
-        for at in range(n - 1):
-            queue(at)
         done = 0
         while heap:
             rank = heappop(heap)
-            places = sorted(waiting.pop(rank))
+            places = waiting.pop(rank)
+            if len(places) > 1:
+                places = sorted(places) if n < LONG else array("i", np.sort(places).tobytes())
             for turn, at in enumerate(places):
                 right = after[at]
-                if symbols[at] < 0 or right == n:
-                    continue
-                if ranks.get(symbols[at] * width + symbols[right]) != rank:
+                if right == n or rank_of(symbols[at] * width + symbols[right]) != rank:
                     continue  # the pair has changed since it was queued
-                symbols[at], symbols[right] = merged[rank], -1
+                symbol = symbols[at] = merged[rank]
+                symbols[right] = GONE
                 after[at] = beyond = after[right]
+                done += 1
                 if beyond < n:
                     before[beyond] = at
-                    queue(at)
-                if before[at] >= 0:
-                    queue(before[at])
-                done += 1
+                    new = rank_of(symbol * width + symbols[beyond])
+                    if new is not None:
+                        queue(new, at)
+                left = before[at]
+                if left >= 0:
+                    new = rank_of(symbols[left] * width + symbol)
+                    if new is not None:
+                        queue(new, left)
                 if heap and heap[0] < rank:  # a lower rank came up: the rest waits
                     for rest in places[turn + 1 :]:
-                        if rank not in waiting:
-                            waiting[rank] = array("i")
-                            heappush(heap, rank)
-                        waiting[rank].append(rest)
+                        queue(rank, rest)
                     break
         return done
 
+    def _keep(self, string: str, count: int) -> None:
+        if len(string) <= KEPT_CHARS:
+            if len(self._known) >= STRINGS_KEPT:
+                self._known.clear()
+            self._known[string] = count
+
     def _chunk(self, chunk: str) -> int:
-        """Tokens of one stretch without white space: initial symbols minus merges."""
+        """Tokens of one stretch without white space: initial symbols minus merges.
+
+        Pieces are memoised beside the stretches they come from: the pattern finds
+        a piece again when it stands alone, so one table serves both.
+        """
         total = 0
         for match in self.pattern.finditer(chunk):
-            piece = match[0].encode()
-            total += len(piece) - self.merges(piece)
-        if len(chunk) <= CHUNK_KEPT_CHARS:
-            if len(self._chunks) >= CHUNKS_KEPT:
-                self._chunks.clear()
-            self._chunks[chunk] = total
+            piece = match[0]
+            n = self._known.get(piece)
+            if n is None:
+                raw = piece.encode()
+                n = len(raw) - self.merges(raw)
+                self._keep(piece, n)
+            total += n
+        self._keep(chunk, total)
         return total
 
     def _plain(self, text: str) -> int:
@@ -164,7 +186,7 @@ class PairMerger:
             text = text.replace(capital, small)
         text = text.lower()
         split = WHITE.split if NOT_WHITE.search(text) else str.split
-        known, new = self._chunks.get, self._chunk
+        known, new = self._known.get, self._chunk
         total = 0
         for part in stretches(text):
             for chunk in split(part):

@@ -67,10 +67,10 @@ def test_long_texts_are_counted_in_stretches(monkeypatch):
 
 
 def test_bounded_memo_table(monkeypatch):
-    monkeypatch.setattr(T, "CHUNKS_KEPT", 3)
+    monkeypatch.setattr(T, "STRINGS_KEPT", 3)
     m = T.PairMerger(json.load(open(PATH)))
     text = " ".join(f"word{i} zyxwvut{i}" for i in range(50))
-    assert [m.count(text)] == expected([text]) and len(m._chunks) <= 3
+    assert [m.count(text)] == expected([text]) and len(m._known) <= 3
 
 
 def test_merges_wait_for_a_lower_rank():
