@@ -276,31 +276,37 @@ class KeyFilter:
         return held
 
 
+def rows_where(
+    docs: DataFrame, key: Column, test: Callable[[np.ndarray], np.ndarray], nulls: bool = False
+) -> DataFrame:
+    """The rows whose key (a long) passes ``test``, and with ``nulls`` those without a key.
+
+    Columns stay as they came, whatever their names; a scan, nothing is shuffled.
+    """
+    names, schema = docs.columns, docs.schema
+    own = [docs[c].alias(f"column_{i}") for i, c in enumerate(names)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tested = batch.column(0)
+            passed = test(tested.fill_null(0).to_numpy(zero_copy_only=False))
+            valid = tested.is_valid().to_numpy(zero_copy_only=False)
+            rest = pa.RecordBatch.from_arrays(batch.columns[1:], names=names)
+            yield rest.filter(pa.array(np.where(valid, passed, nulls)))
+
+    bound_batches(docs.sparkSession)
+    return docs.select(key.cast("long").alias("tested"), *own).mapInArrow(run, schema)
+
+
 def split_by_keys(
     docs: DataFrame, key: str | Column, keys: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """(rows whose ``key`` is surely not in ``keys``, all other rows), columns as they came.
 
-    ``key`` is a column of ``docs`` or made of its columns; ``keys`` has one long column.  Both parts are cut out in scans, so the rows of
-    the first, nearly all when the keys are few, are never shuffled.  Null keys
-    are in the first part.
+    ``key`` is a column of ``docs`` or made of its columns; ``keys`` has one long column.
+    Both parts are cut out in scans, so the rows of the first, nearly all when the keys
+    are few, are never shuffled.  Null keys are in the first part.
     """
     held = KeyFilter(keys, keys.columns[0]).lookup()
-    names, schema = docs.columns, docs.schema
-    own = [docs[c].alias(f"column_{i}") for i, c in enumerate(names)]
     tested = docs[key] if isinstance(key, str) else key
-    rows = docs.select(tested.cast("long").alias("tested"), *own)
-
-    def part(wanted: bool) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                tested = batch.column(0)
-                maybe = held(tested.fill_null(0).to_numpy(zero_copy_only=False))
-                maybe &= tested.is_valid().to_numpy(zero_copy_only=False)
-                rest = pa.RecordBatch.from_arrays(batch.columns[1:], names=names)
-                yield rest.filter(pa.array(maybe == wanted))
-
-        return rows.mapInArrow(run, schema)
-
-    bound_batches(docs.sparkSession)
-    return part(False), part(True)
+    return rows_where(docs, tested, lambda k: ~held(k), nulls=True), rows_where(docs, tested, held)

@@ -40,11 +40,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlens.llm.common import (
+    KeyFilter,
     Workspace,
     byte_table,
     hash_words,
     map_batches,
-    split_by_keys,
+    rows_where,
     text_buffer,
 )
 from costlens.llm.labelled import class_counts, fold_number, training_sample
@@ -348,10 +349,12 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     judged = ws.keep(_judged(docs, fit_evidence(ws, docs, labels)).drop("doc_id"), "judged")
     decided = ws.keep(_decided(ws, judged).select("mark", "second", "kept"), "decided")
     bad = ws.keep(decided.filter("not kept").select("mark", "second").distinct(), "rejected")
-    free, maybe = split_by_keys(docs, _marks(docs)[0], bad.select("mark"))
+    rejected = KeyFilter(bad, "mark").lookup()
     good = decided.filter("kept").select("mark").distinct()
-    _, doubtful = split_by_keys(good, "mark", bad.select("mark"))
-    _, between = split_by_keys(maybe, _marks(maybe)[0], ws.keep(doubtful, "doubtful"))
+    doubtful = ws.keep(rows_where(good, good["mark"], rejected), "doubtful")
+    kept = KeyFilter(doubtful, "mark").lookup()
+    free = rows_where(docs, _marks(docs)[0], lambda k: ~rejected(k))
+    between = rows_where(docs, _marks(docs)[0], lambda k: rejected(k) & kept(k))
     mark, second = _marks(between)
     same = (mark == bad["mark"]) & (second == bad["second"])
     return free.unionByName(between.join(bad, same, "left_anti"))
