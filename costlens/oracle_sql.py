@@ -233,6 +233,22 @@ SELECT m.* FROM mapping m WHERE EXISTS (
   SELECT 1 FROM scope s WHERE s.workspace_id = m.workspace_id AND s.crm_account_id = m.crm_account_id
     AND s.account_id = m.account_id) AND m.date >= {START}""", "mapping", "scope")
 
+_LINE_TEXT = ", ".join(
+    f"coalesce({c.strip()}::VARCHAR, '<null>')" for c in _MAP_COLS.split(",") if c.strip() != "date")
+
+# Days of a key with the same list of lines, one after the other, are one period.
+cte("mapping_periods", f"""
+SELECT m.* EXCLUDE (date), p.valid_from, p.valid_to FROM mapping m JOIN (
+  SELECT workspace_id, crm_account_id, min(date) AS valid_from, max(date) AS valid_to
+  FROM (SELECT *, sum(new) OVER (PARTITION BY workspace_id, crm_account_id ORDER BY date) AS period
+        FROM (SELECT *, CASE WHEN lag(date) OVER w = date - 1 AND lag(state) OVER w = state THEN 0 ELSE 1 END AS new
+              FROM (SELECT workspace_id, crm_account_id, date, list(d ORDER BY d) AS state
+                    FROM (SELECT workspace_id, crm_account_id, date, concat_ws('|', {_LINE_TEXT}) AS d FROM mapping) GROUP BY ALL)
+              WINDOW w AS (PARTITION BY workspace_id, crm_account_id ORDER BY date)))
+  GROUP BY workspace_id, crm_account_id, period) p
+ON m.workspace_id IS NOT DISTINCT FROM p.workspace_id AND m.crm_account_id IS NOT DISTINCT FROM p.crm_account_id
+   AND m.date = p.valid_from""", "mapping")
+
 cte("warehouse_scoped", """
 SELECT w.* FROM warehouse w WHERE EXISTS (SELECT 1 FROM scope s WHERE s.workspace_id = w.workspace_id)""",
     "warehouse", "scope")
@@ -726,6 +742,8 @@ for _key, _of in {
     "run_utilization_risk_sum": "run_utilization_risk",
     "run_worker_profile_any_date": "run_worker_profile",
     "warehouse_util_by_account_once": "warehouse_util_by_account",
+    "run_costs_mapped_periods": "run_costs_mapped",
+    "account_cost_totals_periods": "account_cost_totals",
     "cluster_idle_with_config_scoped": "cluster_idle_with_config",
     "stored_account_risk": "account_risk",
     "refreshed_account_risk": "account_risk",

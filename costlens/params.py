@@ -87,6 +87,10 @@ class Params:
     # (the reference leaves them unscoped).
     scope_cluster_metrics: bool = False
 
+    # Costs meet the account mapping as validity intervals (its changes), looked
+    # up per day, instead of as a row per workspace and day; same results.
+    mapping_periods: bool = False
+
     def __post_init__(self):
         object.__setattr__(self, "start_date", _as_date(self.start_date, "start_date"))
         cd = self.start_date if self.change_date is None else self.change_date

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens.functions import rules
-from costlens.operators import intervals, rollups, scope
+from costlens.operators import intervals, rollups, scope, validity
 from costlens.params import Params
 from costlens.sources import Sources
 from costlens.sources import adapters as A
 
 RUN_KEYS = ["date", "workspace_id", "cluster_id", "job_id", "run_id"]
+MAPPING_KEY = ["workspace_id", "crm_account_id"]
 MAPPING_DIMS = [
     "crm_account_id",
     "account_id",
@@ -202,6 +203,28 @@ class Pipeline:
         m = scope.mapping_in_scope(self.mapping, self.scope)
         return A.since(m, "date", self.p.start_date)
 
+    @cached_property
+    def mapping_periods(self) -> DataFrame:
+        """A12 as validity intervals: the mapping's changes instead of its days."""
+        return validity.periods(self.mapping, MAPPING_KEY)
+
+    @cached_property
+    def mapping_scoped_periods(self) -> DataFrame:
+        """D3 on the intervals: a line is in scope on all its days or on none."""
+        return scope.mapping_in_scope(self.mapping_periods, self.scope)
+
+    @cached_property
+    def mapping_from_periods(self) -> DataFrame:
+        """The daily rows, given back by the intervals."""
+        return validity.lines(self.mapping_scoped_periods).select(*self.mapping.columns)
+
+    def _mapping_for(self, costs: DataFrame, scoped: bool) -> DataFrame:
+        """The mapping lines that ``costs`` can meet: looked up in the intervals, or per day."""
+        if not self.p.mapping_periods:
+            return self.mapping_scoped if scoped else self.mapping
+        table = self.mapping_scoped_periods if scoped else self.mapping_periods
+        return validity.in_force(costs, table, MAPPING_KEY)
+
     @cached_property
     def warehouse_scoped(self) -> DataFrame:
         return scope.warehouse_in_scope(self.warehouse, self.scope)
@@ -311,7 +334,7 @@ class Pipeline:
     def _costs_mapped(self, profiles: DataFrame) -> DataFrame:
         util = A.since(profiles, "date", self.p.start_date)
         costs = _rename(self.costs_with_run, "c_", [*RUN_KEYS, "crm_account_id", *COST_COLS])
-        mp = _rename(self.mapping_scoped, "m_", ["date", "workspace_id", *MAPPING_DIMS])
+        mp = _rename(self._mapping_for(self.costs_with_run, scoped=True), "m_", ["date", "workspace_id", *MAPPING_DIMS])
         cm = costs.join(
             mp,
             (costs["c_date"] == mp["m_date"])
@@ -407,7 +430,7 @@ class Pipeline:
     @cached_property
     def account_cost_core(self) -> DataFrame:
         """D12 + E2-E9: cost rows with account dims and dollar rules."""
-        c, m = self.costs, self.mapping
+        c, m = self.costs, self._mapping_for(self.costs, scoped=False)
         j = c.join(m, ["date", "workspace_id", "crm_account_id"], "inner")
         j = A.since(j, "date", self.p.start_date)
         prod, sku, name, rev = (

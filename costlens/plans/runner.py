@@ -22,6 +22,8 @@ D = ("date",)
 STORED = (
     ("scope", (), ()),
     ("configs_scoped", (), ()),
+    # Intermediate, if costs look the mapping up in its intervals.
+    ("mapping_periods", (), ("workspace_id", "crm_account_id")),
     ("mapping_scoped", D, ("date", "workspace_id", "crm_account_id", "account_id")),
     ("workload_usage_daily", D, ()),
     # Intermediate: profiles before their fan-out, which the risk rollups start from.
@@ -50,11 +52,16 @@ FROM_PARTS = {
     "risk_rollup_job": "merged_rollup_job",
 }
 
+# Stored only with the option of the same name.
+OPTIONAL = ("mapping_periods",)
+
 COMMENTS = {"account_risk": "Dollars at risk and in use, per account dimensions and day"}
 
 
 def planned(pl: Pipeline, name: str) -> DataFrame:
     """The dataset as it is written: over stored parts where it has some."""
+    if name == "mapping_scoped" and pl.p.mapping_periods:
+        return pl.mapping_from_periods
     return getattr(pl, FROM_PARTS.get(name, name))
 
 
@@ -81,6 +88,8 @@ def run_pipeline(
     out = {}
     for name, partition_by, cluster_by in STORED:
         loc = f"{base}/{name}" if database is None else f"{database}.{name}"
+        if name in OPTIONAL and not getattr(params, name):
+            continue
         if only is not None and name not in only:
             if not _is_stored(spark, loc, database):
                 continue
