@@ -26,6 +26,10 @@ plan here instead
    by minute; the (at most two) buckets at the window's edges meet the minute
    rows.  So a window meets about two rows per covered bucket, plus the
    minutes of its edges, whatever its length and the data volume;
+   Where windows may span days (``same_date`` off), the buckets inside are met in
+   dyadic blocks: a block of level j holds 2^j buckets and one row per role, and a
+   window is covered by at most two blocks per level, so a month costs some twenty
+   rows instead of one per bucket;
 4. merges the partial aggregates per window and left-joins them back to the
    runs, so runs without samples keep null profiles.
 
@@ -161,22 +165,110 @@ def _window_buckets(runs: DataFrame, p: Params) -> DataFrame:
     return w.withColumn("_level", F.explode(F.array(level, F.lit(_CROSS))))
 
 
+# Levels of dyadic blocks: 2^12 buckets of an hour are 170 days; a longer window takes
+# one block of the highest level per 170 days.
+MAX_LEVEL = 12
+
+
+def _block_levels(levels: DataFrame, p: Params) -> DataFrame:
+    """The rows of ``_two_levels`` as blocks of 2^j buckets, j = 0 .. ``MAX_LEVEL``.
+
+    A block's row holds all samples that begin and end in it; a sample that crosses
+    the block's end is met by itself.  Bucket rows are merged upwards, so the work
+    grows with buckets, not samples.  Samples of any date count, so the date goes.
+    """
+    up = F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVEL))).alias("_j")
+    rows = levels.where(F.col("_level") != _EDGE).select("*", up)
+    rows = rows.withColumn("_block", F.floor(F.col("_bucket") / F.pow(F.lit(2), F.col("_j"))))
+    width = F.lit(p.bucket_seconds) * F.pow(F.lit(2), F.col("_j")).cast("long")
+    begin = F.timestamp_seconds(F.col("_block") * width)
+    end = F.timestamp_seconds((F.col("_block") + 1) * width)
+    inside = F.col("_e") <= end
+    keys = ["workspace_id", "cluster_id", "driver", "_j", "_block"]
+    level = F.when(inside, F.lit(_WHOLE)).otherwise(F.lit(_CROSS))
+    rows = rows.select(
+        *[c for c in rows.columns if c not in ("date", "_bucket", "_level", "_a", "_e")],
+        level.alias("_level"),
+        F.when(inside, begin).otherwise(F.col("_a")).alias("_a"),
+        F.when(inside, end).otherwise(F.col("_e")).alias("_e"),
+    )
+    merge = {"mn_": F.min, "mx_": F.max}
+    partials = [c for c in rows.columns if c not in (*keys, "_level", "_a", "_e")]
+    merged = rows.groupBy(*keys, "_level", "_a", "_e").agg(
+        *[merge.get(c[:3], F.sum)(c).alias(c) for c in partials]
+    )
+    # The minute rows of buckets at the edges of a window stay as they are.
+    edges = levels.where(F.col("_level") == _EDGE).drop("date")
+    edges = edges.withColumn("_j", F.lit(0)).withColumnRenamed("_bucket", "_block")
+    return merged.unionByName(edges)
+
+
+_PIECES = "array<struct<j:int,block:bigint,level:int>>"
+
+
+def _top_piece(j: int, level: int):
+    return lambda b: F.struct(F.lit(j).alias("j"), b.alias("block"), F.lit(level).alias("level"))
+
+
+def _window_blocks(runs: DataFrame, p: Params) -> DataFrame:
+    """Distinct run windows: the blocks they meet, two per level at most, and the edges."""
+    w = runs.select(*WINDOW_KEY).where(
+        F.col("run_start_floor").isNotNull() & F.col("run_term_ceil").isNotNull()
+    ).distinct()
+    w = w.select(
+        "*",
+        _bucket(F.col("run_start_floor"), p.bucket_seconds).alias("_lo"),
+        _bucket(F.col("run_term_ceil"), p.bucket_seconds).alias("_hi"),
+    ).where(F.col("_lo") <= F.col("_hi"))
+    # Buckets wholly inside: from the first that begins in the window up to the last that ends in it.
+    starts_in = F.timestamp_seconds(F.col("_lo") * p.bucket_seconds) >= F.col("run_start_floor")
+    first = F.when(starts_in, F.col("_lo")).otherwise(F.col("_lo") + 1)
+    w = w.select("*", first.alias("_first"), F.col("_hi").alias("_end"))  # [_first, _end) is inside
+
+    def piece(j, block, level, when):
+        return F.when(
+            when,
+            F.struct(F.lit(j).alias("j"), block.cast("long").alias("block"), F.lit(level).alias("level")),
+        )
+
+    pieces, tops = [], []
+    for j in range(MAX_LEVEL + 1):
+        left = F.ceil(F.col("_first") / F.lit(2**j)).cast("long")
+        right = F.floor(F.col("_end") / F.lit(2**j)).cast("long")
+        for level in (_WHOLE, _CROSS):
+            if j < MAX_LEVEL:
+                pieces.append(piece(j, left, level, (left < right) & (F.pmod(left, F.lit(2)) == 1)))
+                pieces.append(piece(j, right - 1, level, (left < right) & (F.pmod(right, F.lit(2)) == 1)))
+            else:
+                every = F.sequence(left, right - 1)
+                every = F.transform(every, _top_piece(j, level))
+                tops.append(F.when(left < right, every).otherwise(F.array().cast(_PIECES)))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    for level in (_EDGE, _CROSS):
+        pieces.append(piece(0, lo, level, lo < F.col("_first")))
+        pieces.append(piece(0, hi, level, (hi != lo) | (F.col("_first") == lo)))
+    listed = F.concat(F.filter(F.array(*pieces), lambda x: x.isNotNull()), *tops)
+    return w.select(*WINDOW_KEY, F.explode(listed).alias("_p")).select(
+        *WINDOW_KEY,
+        F.col("_p.j").alias("_j"),
+        F.col("_p.block").alias("_block"),
+        F.col("_p.level").alias("_level"),
+    )
+
+
 def window_profile(
     runs: DataFrame, samples: DataFrame, p: Params, roles: Sequence[str] = ("driver", "worker")
 ) -> DataFrame:
     """Profile aggregates per distinct run window (only windows with samples)."""
-    wb = _window_buckets(runs, p).alias("w")
-    sp = _two_levels(_sample_partials(samples, p, roles), p).alias("s")
-    cond = (
-        (F.col("w.workspace_id") == F.col("s.workspace_id"))
-        & (F.col("w.cluster_id") == F.col("s.cluster_id"))
-        & (F.col("w._bucket") == F.col("s._bucket"))
-        & (F.col("w._level") == F.col("s._level"))
-        & (F.col("s._a") >= F.col("w.run_start_floor"))
-        & (F.col("s._e") <= F.col("w.run_term_ceil"))
-    )
+    levels = _two_levels(_sample_partials(samples, p, roles), p)
     if p.same_date:
-        cond = cond & (F.col("w.date") == F.col("s.date"))
+        wb, sp, met = _window_buckets(runs, p), levels, ["date", "_bucket", "_level"]
+    else:
+        wb, sp, met = _window_blocks(runs, p), _block_levels(levels, p), ["_j", "_block", "_level"]
+    wb, sp = wb.alias("w"), sp.alias("s")
+    cond = (F.col("s._a") >= F.col("w.run_start_floor")) & (F.col("s._e") <= F.col("w.run_term_ceil"))
+    for k in ("workspace_id", "cluster_id", *met):
+        cond = cond & (F.col(f"w.{k}") == F.col(f"s.{k}"))
     joined = wb.join(sp, cond, "inner").select(
         *[F.col(f"w.{k}").alias(k) for k in WINDOW_KEY],
         F.col("s.driver").alias("driver"),

@@ -52,6 +52,9 @@ FROM_PARTS = {
     "risk_rollup_job": "merged_rollup_job",
 }
 
+# Filtered by any of its keys: rows laid out by the interleaved ranks of them.
+LAYOUT = {"run_worker_profile": "z_order_by"}
+
 # Stored only with the option of the same name.
 OPTIONAL = ("mapping_periods",)
 
@@ -93,17 +96,10 @@ def run_pipeline(
         if only is not None and name not in only:
             if not _is_stored(spark, loc, database):
                 continue
-        elif database is None:
-            write_table(planned(pl, name), path=loc, partition_by=partition_by, cluster_by=cluster_by)
-            out[name] = loc
         else:
-            write_table(
-                planned(pl, name),
-                table=loc,
-                partition_by=partition_by,
-                cluster_by=cluster_by,
-                comment=COMMENTS.get(name),
-            )
+            layout = {LAYOUT.get(name, "cluster_by"): cluster_by}
+            place = {"path": loc} if database is None else {"table": loc, "comment": COMMENTS.get(name)}
+            write_table(planned(pl, name), partition_by=partition_by, **place, **layout)
             out[name] = loc
         # Downstream datasets are planned over the stored table.
         stored = spark.read.parquet(loc) if database is None else spark.table(loc)
