@@ -10,7 +10,9 @@ meet, would not have merged across it.  Where no token fits, the last token is
 taken back and its next shorter alternative is tried; positions found to lead
 nowhere are marked and never entered again, so the work is linear in the piece.
 Compatibility of token pairs and the ids of short pieces are memoised in tables
-of bounded size.  The result equals the merges in rank order, id for id.
+of bounded size.  A piece longer than ``LONG_PIECE`` keeps the matches of a few
+blocks at a time, found anew should the reading go back further, and some ten
+bytes of state per byte.  The result equals the merges in rank order, id for id.
 
 Decoding joins the bytes of the ids.
 
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from itertools import chain
 from pathlib import Path
 
@@ -40,6 +43,9 @@ MAX_RANK_BYTES = 64 << 20
 PIECES_KEPT = 400_000  # memoised pieces per worker; longer pieces are not kept
 PIECE_KEPT_BYTES = 48
 PAIRS_KEPT = 1_000_000
+LONG_PIECE = 1 << 16  # bytes; longer pieces are matched block by block
+MATCH_BLOCK = 1 << 14
+BLOCKS_KEPT = 2
 
 
 class BytePairCodec:
@@ -61,6 +67,8 @@ class BytePairCodec:
             if rank in self._parts:
                 self._automaton.add_word(token.decode("latin-1"), (rank, len(token)))
         self._automaton.make_automaton()
+        self._longest = max(map(len, ranks), default=0)
+        self._own = {r: r for r in self.bytes_of}  # one integer object per id
 
     @classmethod
     def from_rank_file(cls, data: bytes, pattern: str) -> BytePairCodec:
@@ -123,6 +131,8 @@ class BytePairCodec:
         if whole is not None:
             return (whole,)
         n = len(piece)
+        if n > LONG_PIECE:
+            return self._encode_long(piece)
         starting: list[list[tuple[int, int]]] = [[] for _ in range(n)]
         for end, (rank, length) in self._automaton.iter(piece.decode("latin-1")):
             starting[end + 1 - length].append((rank, length))
@@ -153,6 +163,50 @@ class BytePairCodec:
                 at = path.pop()
         return tuple(out)
 
+    def _encode_long(self, piece: bytes) -> tuple[int, ...]:
+        """``_encode_bytes`` for a piece of any length, in memory of some ten bytes a byte."""
+        n, text = len(piece), piece.decode("latin-1")
+        blocks: dict[int, list[list[tuple[int, int]]]] = {}
+
+        def block(number: int) -> list[list[tuple[int, int]]]:
+            lo = number * MATCH_BLOCK
+            hi = min(n, lo + MATCH_BLOCK)
+            starting: list[list[tuple[int, int]]] = [[] for _ in range(hi - lo)]
+            for end, (rank, length) in self._automaton.iter(text[lo : hi + self._longest]):
+                first = end + 1 - length
+                if first < hi - lo:
+                    starting[first].append((rank, length))
+            for options in starting:
+                options.sort(key=lambda x: -x[1])
+            return starting
+
+        def options_at(at: int) -> list[tuple[int, int]]:
+            number, within = divmod(at, MATCH_BLOCK)
+            if number not in blocks:
+                if len(blocks) >= BLOCKS_KEPT:  # the one furthest from here
+                    del blocks[max(blocks, key=lambda b: abs(b - number))]
+                blocks[number] = block(number)
+            return blocks[number][within]
+
+        dead = bytearray(n + 1)
+        tried = array("H", bytes(2 * n))
+        out = array("q")
+        at = 0
+        while at < n:
+            options = options_at(at)
+            for i in range(tried[at], len(options)):
+                rank, length = options[i]
+                if not dead[at + length] and (not out or self._compatible(out[-1], rank)):
+                    tried[at] = i + 1
+                    out.append(rank)
+                    at += length
+                    break
+            else:
+                tried[at] = 0
+                dead[at] = 1
+                at -= len(self.bytes_of[out.pop()])
+        return tuple(map(self._own.__getitem__, out))
+
     def _encode_piece(self, piece: str) -> tuple[int, ...]:
         raw = piece.encode()
         ids = self._encode_bytes(raw)

@@ -70,3 +70,31 @@ def test_query_shape_and_edges(spark):
             assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
             assert r.decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
     assert bpe.encode(df.filter("false"), PATH, P.PATTERN).count() == 0
+
+
+def test_long_pieces_block_by_block(monkeypatch):
+    for name, value in (("LONG_PIECE", 0), ("MATCH_BLOCK", 7), ("BLOCKS_KEPT", 1)):
+        monkeypatch.setattr(bpe, name, value)
+    rnd = random.Random(8)
+    tokens = list(codec().ranks)
+    for _ in range(1500):
+        piece = b"".join(rnd.choice(tokens) for _ in range(rnd.randint(2, 9)))
+        assert list(codec()._encode_bytes(piece)) == reference()._encode_single_piece(piece)
+    for piece in ("ab" * 500, "a" * 999, "\u00e0\u65e5" * 200, " " * 333):
+        assert codec().encode(piece) == reference().encode_ordinary(piece)
+
+
+def test_an_unbroken_piece_takes_little_memory():
+    import tracemalloc
+
+    rnd = random.Random(9)
+    size = 500_000
+    piece = bytes(rnd.choices(b"etaoinshrdlu", k=size))
+    whole = codec()
+    whole._encode_bytes(piece)  # its tables of pairs, bounded on their own, are not counted
+    tracemalloc.start()
+    ids = whole._encode_bytes(piece)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert whole.decode(ids) == piece
+    assert peak < 25 * size + 16_000_000  # with the list of matches per position: 280 * size
