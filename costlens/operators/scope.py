@@ -2,7 +2,8 @@
 
 The scope is dimension-sized.  The runner stores it, counts it, and marks it for
 broadcast up to ``BROADCAST_ROWS`` rows, so that no fact table is shuffled for it;
-larger scopes, and scopes not stored, are joined as Spark's size rules decide.
+larger scopes, and scopes not stored, are joined as Spark's size rules decide, on a
+cluster behind a runtime Bloom filter.
 """
 
 from __future__ import annotations
@@ -19,8 +20,17 @@ BROADCAST_ROWS = 1_000_000  # three keys a row
 
 
 def bounded(stored: DataFrame) -> DataFrame:
-    """A stored scope, marked for broadcast if it is counted small."""
-    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+    """A stored scope, marked for broadcast if it is counted small.
+
+    A larger one is left to a shuffle join behind Spark's runtime Bloom filter
+    (``session.CLUSTER_CONF``), which Spark makes only of a side that has a filter: the
+    comparison with the smallest workspace keeps every row but those without one,
+    which no join meets.
+    """
+    found = stored.agg(F.count("*").alias("n"), F.min("workspace_id").alias("least")).first()
+    if found["n"] <= BROADCAST_ROWS:
+        return F.broadcast(stored)
+    return stored.where(F.col("workspace_id") >= F.lit(found["least"]))
 
 
 def _eligible(workspaces: DataFrame, p: Params) -> DataFrame:

@@ -34,6 +34,12 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # A scope too large to broadcast goes ahead of its joins as a Bloom filter of at most
+    # 8 MB, so that rows of foreign workspaces are not shuffled (see operators/scope.py).
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(4 * 1024**3),
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": str(8 * 8 * 1024 * 1024),
 }
 
 
