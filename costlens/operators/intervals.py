@@ -48,6 +48,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from costlens.functions.exact import exact_parts, exact_total
 from costlens.params import Params
 from costlens.sources.adapters import BYTES, METRICS
 
@@ -95,7 +96,7 @@ def _sample_partials(samples: DataFrame, p: Params, roles: Sequence[str]) -> Dat
         aggs += [
             F.min(m).alias(f"mn_{m}"),
             F.max(m).alias(f"mx_{m}"),
-            F.sum(m).alias(f"sm_{m}"),
+            *exact_parts(F.col(m), f"sm_{m}"),
             F.count(m).alias(f"n_{m}"),
         ]
     aggs += [F.sum(b).alias(f"sb_{b}") for b in _BYTE_NAMES]
@@ -279,11 +280,15 @@ def window_profile(
     for role in roles:
         flag, prefix = ROLES[role]
         mine = F.col("driver") == F.lit(flag)
+
+        def total_of_mine(part: str, mine: Column = mine) -> Column:
+            return F.sum(F.when(mine, F.col(part)))
+
         for m in _METRIC_NAMES:
             aggs += [
                 F.min(F.when(mine, F.col(f"mn_{m}"))).alias(f"min_{prefix}{m}"),
                 F.try_divide(
-                    F.sum(F.when(mine, F.col(f"sm_{m}"))), F.sum(F.when(mine, F.col(f"n_{m}")))
+                    exact_total(f"sm_{m}", total_of_mine), F.sum(F.when(mine, F.col(f"n_{m}")))
                 ).alias(f"avg_{prefix}{m}"),
                 F.max(F.when(mine, F.col(f"mx_{m}"))).alias(f"max_{prefix}{m}"),
             ]

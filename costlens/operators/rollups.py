@@ -12,6 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from costlens.functions import rules
+from costlens.functions.exact import exact_parts, exact_total, part_names
+
 # The eleven account dimensions of the account branch.
 ACCOUNT_DIMS = (
     "date",
@@ -105,24 +108,25 @@ _RISK_MEANS = (
 )
 
 
-def _bytes(direction: str) -> Column:
-    """Network bytes of a run, whole numbers: doubles add them exactly in any order, and
-    the division by 1e9 comes last.  Null where ``total_network_gb_*`` is null."""
-    total = F.col(f"sum_d_network_{direction}_bytes") + F.col(f"sum_w_network_{direction}_bytes")
-    return total.cast("double")
+def _network_gb(direction: str) -> Column:
+    """``total_network_gb_*`` of a run."""
+    return rules.network_gb(
+        F.col(f"sum_d_network_{direction}_bytes"), F.col(f"sum_w_network_{direction}_bytes")
+    )
 
 
 def _weighted() -> list[Column]:
-    """The sums of the cost lines, each weighing its copies; means as sum and count."""
+    """The sums of the cost lines, each weighing its copies; means as parts of an exact
+    sum, which is the same in any order of rows, and count."""
     copies, weight = F.col("copies"), F.col("copies").cast(_COPIES)
     out = []
     for c, (name, kind) in _RISK_SUMS.items():
         times = copies if kind == "bigint" else weight
         out.append(F.sum(F.col(c).cast(kind) * times).alias(name))
-    values = (F.col(_RISK_MEANS[0]), F.col(_RISK_MEANS[1]), _bytes("sent"), _bytes("received"))
+    values = (F.col(_RISK_MEANS[0]), F.col(_RISK_MEANS[1]), _network_gb("sent"), _network_gb("received"))
     for name, x in zip(_RISK_MEANS, values):
         out += [
-            F.sum(x * copies).alias(f"sum_{name}"),
+            *exact_parts(x, f"sum_{name}", copies),
             F.sum(F.when(x.isNotNull(), copies)).alias(f"n_{name}"),
         ]
     return out
@@ -149,7 +153,7 @@ def risk_parts(rows: DataFrame) -> DataFrame:
 
 def _sums() -> list[Column]:
     names = [name for name, _ in _RISK_SUMS.values()]
-    names += [f"{x}_{m}" for m in _RISK_MEANS for x in ("sum", "n")]
+    names += [n for m in _RISK_MEANS for n in (*part_names(f"sum_{m}"), f"n_{m}")]
     return [F.sum(n).alias(n) for n in names]
 
 
@@ -166,8 +170,7 @@ def parts_rollup(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _rolled(total: DataFrame, keys: Sequence[str]) -> DataFrame:
     def mean(name: str) -> Column:
-        value = F.try_divide(F.col(f"sum_{name}"), F.col(f"n_{name}"))
-        return (value / F.lit(1e9) if "network_gb" in name else value).alias(name)
+        return F.try_divide(exact_total(f"sum_{name}"), F.col(f"n_{name}")).alias(name)
 
     return total.select(
         *keys,

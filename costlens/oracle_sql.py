@@ -270,13 +270,25 @@ FROM runs_with_usage r LEFT JOIN (
 cte("run_base", "SELECT DISTINCT * FROM runs_with_config", "runs_with_config")
 
 
+_GRID = 2**60
+
+
+def _mean(x: str) -> str:
+    """The average of doubles that are not negative, summed exactly as HUGEINTs in steps of
+    2^-60, so that it does not depend on the order of rows."""
+    steps = (f"CAST(floor({x}) AS HUGEINT) * {_GRID}"
+             f" + CAST(CAST(({x} - floor({x})) * {_GRID}.0::DOUBLE AS BIGINT) AS HUGEINT)")
+    return (f"(CAST(sum({steps}) // {_GRID} AS DOUBLE)"
+            f" + CAST(sum({steps}) % {_GRID} AS DOUBLE) / {_GRID}.0::DOUBLE) / count({x})")
+
+
 def _role_aggs(role_test: str, prefix: str) -> str:
     parts = []
     for m in _PCT:
         v = f"CASE WHEN {role_test} THEN t.{m}_pct END"
         parts += [
             f"min({v}) AS min_{prefix}{m}_pct",
-            f"avg({v}) AS avg_{prefix}{m}_pct",
+            f"{_mean(v)} AS avg_{prefix}{m}_pct",
             f"max({v}) AS max_{prefix}{m}_pct",
         ]
     for b in ("network_received_bytes", "network_sent_bytes"):
@@ -389,11 +401,11 @@ cte("run_lines_mapped", _costs_mapped("run_lines_profile"), "run_lines_profile",
 cte("run_lines_derived", _derived("run_lines_mapped"), "run_lines_mapped")
 cte("run_lines_risk", _run_risk("(" + _util_risk("run_lines_derived") + ")"), "run_lines_derived")
 
-_ROLLUP_AGGS = """CAST(sum(duration_seconds) AS BIGINT) AS total_duration_seconds,
-       avg(avg_cluster_cpu_utilization) AS avg_cluster_cpu_utilization,
-       avg(avg_cluster_mem_used_percent) AS avg_cluster_mem_used_percent,
-       avg(total_network_gb_sent) AS avg_cluster_network_gb_sent,
-       avg(total_network_gb_received) AS avg_cluster_network_gb_received,
+_ROLLUP_AGGS = f"""CAST(sum(duration_seconds) AS BIGINT) AS total_duration_seconds,
+       {_mean('avg_cluster_cpu_utilization')} AS avg_cluster_cpu_utilization,
+       {_mean('avg_cluster_mem_used_percent')} AS avg_cluster_mem_used_percent,
+       {_mean('total_network_gb_sent')} AS avg_cluster_network_gb_sent,
+       {_mean('total_network_gb_received')} AS avg_cluster_network_gb_received,
        count(DISTINCT run_id) AS job_run_count,
        sum(attributed_revenue) AS revenue,
        sum(CAST(rev_at_risk AS DECIMAL(28,10))) AS total_revenue_at_risk,

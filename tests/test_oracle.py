@@ -1,8 +1,6 @@
 """Every registered query of the library against its DuckDB oracle at sf0.01.
 
-Exact (bit-for-bit) equality is required for every column but the averages of
-doubles in the risk rollups, where the two engines add in different orders;
-those columns are compared at 9 significant digits.
+Exact (bit-for-bit) equality is required for every column, averages of doubles included.
 """
 
 import pytest
@@ -10,12 +8,6 @@ import pytest
 import __spark_entry__ as E
 from tests.oracle_compare import compare, duck
 
-AVERAGES = {
-    "avg_cluster_cpu_utilization",
-    "avg_cluster_mem_used_percent",
-    "avg_cluster_network_gb_sent",
-    "avg_cluster_network_gb_received",
-}
 SF = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
 KEYS = [*E.DATASETS, *E.OPTIONS, *E.STORED]
@@ -35,8 +27,7 @@ def con():
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, key):
-    rounded = AVERAGES if key.startswith("risk_rollup") else ()
-    r = compare(spark, key, SF_ORACLE, con_of(SF_ORACLE), rounded=rounded)
+    r = compare(spark, key, SF_ORACLE, con_of(SF_ORACLE))
     assert r["cols_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["ok"], {k: v for k, v in r.items() if "sample" not in k}
