@@ -759,5 +759,6 @@ for _key, _of in {
     "cluster_idle_with_config_scoped": "cluster_idle_with_config",
     "stored_account_risk": "account_risk",
     "refreshed_account_risk": "account_risk",
+    "catalog_account_risk": "account_risk",
 }.items():
     DECIMAL_COLUMNS[_key] = DECIMAL_COLUMNS[_of]
