@@ -11,9 +11,12 @@ less one standard error.  A longer stem is kept only where it says more than a
 shorter one.  Exception phrases (a fixed parameter, and words that start like
 an entry but are usual in clean documents) cancel the matches inside them.
 
-Score.  One Aho-Corasick pass finds all entries; per word the longest counts,
-and each matching word counts once however often it is repeated.  The summed weight and the weight per 100 words (length-normalised) go through a
-logistic curve, fitted on labelled documents that took no part in the lexicon.
+Score.  One Aho-Corasick pass finds all entries; per word the longest counts.
+Three inputs can enter a logistic curve, fitted on labelled documents that took no
+part in the lexicon: the summed weight and the weight per 100 words (length-
+normalised), in which each matching word counts once however often it is repeated,
+and the weight of all occurrences per 100 words.  Which of ``INPUTS`` enter is decided
+by the log loss on halves of those documents that the curve was not fitted on.
 
 Training reads only labels of rows with ``crc32(doc_id) mod 5 <> 0``, at most
 ``MAX_TOXIC`` and ``MAX_CLEAN`` of them, picked by a hash of the id; remainders
@@ -50,6 +53,8 @@ STEMS = range(4, 10)  # stem lengths in letters
 MIN_SUPPORT = 3  # distinct toxic texts
 MIN_WEIGHT = 1.5
 MAX_ENTRIES = 20_000
+# inputs that a curve may take: total, density of distinct words, density of occurrences
+INPUTS = ((0, 1), (1,), (0, 2), (2,), (0, 1, 2))
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "idiot proof")
 
 # Letters of other scripts that look like Latin ones, and digits
@@ -99,7 +104,7 @@ def _entries(words: list[str]) -> set[str]:
 class Lexicon:
     """Weighted entries, exceptions and the score curve; sent to the workers."""
 
-    def __init__(self, weights: dict[str, float], exceptions: list[str], curve=(0.0, 0.0, 0.0)):
+    def __init__(self, weights: dict[str, float], exceptions: list[str], curve=(0.0, 0.0, 0.0, 0.0)):
         self.weights, self.exceptions, self.curve = weights, exceptions, curve
         self._automaton = None
 
@@ -141,12 +146,21 @@ class Lexicon:
         return [(text[at + 1 : text.index(" ", at + 1)], w) for at, w in found.items()]
 
     def features(self, words: list[str]) -> tuple[float, float]:
-        total = sum(dict(self.matches(words)).values())
-        return np.log1p(total), np.log1p(100 * total / (len(words) + 20))
+        return self.inputs(words)[:2]
+
+    def inputs(self, words: list[str]) -> tuple[float, float, float]:
+        """Total weight and density of the distinct matching words, density of all matches."""
+        found = self.matches(words)
+        total, occurring = sum(dict(found).values()), sum(w for _, w in found)
+        hundreds = (len(words) + 20) / 100
+        return np.log1p(total), np.log1p(total / hundreds), np.log1p(occurring / hundreds)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        a, b, c = self.curve
-        return 1 / (1 + np.exp(-np.clip(a + b * x[:, 0] + c * x[:, 1], -30, 30)))
+        return _curve_values(np.array(self.curve), x)
+
+
+def _curve_values(beta: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(beta[0] + x @ beta[1:], -30, 30)))
 
 
 def _count_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -170,12 +184,39 @@ def _class_weights(y: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
     return np.where(y == 1, n_toxic / toxic, n_clean / (len(y) - toxic)) * len(y) / n
 
 
-def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
+def _on(x: np.ndarray, y: np.ndarray, weight: np.ndarray, some: tuple[int, ...]) -> np.ndarray:
+    """The curve over some of the inputs; the others' slopes are 0."""
+    beta = np.zeros(1 + x.shape[1])
+    beta[[0, *(1 + i for i in some)]] = _fit_curve(x[:, list(some)], y, weight)
+    return beta
+
+
+def choose_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
+    """The curve over those of ``INPUTS`` with the least log loss on halves not fitted on
+    (ties: the first).  Rows are dealt to the halves in order of label and inputs, so the
+    choice does not depend on their order."""
+    order = np.lexsort((*x.T[::-1], y))
+    x, y, weight = x[order], y[order], weight[order]
+    half = np.arange(len(y)) % 2
+    losses = []
+    for some in INPUTS:
+        loss = 0.0
+        for mine in (half == 0, half == 1):
+            if 0 < y[mine].sum() < mine.sum():
+                p = np.clip(_curve_values(_on(x[mine], y[mine], weight[mine], some), x[~mine]), 1e-9, 1 - 1e-9)
+                own = np.where(y[~mine] == 1, np.log(p), np.log(1 - p))
+                loss -= float(weight[~mine] @ own)
+        losses.append(round(loss, 9))
+    some = INPUTS[int(np.argmin(losses))]
+    return tuple(float(v) for v in _on(x, y, weight, some))
+
+
+def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
     """Ridge-penalised logistic regression by Newton steps; slopes never negative."""
     design = np.column_stack([np.ones(len(x)), x])
     # prior rows keep the intercept finite and the curve rising where data is scarce
-    penalty = np.array([1e-3, 1e-2, 1e-2])
-    beta = np.zeros(3)
+    penalty = np.array([1e-3] + [1e-2] * x.shape[1])
+    beta = np.zeros(1 + x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         grad = design.T @ (weight * (y - p)) - penalty * beta
@@ -184,8 +225,8 @@ def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
         beta = beta + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
-    if beta[1] < 0 or beta[2] < 0:  # two features that say the same: keep the total
-        beta = np.append(_fit_single(design[:, :2], y, weight), 0.0)
+    if (beta[1:] < 0).any():  # features that say the same: keep the total
+        beta = np.append(_fit_single(design[:, :2], y, weight), np.zeros(x.shape[1] - 1))
     return tuple(float(v) for v in beta)
 
 
@@ -257,24 +298,23 @@ def learn(ws: Workspace, sample: DataFrame, labelled: dict[int, int], exceptions
     lexicon = Lexicon(weights, [p for p in phrases if p])
 
     def featured(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        x = [lexicon.features(fold(v.as_py())) for v in batch.column(0)]
+        x = np.array([lexicon.inputs(fold(v.as_py())) for v in batch.column(0)]).reshape(-1, 3)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([v[0] for v in x]), pa.array([v[1] for v in x]), batch.column(1)],
-            names=["a", "b", "label"],
+            [*(pa.array(c) for c in x.T), batch.column(1)], names=["a", "b", "c", "label"]
         )
 
     curve_part = sample.filter("fold = 4") if split else sample
     fitted = map_batches(
-        curve_part.select("text", "label"), featured, "a double, b double, label int"
+        curve_part.select("text", "label"), featured, "a double, b double, c double, label int"
     ).toArrow()
     y = fitted["label"].to_numpy().astype(float)
-    x = np.column_stack([fitted["a"].to_numpy(), fitted["b"].to_numpy()])
+    x = np.column_stack([fitted[c].to_numpy() for c in "abc"])
     all_toxic, all_clean = labelled.get(1, 0), labelled.get(0, 0)
     if weights and 0 < y.sum() < len(y):
-        lexicon.curve = _fit_curve(x, y, _class_weights(y, all_toxic, all_clean))
+        lexicon.curve = choose_curve(x, y, _class_weights(y, all_toxic, all_clean))
     else:
         rate = min((all_toxic + 0.5) / (all_toxic + all_clean + 1), 0.49)
-        lexicon.curve = (float(np.log(rate / (1 - rate))), 1.0 if weights else 0.0, 0.0)
+        lexicon.curve = (float(np.log(rate / (1 - rate))), 1.0 if weights else 0.0, 0.0, 0.0)
     return lexicon
 
 
@@ -286,7 +326,7 @@ def score(docs: DataFrame, labels: DataFrame, exceptions=EXCEPTIONS) -> DataFram
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words = [fold(v.as_py()) for v in batch.column(2)]
-        x = np.array([lexicon.features(w) for w in words])
+        x = np.array([lexicon.inputs(w) for w in words]).reshape(-1, 3)
         scores = lexicon.scores(x)
         yield pa.RecordBatch.from_arrays(
             [

@@ -105,3 +105,40 @@ def test_threshold_does_not_move_with_the_bounds_of_the_sample(spark, monkeypatc
         monkeypatch.setattr(tox, "MAX_CLEAN", most)
         means.append(np.mean([r.score for r in tox.score(d, l).collect()]))
     assert abs(means[0] - rate) < 0.04 and abs(means[1] - rate) < 0.04
+
+
+def test_occurrences_enter_the_curve_where_labels_follow_them(spark):
+    import random
+
+    rnd = random.Random(8)
+    docs, labels = [], []
+    for i in range(1200):
+        toxic = i % 3 == 0  # all name the word; the toxic ones repeat it
+        n = 15 if toxic else 1
+        words = ["scum"] * n + [rnd.choice("calm quiet river stone light".split()) for _ in range(60 - n)]
+        if not toxic and i % 2:
+            words[0] = "calm"
+        rnd.shuffle(words)
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    d, l = frames(spark, docs, labels)
+    # the word alone is a weak sign of the label, its density a sure one
+    lex = tox.Lexicon({"scum": 1.5}, [])
+    x = np.array([lex.inputs(tox.fold(t)) for _, t in docs])
+    y = np.array([float(t) for _, _, t in labels])
+    curve = tox.choose_curve(x, y, np.ones(len(y)))
+    assert curve[3] > 0
+    lex.curve = curve
+    assert np.mean((lex.scores(x) >= 0.5) == (y == 1)) > 0.98
+    shuffled = np.random.default_rng(1).permutation(len(y))
+    assert np.allclose(curve, tox.choose_curve(x[shuffled], y[shuffled], np.ones(len(y))), atol=1e-6)
+    assert tox.score(d, l).count() == len(docs)
+
+
+def test_occurrences_stay_out_where_they_say_nothing_more():
+    lex = tox.Lexicon({"scum": 3.0}, [])
+    texts = [("scum " if i % 2 else "calm ") + "word " * (5 + i % 40) for i in range(400)]
+    x = np.array([lex.inputs(tox.fold(t)) for t in texts])
+    assert (x[:, 1] == x[:, 2]).all() and lex.features(tox.fold(texts[1])) == tuple(x[1, :2])
+    curve = tox.choose_curve(x, np.arange(400) % 2 * 1.0, np.ones(400))
+    assert curve[3] == 0
