@@ -54,7 +54,8 @@ MIN_SUPPORT = 3  # distinct toxic texts
 MIN_WEIGHT = 1.5
 MAX_ENTRIES = 20_000
 # inputs that a curve may take: total, density of distinct words, density of occurrences
-INPUTS = ((0, 1), (1,), (0, 2), (2,), (0, 1, 2))
+INPUTS = ((0, 1), (0, 2), (2,), (0, 1, 2))
+MIN_GAIN = 1e-3  # nats a row by which further inputs must lower the log loss
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "idiot proof")
 
 # Letters of other scripts that look like Latin ones, and digits
@@ -192,13 +193,13 @@ def _on(x: np.ndarray, y: np.ndarray, weight: np.ndarray, some: tuple[int, ...])
 
 
 def choose_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
-    """The curve over those of ``INPUTS`` with the least log loss on halves not fitted on
-    (ties: the first).  Rows are dealt to the halves in order of label and inputs, so the
+    """The curve over the first of ``INPUTS``, or over those that lower the log loss on halves
+    not fitted on by ``MIN_GAIN`` a row or more.  Rows are dealt to the halves in order of label and inputs, so the
     choice does not depend on their order."""
     order = np.lexsort((*x.T[::-1], y))
     x, y, weight = x[order], y[order], weight[order]
     half = np.arange(len(y)) % 2
-    losses = []
+    best, least = INPUTS[0], np.inf
     for some in INPUTS:
         loss = 0.0
         for mine in (half == 0, half == 1):
@@ -206,9 +207,9 @@ def choose_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[floa
                 p = np.clip(_curve_values(_on(x[mine], y[mine], weight[mine], some), x[~mine]), 1e-9, 1 - 1e-9)
                 own = np.where(y[~mine] == 1, np.log(p), np.log(1 - p))
                 loss -= float(weight[~mine] @ own)
-        losses.append(round(loss, 9))
-    some = INPUTS[int(np.argmin(losses))]
-    return tuple(float(v) for v in _on(x, y, weight, some))
+        if loss < least - MIN_GAIN * weight.sum():
+            best, least = some, loss
+    return tuple(float(v) for v in _on(x, y, weight, best))
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
